@@ -166,8 +166,8 @@ def q_strip_quotes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_plain_text_gate(spark: SparkSession, sf: str) -> DataFrame:
-    docs = plain_text_gate(read_table(spark, sf, "documents"), ["text", "lang", "source"])
-    conv = plain_text_gate(read_table(spark, sf, "conversations"), ["role", "text"])
+    docs = plain_text_gate(read_table(spark, sf, "documents", spread_rows=True), ["text", "lang", "source"])
+    conv = plain_text_gate(read_table(spark, sf, "conversations", spread_rows=True), ["role", "text"])
     return docs.select(F.lit("documents").alias("tbl"), "*").unionByName(
         conv.select(F.lit("conversations").alias("tbl"), "*"))
 
@@ -263,24 +263,24 @@ def q_star_host_summary(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q_detect_language(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = read_table(spark, sf, "documents", spread_rows=True).select("doc_id", "lang", "text")
     return enrich.detect_language(docs, "text").drop("text")
 
 
 def q_translate_memo(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    conv = read_table(spark, sf, "conversations", spread_rows=True).select("conv_id", "turn", "text")
     memo = fx.translation_memo(spark, sf)
     out = enrich.translate_memo(conv, "text", memo, out="text_en")
     return out.select("conv_id", "turn", "text_en")
 
 
 def q_translate_unseen(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations")
+    conv = read_table(spark, sf, "conversations", spread_rows=True)
     return enrich.translate_unseen(conv, "text", fx.translation_memo(spark, sf))
 
 
 def q_translate_gated(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    conv = read_table(spark, sf, "conversations", spread_rows=True).select("conv_id", "turn", "role", "text")
     return enrich.translate_gated(conv, fx.translation_memo(spark, sf), ["role", "text"])
 
 
@@ -299,7 +299,7 @@ def _lower(s):  # the injected "service": any Series -> Series function
 
 
 def q_enrich_hook(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations")
+    conv = read_table(spark, sf, "conversations", spread_rows=True)
     return enrich.enrich_hook(conv, "text", _lower, max_calls_per_second=1_000_000)
 
 
