@@ -8,29 +8,44 @@ recomputes from the written copy rather than from the raw files.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import SOURCE_COL
 from ..sources import files
 from . import star
 
+log = logging.getLogger(__name__)
+
 
 def run(spark: SparkSession, raw: DataFrame, sources: DataFrame, out_dir: str,
         fmt: str = "parquet", compression: str | None = None, ids: str = "sequence",
         host_grain: str = "host", fact_partitions: int | None = None,
-        unset: str = "null", register: bool = True) -> dict[str, DataFrame]:
+        unset: str = "null", register: bool = True,
+        counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Build and write the star schema; return the written tables.
 
     ``raw`` holds the raw header columns plus ``src``; ``sources`` the
     per-source constants and id prefixes.  ``fmt="csv", compression="gzip"``
     writes the tables as the original job did; Parquet is the default.
+    Row counts before and after cleaning are observed during the jobs that
+    run anyway (no extra count jobs); they are logged and, when ``counts`` is
+    given, stored in it.
     """
     base = out_dir.rstrip("/")
     wide_path = f"{base}/_wide"
+    seen_raw, seen_clean = Observation("raw_rows"), Observation("clean_rows")
+    raw = raw.observe(seen_raw, F.count(F.lit(1)).alias("rows"))
     wide = star.clean_listings(raw, sources, unset=unset, ids=ids)
+    wide = wide.observe(seen_clean, F.count(F.lit(1)).alias("rows"))
     files.write_table(wide, wide_path, partition_by=[SOURCE_COL])
+    observed = {"raw_rows": seen_raw.get["rows"], "clean_rows": seen_clean.get["rows"]}
+    log.info("rows before cleaning %(raw_rows)d, after %(clean_rows)d", observed)
+    if counts is not None:
+        counts.update(observed)
     written = spark.read.parquet(wide_path)
 
     tables = star.star_tables(written, host_grain=host_grain, fact_partitions=fact_partitions)

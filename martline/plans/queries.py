@@ -255,7 +255,7 @@ def q_star_revenue_by_city(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_star_host_summary(spark: SparkSession, sf: str) -> DataFrame:
     t = _tables(spark, sf)
-    return star.host_summary(t["booking"], t["host"])
+    return star.host_summary_sql(t["booking"], t["host"])
 
 
 # ---------------------------------------------------------------------------

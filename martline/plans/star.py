@@ -118,9 +118,10 @@ def host_dimension(df: DataFrame, grain: str = "host") -> DataFrame:
         raise ValueError("grain must be 'host' or 'listing'")
     grouped = df.groupBy("hostId").agg(
         F.max("hostListingCount").alias("hostListingCount"),
-        F.max(F.when(F.col("superhost") == "t", "t").when(F.col("superhost") == "f", "f"))
-         .alias("superhost"))
-    return fill_host(grouped)
+        F.max(F.col("superhost") == F.lit("t")).alias("_any_t"))
+    defaults = {c: v for c, v in FILL_DEFAULTS["host"].items() if c != "superhost"}
+    return fill_defaults(grouped, defaults).select(
+        "hostId", "hostListingCount", F.coalesce(F.col("_any_t"), F.lit(False)).alias("superhost"))
 
 
 def amenities_array(df: DataFrame) -> DataFrame:
@@ -198,14 +199,23 @@ def revenue_by_city(fact: DataFrame, location: DataFrame, host: DataFrame) -> Da
                       "total_revenue", avg.alias("avg_revenue"))
 
 
-def host_summary(fact: DataFrame, host: DataFrame) -> DataFrame:
-    """Per host: superhost, declared listing count, listings in the fact, sources, revenue."""
-    f = fact.groupBy("hostId").agg(
-        F.count(F.lit(1)).alias("listings"),
-        F.count_distinct(SOURCE_COL).alias("sources"),
-        F.sum(F.col("annualRevenueLtmUSD").cast("decimal(14,2)")).cast("decimal(18,2)").alias("total_revenue"))
-    return host.join(f, "hostId", "inner").select(
-        "hostId", "superhost", "hostListingCount", "listings", "sources", "total_revenue")
+HOST_SUMMARY_SQL = """
+SELECT h.hostId, h.superhost, h.hostListingCount, f.listings, f.sources, f.total_revenue
+FROM {host} h
+JOIN (SELECT hostId, count(*) AS listings, count(DISTINCT src) AS sources,
+             CAST(SUM(CAST(annualRevenueLtmUSD AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS total_revenue
+      FROM {booking} GROUP BY hostId) f
+  ON h.hostId = f.hostId
+"""
+
+
+def host_summary_sql(fact: DataFrame, host: DataFrame) -> DataFrame:
+    """Per host: superhost, declared listing count, listings in the fact, sources, revenue.
+
+    Plain SQL over the star tables, as a dashboard would write it; the fact
+    is aggregated per host (partial aggregation map-side) before the join.
+    """
+    return fact.sparkSession.sql(HOST_SUMMARY_SQL, booking=fact, host=host)
 
 
 FACT_KEYS = {"listing": "listingId", "host": "hostId", "location": "locationId",

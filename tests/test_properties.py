@@ -113,8 +113,11 @@ def test_pipeline_run_writes_and_registers(spark, sf_small):
     from martline.plans.pipeline import run
     from martline.session import scratch_path
     out = scratch_path(spark, "pipeline-test")
-    tables = run(spark, fx.raw_listings(spark, sf_small), fx.source_registry(spark, sf_small), out)
+    counts = {}
+    tables = run(spark, fx.raw_listings(spark, sf_small), fx.source_registry(spark, sf_small), out,
+                 counts=counts)
+    assert counts["raw_rows"] > counts["clean_rows"] > 0
     assert set(tables) == {"listing", "host", "location", "amenities", "review", "checkin",
                            "pricing", "booking"}
     n = spark.sql("SELECT count(*) FROM booking").first()[0]
-    assert n == spark.read.parquet(f"{out}/booking").count() > 0
+    assert n == spark.read.parquet(f"{out}/booking").count() == counts["clean_rows"]
