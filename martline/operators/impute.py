@@ -49,16 +49,18 @@ def mode_values(df: DataFrame, columns: list[str]) -> DataFrame:
 def mode_impute(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fill NULLs of ``columns`` with their modes (an all-NULL column stays NULL).
 
-    The modes come in as scalar subqueries on a one-row frame: no join, no
-    round trip through the driver.
+    The modes come in as one scalar subquery (a struct of all modes) on a
+    one-row frame: no join, no round trip through the driver.
     """
-    row = mode_row(df, columns)
     types = {f.name: f.dataType for f in df.schema.fields}
+    row = mode_row(df, columns)
+    # One scalar subquery carries all modes, so they are computed once.
+    modes = row.select(F.struct(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in columns])).scalar()
+    with_modes = df.select("*", modes.alias("_modes"))
     out = []
     for c in df.columns:
         if c in columns:
-            mode = row.select(F.col(f"`{c}`").cast(types[c])).scalar()
-            out.append(F.coalesce(F.col(c), mode).alias(c))
+            out.append(F.coalesce(F.col(c), F.col("_modes")[c]).alias(c))
         else:
             out.append(F.col(c))
-    return df.select(*out)
+    return with_modes.select(*out)

@@ -236,7 +236,7 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     for d, k in FACT_KEYS.items():
         part = tables[d].select(F.lit(d).alias("dimension"), F.col(k).alias("key"))
         dim_keys = part if dim_keys is None else dim_keys.unionByName(part)
-    missing = fact_keys.join(dim_keys.distinct(), ["dimension", "key"], "left_anti")
+    missing = fact_keys.join(dim_keys, ["dimension", "key"], "left_anti")
     counted = missing.groupBy().pivot("dimension", list(FACT_KEYS)).count()
     pairs = ", ".join(f"'{d}', coalesce(`{d}`, 0L)" for d in FACT_KEYS)
     return counted.select(F.expr(f"stack({len(FACT_KEYS)}, {pairs}) AS (dimension, orphans)"))
