@@ -227,7 +227,7 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """Fact rows whose key has no row in the dimension, per dimension (expected 0).
 
     All seven checks share one anti join: fact keys and dimension keys are
-    unpivoted into (dimension, key) pairs.
+    unpivoted into (dimension, key) pairs.  A NULL fact key counts as an orphan.
     """
     fact = tables["booking"]
     pairs = ", ".join(f"'{d}', `{k}`" for d, k in FACT_KEYS.items())
@@ -236,7 +236,10 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     for d, k in FACT_KEYS.items():
         part = tables[d].select(F.lit(d).alias("dimension"), F.col(k).alias("key"))
         dim_keys = part if dim_keys is None else dim_keys.unionByName(part)
-    missing = fact_keys.join(dim_keys, ["dimension", "key"], "left_anti")
-    counted = missing.groupBy().pivot("dimension", list(FACT_KEYS)).count()
+    # Count fact rows per key first: a hot key (unknown host "0") collapses map-side
+    # before the shuffle of the anti join.
+    per_key = fact_keys.groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("n"))
+    missing = per_key.join(dim_keys, ["dimension", "key"], "left_anti")
+    counted = missing.groupBy().pivot("dimension", list(FACT_KEYS)).agg(F.sum("n"))
     pairs = ", ".join(f"'{d}', coalesce(`{d}`, 0L)" for d in FACT_KEYS)
     return counted.select(F.expr(f"stack({len(FACT_KEYS)}, {pairs}) AS (dimension, orphans)"))

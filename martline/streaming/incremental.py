@@ -40,3 +40,19 @@ def ingest_new_files(spark: SparkSession, source_path: str, columns: list[str],
              .start())
     query.awaitTermination()
     return query
+
+
+def ingest_sources(spark: SparkSession, registry: dict[str, tuple[str, list[str]]], sink_root: str,
+                   checkpoint_root: str, sink_format: str = "parquet") -> dict[str, str]:
+    """Incremental ingestion of several sources, one stream and one checkpoint each.
+
+    ``registry`` maps a source name to (folder, header columns).  Each source
+    lands in ``<sink_root>/src=<name>`` so the sink reads back as one table
+    partitioned by source.  Returns the sink folder per source.
+    """
+    base_sink, base_ckpt = sink_root.rstrip("/"), checkpoint_root.rstrip("/")
+    sinks = {}
+    for name, (path, columns) in registry.items():
+        sinks[name] = f"{base_sink}/src={name}"
+        ingest_new_files(spark, path, columns, sinks[name], f"{base_ckpt}/{name}", sink_format)
+    return sinks

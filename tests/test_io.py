@@ -6,7 +6,7 @@ import os
 from martline import fixtures as fx
 from martline.session import local_path, scratch_path
 from martline.sources import files
-from martline.streaming.incremental import ingest_new_files
+from martline.streaming.incremental import ingest_new_files, ingest_sources
 
 
 def rows(df):
@@ -102,3 +102,17 @@ def test_nearest_postcode_matches_brute_force(spark):
     got = {r["id"]: r["postcode"] for r in nearest_postcode(df, points, radius).collect()}
     assert got == expect
     assert sum(v is not None for v in expect.values()) > 20
+
+
+def test_incremental_per_source_checkpoints(spark):
+    base = scratch_path(spark, "incr-src")
+    cols = ["id"]
+    one = spark.createDataFrame([("1",)], "id string")
+    files.write_table(one, f"{base}/in/a/d1", fmt="csv")
+    files.write_table(one, f"{base}/in/b/d1", fmt="csv")
+    registry = {"a": (f"{base}/in/a/*", cols), "b": (f"{base}/in/b/*", cols)}
+    ingest_sources(spark, registry, f"{base}/out", f"{base}/ckpt")
+    files.write_table(spark.createDataFrame([("2",)], "id string"), f"{base}/in/b/d2", fmt="csv")
+    ingest_sources(spark, registry, f"{base}/out", f"{base}/ckpt")
+    got = rows(spark.read.parquet(f"{base}/out").select("src", "id"))
+    assert got == [("a", "1"), ("b", "1"), ("b", "2")]
