@@ -14,7 +14,7 @@ def _sort_keys(cols: list[str]) -> list[Column]:
 
 
 def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str = "seq",
-                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                    max_broadcast_rows: int = 1_000_000, max_groups: int | None = None) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)``, without one task per group.
 
     A window partitioned by source puts a whole source in one task; a source
@@ -32,6 +32,8 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
 
     ``order`` must make rows unique within a group (append all columns when
     the natural key may repeat) so that numbers do not depend on the plan.
+    ``max_groups``, when known, bounds the offset table (partitions + groups)
+    without a counting job.
     """
     ensure_checkpoint_dir(df.sparkSession)
     keys = _sort_keys(by + order)
@@ -47,11 +49,20 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     cond = F.col("_pid") == F.col("_o_pid")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    joined = tagged.join(checked_broadcast(offsets, max_broadcast_rows), cond, "inner")
+    bound = None if max_groups is None else tagged.rdd.getNumPartitions() + max_groups
+    joined = tagged.join(checked_broadcast(offsets, max_broadcast_rows, bound), cond, "inner")
     number = F.col("_base") + F.col("_mid") - F.col("_first") + F.lit(1)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
 
 
+def _checked_prefixes(prefixes: DataFrame) -> int:
+    """One small job over the source table: its size, and no prefix used twice."""
+    row = prefixes.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_prefix").alias("d")).first()
+    if row["n"] != row["d"]:
+        raise ValueError("two sources share an id prefix")
+    return row["n"]
+
+
 def add_surrogate_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
                       codes: dict[str, str] = ID_CODES) -> DataFrame:
     """Seven ids per row: ``<source prefix><code><n>``, n = 1, 2, ... per source.
@@ -61,12 +72,11 @@ def add_surrogate_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
     ``prefix``; prefixes must be unique (checked on the small table).
     """
     prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
-    dup = prefixes.groupBy("_prefix").count().where("count > 1").limit(1).count()
-    if dup:
-        raise ValueError("two sources share an id prefix")
+    n_sources = _checked_prefixes(prefixes)
     order = [key] + [c for c in df.columns if c not in (SOURCE_COL, key)]
-    numbered = sequence_number(df, [SOURCE_COL], order, name="_seq")
-    joined = numbered.join(checked_broadcast(prefixes), F.col(SOURCE_COL) == F.col("_p_src"), "left")
+    numbered = sequence_number(df, [SOURCE_COL], order, name="_seq", max_groups=n_sources)
+    joined = numbered.join(checked_broadcast(prefixes, known_rows=n_sources),
+                           F.col(SOURCE_COL) == F.col("_p_src"), "left")
     ids = [F.concat(F.col("_prefix"), F.lit(code), F.col("_seq").cast("string")).alias(name)
            for name, code in codes.items()]
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *ids)

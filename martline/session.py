@@ -72,13 +72,15 @@ def local_path(path: str) -> str:
     return path
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
-    The count runs on the small side only.  Beyond the bound the frame is
+    The count runs on the small side only (skipped when the caller already
+    knows an upper bound, ``known_rows``).  Beyond the bound the frame is
     returned as is and the join falls back to a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
