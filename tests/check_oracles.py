@@ -76,8 +76,14 @@ def main() -> int:
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)]
     import __spark_entry__ as entry
-    from martline.session import build_session
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # A session with Spark's defaults, as another program would build it.
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from martline.session import build_session
+        spark = build_session("local[8]", 8)
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -121,3 +121,11 @@ def test_pipeline_run_writes_and_registers(spark, sf_small):
                            "pricing", "booking"}
     n = spark.sql("SELECT count(*) FROM booking").first()[0]
     assert n == spark.read.parquet(f"{out}/booking").count() == counts["clean_rows"]
+
+
+def test_monotonic_ids_stable_after_checkpoint(spark, raw):
+    from martline.operators.keys import add_monotonic_ids
+    df = add_monotonic_ids(star.mapped_listings(raw).select(SOURCE_COL, "propertyId"), "ALL")
+    first, second = rows(df), rows(df)
+    assert first == second
+    assert df.select("listingId").distinct().count() == df.count()
