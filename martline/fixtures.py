@@ -7,13 +7,15 @@ driver.  Placeholders ``{orders}`` etc. become DataFrames in Spark
 (``spark.sql(text, orders=df)``) and view names in DuckDB.
 
 Differences from the text in ``FIXTURES.md``: every nation is a source (not
-only the first nine), and the planted copies come from a ``UNION ALL`` of
-the orders instead of a cross join with a two-row table.
+only the first nine), and the planted copies are not a cross join with a
+two-row table: DuckDB reads a ``UNION ALL`` of the orders, Spark one scan
+with an ``explode`` (``{orders_copies}``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .session import read_table
 
@@ -49,10 +51,7 @@ SELECT n.n_nationkey AS src_no, 'city' || LPAD(CAST(n.n_nationkey AS STRING), 2,
   CASE WHEN o.o_orderkey % 6 = 5 THEN NULL ELSE CAST(o.o_orderkey % 101 AS STRING) END AS occupancy,
   CASE WHEN o.o_orderkey % 12 = 7 THEN NULL ELSE CAST(CAST(o.o_totalprice AS DECIMAL(14,2)) AS STRING) END AS revenue,
   CAST(1 + o.o_custkey % 7 AS STRING) AS host_listing_count
-FROM (SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM {orders}
-      UNION ALL
-      SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM {orders}
-      WHERE o_orderkey % 10 = 0) o
+FROM {orders_copies} o
 JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
@@ -133,10 +132,25 @@ GROUP BY text
 """
 
 
+# Orders with the planted copies: every order once, orders with key % 10 = 0 twice.
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDERS_COPIES_SQL = (
+    "(SELECT {cols} FROM orders UNION ALL SELECT {cols} FROM orders WHERE o_orderkey % 10 = 0)"
+    .format(cols=", ".join(ORDER_COLUMNS)))
+
+
 def duckdb_sql(template: str) -> str:
     """The template with DuckDB's pre-registered view names."""
     return template.format(orders="orders", customer="customer", nation="nation",
-                           conversations="conversations", documents="documents")
+                           conversations="conversations", documents="documents",
+                           orders_copies=ORDERS_COPIES_SQL)
+
+
+def orders_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as ``ORDERS_COPIES_SQL`` from one scan: the copy is an explode."""
+    o = read_table(spark, sf_dir, "orders", spread_rows=True)
+    copies = F.when(F.col("o_orderkey") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return o.select(*ORDER_COLUMNS, F.explode(copies).alias("_copy")).drop("_copy")
 
 
 # Fact-sized tables: spread over the cores when their scan is one split.
@@ -150,7 +164,9 @@ def _spark_sql(spark: SparkSession, sf_dir: str, template: str, tables: list[str
 
 def dirty_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty listing view, all columns text except ``src_no``."""
-    return _spark_sql(spark, sf_dir, DIRTY_LISTINGS_SQL, ["orders", "customer", "nation"])
+    return spark.sql(DIRTY_LISTINGS_SQL, orders_copies=orders_copies(spark, sf_dir),
+                     customer=read_table(spark, sf_dir, "customer"),
+                     nation=read_table(spark, sf_dir, "nation"))
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ID_CODES, NATURAL_KEY, SOURCE_COL
-from ..session import checked_broadcast, ensure_checkpoint_dir
+from ..session import checked_broadcast, ensure_checkpoint_dir, scratch_path
 
 
 def _sort_keys(cols: list[str]) -> list[Column]:
@@ -23,8 +23,9 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     1. range-partition on (by, order) and sort inside partitions, so every
        partition holds consecutive rows of the global order;
     2. tag rows with partition id and ``monotonically_increasing_id`` and
-       checkpoint to the shared checkpoint folder (cuts lineage; both uses
-       below see the same tags even if executors are lost);
+       write them as Parquet into the shared checkpoint folder (cuts lineage;
+       both uses below see the same tags even if executors are lost, and
+       later steps read only the columns they need);
     3. count rows per (partition, group) -- at most partitions + groups rows --
        and turn the counts into per-partition offsets with a small window;
     4. join the offsets back (broadcast after a size check):
@@ -38,8 +39,10 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     ensure_checkpoint_dir(df.sparkSession)
     keys = _sort_keys(by + order)
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    tagged = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                           F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "sequence")
+    ranged.select("*", F.spark_partition_id().alias("_pid"),
+                  F.monotonically_increasing_id().alias("_mid")).write.parquet(path)
+    tagged = df.sparkSession.read.parquet(path)
     per_part = tagged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"),
                                                F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
