@@ -15,17 +15,21 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv_source(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_source(spark: SparkSession, path: str, lineage: bool = False) -> DataFrame:
     """One source: CSV files with a header row, every value text.
 
     No schema is passed and nothing is inferred: columns are named by the
     header of the files, so each source may have its own columns.  Folders
-    are read recursively.
+    are read recursively.  ``lineage=True`` adds ``source_file``, the file
+    each row came from (Spark's hidden ``_metadata`` column, no extra scan).
     """
-    return (spark.read.options(**CSV_OPTIONS)
-            .option("recursiveFileLookup", "true")
-            .option("inferSchema", "false")
-            .csv(path))
+    df = (spark.read.options(**CSV_OPTIONS)
+          .option("recursiveFileLookup", "true")
+          .option("inferSchema", "false")
+          .csv(path))
+    if lineage:
+        df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    return df
 
 
 def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:

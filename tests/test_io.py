@@ -116,3 +116,11 @@ def test_incremental_per_source_checkpoints(spark):
     ingest_sources(spark, registry, f"{base}/out", f"{base}/ckpt")
     got = rows(spark.read.parquet(f"{base}/out").select("src", "id"))
     assert got == [("a", "1"), ("b", "1"), ("b", "2")]
+
+
+def test_read_with_file_lineage(spark):
+    base = scratch_path(spark, "lineage")
+    files.write_table(spark.createDataFrame([("1",), ("2",)], "id string").coalesce(1), f"{base}/a", fmt="csv")
+    df = files.read_csv_source(spark, f"{base}/a", lineage=True)
+    got = df.select("source_file").distinct().collect()
+    assert len(got) == 1 and got[0][0].endswith(".csv") and "/a/" in got[0][0]
