@@ -2,7 +2,7 @@
 
 Modules: ``sources`` (read, unite, land, write), ``streaming`` (incremental
 ingestion), ``functions`` (column expressions), ``operators`` (DataFrame ->
-DataFrame steps), ``plans`` (star build, pipeline run, registered queries).
+DataFrame steps), ``plans`` (star build, ETL run, registered queries).
 """
 
 __version__ = "0.1.0"

@@ -109,10 +109,10 @@ def test_hash_ids_need_no_shuffle(raw, sources):
     assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
 
 
-def test_pipeline_run_writes_and_registers(spark, sf_small):
-    from martline.plans.pipeline import run
+def test_etl_run_writes_and_registers(spark, sf_small):
+    from martline.plans.etl import run
     from martline.session import scratch_path
-    out = scratch_path(spark, "pipeline-test")
+    out = scratch_path(spark, "etl-test")
     counts = {}
     tables = run(spark, fx.raw_listings(spark, sf_small), fx.source_registry(spark, sf_small), out,
                  counts=counts)
