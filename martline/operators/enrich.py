@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import STOP_WORDS, TARGET_LANGUAGE
 from ..functions.geo import Grid, haversine_km
 from ..functions.text import is_plain_text
-from ..session import checked_broadcast
+from ..session import checked_broadcast, default_parallelism
 from .quality import plain_text_gate
 
 
@@ -197,7 +197,7 @@ def enrich_hook(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.Series]
     values = df.select(F.col(column).cast("string").alias("value")).where("value IS NOT NULL").distinct()
     per_task = None
     if max_calls_per_second:
-        parts = partitions or df.sparkSession.sparkContext.defaultParallelism
+        parts = partitions or default_parallelism(df.sparkSession)
         values = values.repartition(parts)
         per_task = max_calls_per_second / parts
     elif partitions:

@@ -52,7 +52,8 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     cond = F.col("_pid") == F.col("_o_pid")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    bound = None if max_groups is None else tagged.rdd.getNumPartitions() + max_groups
+    # Every non-empty partition wrote at least one file: files + groups bounds the offsets.
+    bound = None if max_groups is None else len(tagged.inputFiles()) + max_groups
     joined = tagged.join(checked_broadcast(offsets, max_broadcast_rows, bound), cond, "inner")
     number = F.col("_base") + F.col("_mid") - F.col("_first") + F.lit(1)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))

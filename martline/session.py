@@ -34,6 +34,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions do not expose one
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores Spark plans for: the context's default parallelism, else the conf."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    value = spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return int(value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
@@ -42,7 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     temporary folder in local mode, else a folder below the warehouse, which
     a cluster keeps on shared storage.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: no context here; the server names the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_martline_checkpoints"
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -90,7 +110,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input already has enough splits and is returned untouched, so this never
     adds a shuffle at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or default_parallelism(df.sparkSession)
     try:
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
