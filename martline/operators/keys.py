@@ -14,7 +14,8 @@ def _sort_keys(cols: list[str]) -> list[Column]:
 
 
 def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str = "seq",
-                    max_broadcast_rows: int = 1_000_000, max_groups: int | None = None) -> DataFrame:
+                    max_broadcast_rows: int = 1_000_000, max_groups: int | None = None,
+                    tiebreak: list[str] | None = None) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)``, without one task per group.
 
     A window partitioned by source puts a whole source in one task; a source
@@ -31,14 +32,26 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     4. join the offsets back (broadcast after a size check):
        number = offset + position in partition + 1.
 
-    ``order`` must make rows unique within a group (append all columns when
-    the natural key may repeat) so that numbers do not depend on the plan.
+    ``order`` plus ``tiebreak`` must make rows unique within a group (pass
+    all remaining columns as ``tiebreak`` when the natural key may repeat) so
+    that numbers do not depend on the plan.  With a tiebreak, rows are ordered
+    by (by, order, hash of the row, tiebreak): the range partitioner then
+    samples a few narrow columns, and a hot key (say a third of the rows with
+    no property id) is still cut across partitions by the hash.
     ``max_groups``, when known, bounds the offset table (partitions + groups)
     without a counting job.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    keys = _sort_keys(by + order)
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    tiebreak = tiebreak or []
+    if tiebreak:
+        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in order + tiebreak])
+        source = df.select("*", row_hash.alias("_h"))
+        range_keys = _sort_keys(by + order + ["_h"])
+        sort_keys = range_keys + _sort_keys(tiebreak)
+    else:
+        source = df
+        range_keys = sort_keys = _sort_keys(by + order)
+    ranged = source.repartitionByRange(*range_keys).sortWithinPartitions(*sort_keys)
     path = scratch_path(df.sparkSession, "sequence")
     ranged.select("*", F.spark_partition_id().alias("_pid"),
                   F.monotonically_increasing_id().alias("_mid")).write.parquet(path)
@@ -71,14 +84,15 @@ def add_surrogate_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
                       codes: dict[str, str] = ID_CODES) -> DataFrame:
     """Seven ids per row: ``<source prefix><code><n>``, n = 1, 2, ... per source.
 
-    n follows the natural key, then the remaining columns, so the ids are the
-    same on every run and every partitioning.  ``sources`` maps ``src`` to its
+    n follows the natural key (then a row hash and the remaining columns for
+    rows sharing a key), so the ids are the same on every run and every
+    partitioning.  ``sources`` maps ``src`` to its
     ``prefix``; prefixes must be unique (checked on the small table).
     """
     prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
     n_sources = _checked_prefixes(prefixes)
-    order = [key] + [c for c in df.columns if c not in (SOURCE_COL, key)]
-    numbered = sequence_number(df, [SOURCE_COL], order, name="_seq", max_groups=n_sources)
+    rest = [c for c in df.columns if c not in (SOURCE_COL, key)]
+    numbered = sequence_number(df, [SOURCE_COL], [key], name="_seq", max_groups=n_sources, tiebreak=rest)
     joined = numbered.join(checked_broadcast(prefixes, known_rows=n_sources),
                            F.col(SOURCE_COL) == F.col("_p_src"), "left")
     ids = [F.concat(F.col("_prefix"), F.lit(code), F.col("_seq").cast("string")).alias(name)

@@ -129,3 +129,17 @@ def test_monotonic_ids_stable_after_checkpoint(spark, raw):
     first, second = rows(df), rows(df)
     assert first == second
     assert df.select("listingId").distinct().count() == df.count()
+
+
+def test_sequence_with_hot_null_key_matches_window(spark):
+    from pyspark.sql import Window
+
+    from martline.operators.keys import sequence_number
+    data = [("s1" if i % 4 else "s2", None if i % 3 == 0 else str(i % 50), i, f"v{i % 7}") for i in range(3000)]
+    df = spark.createDataFrame(data, "src string, k string, a int, b string")
+    got = sequence_number(df, ["src"], ["k"], name="n", tiebreak=["a", "b"])
+    h = F.xxhash64("k", "a", "b")
+    w = Window.partitionBy("src").orderBy(F.col("k").asc_nulls_first(), h.asc_nulls_first(),
+                                          F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first())
+    expect = df.select("*", F.row_number().over(w).alias("n"))
+    assert rows(got) == rows(expect)
