@@ -66,13 +66,16 @@ def translate_memo(df: DataFrame, text: str, memo: DataFrame, out: str | None =
                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Replace ``text`` by its memo translation when it is not in the target language.
 
-    ``memo`` has ``source_text, translated`` (one row per source text).
+    ``memo`` has ``source_text, translated``; several rows for one text
+    collapse to the smallest translation.
     Texts without a memo entry, in the target language or of unknown language
     keep their value.  The memo is broadcast after a size check, else joined
     by a shuffle (AQE splits a hot text).
     """
     out = out or text
-    m = memo.select(F.col("source_text").alias("_m_text"), F.col("translated").alias("_m_tr"))
+    # One translation per text (the smallest if the memo holds several), so the
+    # left join can never multiply rows.
+    m = memo.groupBy(F.col("source_text").alias("_m_text")).agg(F.min("translated").alias("_m_tr"))
     lang = language_of(text)
     joined = df.join(checked_broadcast(m, max_broadcast_rows), F.col(text) == F.col("_m_text"), "left")
     value = F.when(_needs_translation(lang), F.coalesce(F.col("_m_tr"), F.col(text))).otherwise(F.col(text))

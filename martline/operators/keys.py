@@ -73,10 +73,13 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
 
 
 def _checked_prefixes(prefixes: DataFrame) -> int:
-    """One small job over the source table: its size, and no prefix used twice."""
-    row = prefixes.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_prefix").alias("d")).first()
+    """One small job over the source table: its size, no prefix and no source twice."""
+    row = prefixes.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_prefix").alias("d"),
+                       F.count_distinct("_p_src").alias("s")).first()
     if row["n"] != row["d"]:
         raise ValueError("two sources share an id prefix")
+    if row["n"] != row["s"]:
+        raise ValueError("a source appears more than once in the source table")
     return row["n"]
 
 
@@ -108,7 +111,9 @@ def add_hash_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
     """
     prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
     digest = F.sha2(F.concat_ws("|", F.col(SOURCE_COL), F.col(key)), 256)
-    joined = df.join(checked_broadcast(prefixes), F.col(SOURCE_COL) == F.col("_p_src"), "left")
+    n_sources = _checked_prefixes(prefixes)
+    joined = df.join(checked_broadcast(prefixes, known_rows=n_sources),
+                     F.col(SOURCE_COL) == F.col("_p_src"), "left")
     ids = [F.concat(F.col("_prefix"), F.lit(code), digest).alias(name) for name, code in codes.items()]
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *ids)
 

@@ -62,6 +62,15 @@ def missing_columns(df: DataFrame, types: dict[str, str] = TARGET_TYPES) -> list
     return [c for c in types if c not in present]
 
 
+def source_count(sources: DataFrame, key: str = SOURCE_COL) -> int:
+    """Rows of a per-source table; one small job.  A source listed twice would
+    multiply its listings in the join, so it is an error."""
+    row = sources.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d")).first()
+    if row["n"] != row["d"]:
+        raise ValueError(f"a source appears more than once in the source table ({key})")
+    return row["n"]
+
+
 CONSTANT_COLUMNS = {"country": "country", "state": "state", "city": "city",
                     "currencyNative": "currency"}
 
@@ -80,7 +89,8 @@ def source_constants(df: DataFrame, sources: DataFrame, unset: str = "null",
         raise ValueError("unset must be 'null' or 'keep'")
     consts = sources.select(F.col(SOURCE_COL).alias("_src"),
                             *[F.col(s).alias(f"_c_{t}") for t, s in CONSTANT_COLUMNS.items()])
-    joined = df.join(checked_broadcast(consts, max_broadcast_rows),
+    n = source_count(consts, "_src")
+    joined = df.join(checked_broadcast(consts, max_broadcast_rows, known_rows=n),
                      F.col(SOURCE_COL) == F.col("_src"), "left")
     out = []
     for c in df.columns:

@@ -139,3 +139,21 @@ def test_no_python_udf_in_cleaning_plan(spark, sf_small):
     plan = wide.select(strip_symbols("listingTitle")).filter(F.col("src").isNotNull())
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_duplicate_source_rejected(spark):
+    import pytest
+    df = spark.createDataFrame([("a", None, None, None, None)],
+                               "src string, city string, country string, state string, currencyNative string")
+    sources = spark.createDataFrame([("a", "X", None, None, None), ("a", "Y", None, None, None)],
+                                    "src string, country string, state string, city string, currency string")
+    with pytest.raises(ValueError):
+        source_constants(df, sources)
+
+
+def test_memo_duplicates_do_not_multiply_rows(spark):
+    from martline.operators.enrich import translate_memo
+    df = spark.createDataFrame([(1, "der Hund und die Katze")], "id int, t string")
+    memo = spark.createDataFrame([("der Hund und die Katze", "b"), ("der Hund und die Katze", "a")],
+                                 "source_text string, translated string")
+    assert [tuple(r) for r in translate_memo(df, "t", memo).collect()] == [(1, "a")]
