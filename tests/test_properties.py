@@ -143,3 +143,15 @@ def test_sequence_with_hot_null_key_matches_window(spark):
                                           F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first())
     expect = df.select("*", F.row_number().over(w).alias("n"))
     assert rows(got) == rows(expect)
+
+
+def test_etl_run_gzip_csv(spark, sf_small):
+    from martline.plans.etl import run
+    from martline.session import scratch_path
+    out = scratch_path(spark, "etl-csv")
+    tables = run(spark, fx.raw_listings(spark, sf_small), fx.source_registry(spark, sf_small), out,
+                 fmt="csv", compression="gzip", register=False)
+    fact = tables["booking"]
+    assert fact.count() == tables["listing"].count() > 0
+    assert fact.where(F.col(SOURCE_COL).isNull()).count() == 0
+    assert dict(fact.dtypes)["annualRevenueLtmUSD"] == "double"
