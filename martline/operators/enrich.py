@@ -121,7 +121,8 @@ def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: st
     ``points`` has ``postcode, lat, lon``.  Each point is copied to the 3x3
     grid cells around it; per cell its candidates form one array (bounded by
     the point table's density, not by the listings).  Rows look up their own
-    cell -- an equi-join, broadcast when the cell table is small -- and pick
+    cell -- an equi-join, broadcast when the point copies number at most
+    ``max_broadcast_rows``, else a shuffle join on the cell -- and pick
     the candidate with the smallest (distance, postcode) inside the radius.
     No cross join, no shuffle of the listings when broadcast.
     """
@@ -142,8 +143,10 @@ def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: st
     rb = g.band(F.col(lat))
     keyed = df.select("*", rb.alias("_rband"))
     keyed = keyed.select("*", g.cell(F.col(lon), g.cells_in_band(F.col("_rband"))).alias("_rcell"))
-    joined = keyed.join(checked_broadcast(cells, max_broadcast_rows),
-                        (F.col("_rband") == F.col("_band")) & (F.col("_rcell") == F.col("_cell")), "left")
+    # What is broadcast is every (point, cell) entry inside the arrays, so that is what is counted.
+    entries = p.limit(max_broadcast_rows + 1).count()
+    side = F.broadcast(cells) if entries <= max_broadcast_rows else cells
+    joined = keyed.join(side, (F.col("_rband") == F.col("_band")) & (F.col("_rcell") == F.col("_cell")), "left")
     scored = F.transform(F.col("_cands"), lambda c: F.struct(
         haversine_km(F.col(lat), F.col(lon), c["_plat"], c["_plon"]).alias("d"), c["_pc"].alias("pc")))
     best = F.array_min(F.filter(scored, lambda s: s["d"] <= F.lit(float(radius_km))))["pc"]

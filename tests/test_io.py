@@ -101,6 +101,8 @@ def test_nearest_postcode_matches_brute_force(spark):
     points = spark.createDataFrame(pts, "postcode string, lat double, lon double")
     got = {r["id"]: r["postcode"] for r in nearest_postcode(df, points, radius).collect()}
     assert got == expect
+    shuffled = nearest_postcode(df, points, radius, max_broadcast_rows=5)
+    assert {r["id"]: r["postcode"] for r in shuffled.collect()} == expect
     assert sum(v is not None for v in expect.values()) > 20
 
 
