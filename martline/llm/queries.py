@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martline.llm.bpe import bpe_digests
 from martline.llm.common import table
 from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
+from martline.llm.packing import pack_documents, piece_digests
 from martline.llm.simhash import simhash_components
 
 
+def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -28,6 +39,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_curve_packing": op1_curve_packing,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
