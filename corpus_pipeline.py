@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from martline.llm.common import table, written
 from martline.llm.exact_dedup import drop_copies
 from martline.llm.fertility import keep_quality
+from martline.llm.packing import pack_documents, piece_digests
+from martline.llm.pii import redact_pii
 from martline.llm.simhash import drop_near_copies
 
 
@@ -29,10 +31,22 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return drop_near_copies(docs)
 
 
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked."""
+    return redact_pii(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in full sequences."""
+    return piece_digests(pack_documents(docs))
+
+
 STAGES = [
     ("quality_rules", quality_stage),
     ("exact_dedup", exact_dedup_stage),
     ("simhash_near_dedup", near_dedup_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
 ]
 
 #: Tokeniser measures, fingerprints and packing have no SQL form.

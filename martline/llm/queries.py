@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martline.llm.bpe import bpe_digests
 from martline.llm.common import table
 from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
 from martline.llm.packing import pack_documents, piece_digests
+from martline.llm.pii import find_pii
 from martline.llm.simhash import simhash_components
 
 
@@ -16,6 +18,12 @@ def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_found")
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -40,6 +48,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_curve_packing": op1_curve_packing,
+    "op3_contextual_pii": op3_contextual_pii,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
