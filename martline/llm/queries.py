@@ -12,6 +12,7 @@ from martline.llm.fertility import quality_verdicts
 from martline.llm.packing import pack_documents, piece_digests
 from martline.llm.pii import find_pii
 from martline.llm.simhash import simhash_components
+from martline.llm.warc import archive_pages
 
 
 def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "chars_per_token", "byte_share", "entropy", "script")
 
 
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_curve_packing": op1_curve_packing,
     "op3_contextual_pii": op3_contextual_pii,
@@ -53,6 +59,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op10_warc_index": op10_warc_index,
 }
 
 ORACLES = {
@@ -65,4 +72,17 @@ ORACLES = {
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
         FROM n
     """,
+    "op10_warc_index": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+        ), k AS (
+            SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
+                   max(page_id) OVER (PARTITION BY body) AS keep_id
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keep_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keep_id THEN keep_id END AS refers_to
+        FROM k
+    """,
 }
