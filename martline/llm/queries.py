@@ -6,19 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.llm.bpe import bpe_digests
-from martline.llm.common import table
+from martline.llm.common import held_out, table, training_rows
 from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
 from martline.llm.packing import pack_documents, piece_digests
 from martline.llm.pii import find_pii
 from martline.llm.simhash import simhash_components
+from martline.llm.toxicity import score_toxicity, train_toxicity
 from martline.llm.warc import archive_pages
 
+#: Scores from here on predict label 1.
+THRESHOLD = 0.7
+
 
 def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op2_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
@@ -54,6 +66,7 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_curve_packing": op1_curve_packing,
+    "op2_toxicity_lexicon": op2_toxicity_lexicon,
     "op3_contextual_pii": op3_contextual_pii,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_exact_dedup": op5_exact_dedup,
