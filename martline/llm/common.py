@@ -61,13 +61,18 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
-    """``id, text, label`` of the labelled documents outside the held-out fold, written once.
+def known_labels(labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
+    """``doc_id, label`` outside the held-out fold, one row a document.
 
     A document labelled more than once takes its largest label; null ids and
     labels other than 0 and 1 are passed over.
     """
-    known = (labels.filter(~held_out("doc_id", folds, fold) & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
-    rows = docs.filter(~held_out("doc_id", folds, fold)).select("doc_id", "text").join(known, "doc_id")
+    return (labels.filter(~held_out("doc_id", folds, fold) & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+            .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
+    """``id, text, label`` of the documents with a known label, written once."""
+    rows = (docs.filter(~held_out("doc_id", folds, fold)).select("doc_id", "text")
+            .join(known_labels(labels, label, folds, fold), "doc_id"))
     return written(rows.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label"), f"train-{label}")

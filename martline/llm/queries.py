@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.llm.bpe import bpe_digests
-from martline.llm.common import held_out, table, training_rows
+from martline.llm.common import held_out, known_labels, table, training_rows
 from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
 from martline.llm.packing import pack_documents, piece_digests
 from martline.llm.pii import find_pii
+from martline.llm.quality import document_statistics, score_quality, train_quality
 from martline.llm.simhash import simhash_components
 from martline.llm.toxicity import score_toxicity, train_toxicity
 from martline.llm.warc import archive_pages
@@ -59,6 +60,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "chars_per_token", "byte_share", "entropy", "script")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = document_statistics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = known_labels(table(spark, sf_dir, "labels"), "quality", 4, 2)
+    seen = rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_stats").alias("stats")).join(labels, "doc_id")
+    model = train_quality(seen.withColumnRenamed("doc_id", "id"))
+    return score_quality(rows, model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -72,6 +83,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_warc_index": op10_warc_index,
 }
 
