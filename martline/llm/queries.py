@@ -12,6 +12,7 @@ from martline.llm.fertility import quality_verdicts
 from martline.llm.packing import pack_documents, piece_digests
 from martline.llm.pii import find_pii
 from martline.llm.quality import document_statistics, score_quality, train_quality
+from martline.llm.quotes import link_quotes
 from martline.llm.simhash import simhash_components
 from martline.llm.toxicity import score_toxicity, train_toxicity
 from martline.llm.warc import archive_pages
@@ -70,6 +71,30 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def quoting_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` as a mail thread: each turn but the first quotes an earlier one of its conversation.
+
+    Every third turn answers the first turn, the others the one before; the
+    answered text stands at level 1, the first line of the text before it at
+    level 2, below a line that introduces them.
+    """
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = talk.filter("turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    answered = F.when(F.col("turn") % 3 == 2, F.lit(0)).otherwise(F.col("turn") - 1)
+    talk = (talk.withColumn("_to", answered).withColumn("_before", F.col("_to") - 1)
+            .join(said.select("conv_id", F.col("turn").alias("_to"), F.col("text").alias("_one")), ["conv_id", "_to"], "left")
+            .join(said.select("conv_id", F.col("turn").alias("_before"), F.substring_index("text", "\n", 1).alias("_two")),
+                  ["conv_id", "_before"], "left"))
+    quote = F.concat(F.lit("Someone wrote:\n"), F.coalesce(F.concat(F.lit("> > "), F.col("_two"), F.lit("\n")), F.lit("")),
+                     F.lit("> "), F.replace("_one", F.lit("\n"), F.lit("\n> ")), F.lit("\n\n"))
+    return talk.select("conv_id", "turn", "role", F.concat(F.coalesce(quote, F.lit("")), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def op9_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(quoting_view(spark, sf_dir)).select(
+        "conv_id", "turn", "role", "reply_text", "n_quotes", "parent_turn", "thread_turn", "depth", "position", "chat_text")
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -84,6 +109,7 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_quote_linking": op9_quote_linking,
     "op10_warc_index": op10_warc_index,
 }
 
