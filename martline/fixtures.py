@@ -1,6 +1,8 @@
 """Test inputs derived from the driver tables.
 
-The driver tables are clean, so listings are planted with dirt by one SQL
+The driver tables are clean, so listings are planted with dirt (all 53 raw
+columns, each with and without values; NULL, repeated and zero keys; NULL
+coordinates; numbers with suffixes) by one SQL
 text that runs unchanged in Spark and DuckDB (``FIXTURES.md`` section 3).
 Every table here grows with the driver tables; nothing is made up on the
 driver.  Placeholders ``{orders}`` etc. become DataFrames in Spark
@@ -21,8 +23,11 @@ from .session import read_table
 
 DIRTY_LISTINGS_SQL = """
 SELECT n.n_nationkey AS src_no, 'city' || LPAD(CAST(n.n_nationkey AS STRING), 2, '0') AS src,
-  CAST(o.o_orderkey AS STRING) AS property_id, CAST(c.c_custkey AS STRING) AS host_id,
+  CASE WHEN o.o_orderkey % 29 = 0 THEN NULL WHEN o.o_orderkey % 31 = 0 THEN 'P' || CAST(o.o_orderkey % 5 AS STRING)
+       ELSE CAST(o.o_orderkey AS STRING) END AS property_id,
+  CASE WHEN o.o_orderkey % 37 = 0 THEN NULL WHEN o.o_orderkey % 41 = 0 THEN '0' ELSE CAST(c.c_custkey AS STRING) END AS host_id,
   CASE WHEN o.o_orderkey % 11 = 0 THEN NULL
+       WHEN o.o_orderkey % 53 = 0 THEN chr(39) || chr(39)
        WHEN o.o_orderkey % 5 = 0 THEN 'Cosy \U0001F3E0 flat ★ ' || CAST(o.o_orderkey AS STRING)
        WHEN o.o_orderkey % 3 = 0 THEN chr(39) || 'Sea' || chr(39) || ' view ☀✨ ' || CAST(o.o_orderkey AS STRING)
        ELSE 'Plain room ' || CAST(o.o_orderkey AS STRING) END AS title,
@@ -30,7 +35,7 @@ SELECT n.n_nationkey AS src_no, 'city' || LPAD(CAST(n.n_nationkey AS STRING), 2,
        WHEN o.o_orderkey % 4 = 1 THEN 'House' ELSE 'Villa' END AS property_type,
   CASE WHEN o.o_orderkey % 13 = 0 OR o.o_orderkey % 17 = 0 THEN NULL ELSE o.o_orderpriority END AS listing_type,
   CASE WHEN o.o_orderkey % 13 = 0 OR o.o_orderkey % 9 = 0 THEN NULL ELSE CAST(o.o_orderkey % 6 AS STRING) END AS bedrooms,
-  CASE WHEN o.o_orderkey % 7 = 0 THEN NULL WHEN o.o_orderkey % 2 = 0 THEN CAST(o.o_orderkey % 4 AS STRING) || '.5'
+  CASE WHEN o.o_orderkey % 7 = 0 THEN NULL WHEN o.o_orderkey % 59 = 0 THEN '2d' WHEN o.o_orderkey % 2 = 0 THEN CAST(o.o_orderkey % 4 AS STRING) || '.5'
        ELSE CAST(o.o_orderkey % 4 AS STRING) END AS bathrooms,
   CASE WHEN o.o_orderkey % 19 = 0 THEN 'n/a' ELSE CAST(CAST(o.o_orderdate AS DATE) AS STRING) END AS created,
   CASE o.o_orderkey % 3 WHEN 0 THEN 't' WHEN 1 THEN 'f' ELSE NULL END AS superhost,
@@ -39,18 +44,51 @@ SELECT n.n_nationkey AS src_no, 'city' || LPAD(CAST(n.n_nationkey AS STRING), 2,
        WHEN 3 THEN '4:00 PM - 2:00 AM (next day)' WHEN 4 THEN NULL WHEN 5 THEN '15:00'
        WHEN 6 THEN '10:00 AM - 11:30 PM, self check-in' ELSE '3:00 PM - 9:00 PM' END AS checkin,
   CASE o.o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '10:00 AM' WHEN 2 THEN '12:00 PM' ELSE '11:00 AM' END AS checkout,
-  CASE WHEN o.o_orderkey % 6 = 0 THEN NULL ELSE CAST(1 + o.o_orderkey % 5 AS STRING) END AS minimum_stay,
-  '[' || chr(39) || 'TV' || chr(39) || ', ' || chr(39) || 'Wifi' || chr(39)
-      || CASE WHEN o.o_orderkey % 2 = 0 THEN ',Heating' ELSE '' END || ']' AS amenities,
-  CAST(o.o_orderkey % 180 - 90 AS STRING) || '.' || LPAD(CAST(o.o_orderkey % 100 AS STRING), 2, '0') AS latitude,
-  CAST(o.o_custkey % 360 - 180 AS STRING) || '.' || LPAD(CAST(o.o_orderkey % 97 AS STRING), 2, '0') AS longitude,
+  CASE WHEN o.o_orderkey % 6 = 0 THEN NULL WHEN o.o_orderkey % 61 = 0 THEN '3f' ELSE CAST(1 + o.o_orderkey % 5 AS STRING) END AS minimum_stay,
+  CASE WHEN o.o_orderkey % 63 = 0 THEN NULL ELSE '[' || chr(39) || 'TV' || chr(39) || ', ' || chr(39) || 'Wifi' || chr(39)
+      || CASE WHEN o.o_orderkey % 2 = 0 THEN ',Heating' ELSE '' END || ']' END AS amenities,
+  CASE WHEN o.o_orderkey % 43 = 0 THEN NULL ELSE
+       CAST(o.o_orderkey % 180 - 90 AS STRING) || '.' || LPAD(CAST(o.o_orderkey % 100 AS STRING), 2, '0') END AS latitude,
+  CASE WHEN o.o_orderkey % 47 = 0 THEN NULL ELSE
+       CAST(o.o_custkey % 360 - 180 AS STRING) || '.' || LPAD(CAST(o.o_orderkey % 97 AS STRING), 2, '0') END AS longitude,
   CASE WHEN o.o_orderkey % 10 < 3 THEN NULL ELSE LPAD(CAST(o.o_orderkey % 9973 AS STRING), 5, '0') END AS zipcode,
   CASE WHEN o.o_orderkey % 4 = 1 THEN NULL ELSE CAST(o.o_orderkey % 11 AS STRING) END AS location_rating,
-  CASE WHEN o.o_orderkey % 4 = 2 THEN NULL ELSE CAST(o.o_orderkey % 5 AS STRING) || '.25' END AS overall_rating,
+  CASE WHEN o.o_orderkey % 4 = 2 THEN NULL WHEN o.o_orderkey % 67 = 0 THEN 'Infinity' WHEN o.o_orderkey % 71 = 0 THEN 'NaN'
+       ELSE CAST(o.o_orderkey % 5 AS STRING) || '.25' END AS overall_rating,
   CASE WHEN o.o_orderkey % 8 = 3 THEN NULL ELSE CAST(CAST(c.c_acctbal AS DECIMAL(14,2)) AS STRING) END AS cleaning_fee,
   CASE WHEN o.o_orderkey % 6 = 5 THEN NULL ELSE CAST(o.o_orderkey % 101 AS STRING) END AS occupancy,
   CASE WHEN o.o_orderkey % 12 = 7 THEN NULL ELSE CAST(CAST(o.o_totalprice AS DECIMAL(14,2)) AS STRING) END AS revenue,
-  CAST(1 + o.o_custkey % 7 AS STRING) AS host_listing_count
+  CASE WHEN o.o_custkey % 10 = 9 THEN NULL ELSE CAST(1 + o.o_custkey % 7 AS STRING) END AS host_listing_count,
+  CASE WHEN o.o_orderkey % 5 = 1 THEN NULL ELSE 'Own ' || n.n_name END AS country,
+  CASE WHEN o.o_orderkey % 5 = 2 THEN NULL ELSE 'State ' || CAST(o.o_orderkey % 8 AS STRING) END AS state,
+  CASE WHEN o.o_orderkey % 5 = 3 THEN NULL ELSE 'City ' || CAST(o.o_orderkey % 12 AS STRING) END AS city,
+  CASE WHEN o.o_orderkey % 5 = 4 THEN NULL WHEN o.o_orderkey % 2 = 0 THEN 'CHF' ELSE 'SEK' END AS currency,
+  CASE WHEN o.o_orderkey % 6 = 1 THEN NULL ELSE CAST(o.o_orderkey % 301 AS STRING) END AS number_of_reviews,
+  CASE WHEN o.o_orderkey % 7 = 1 THEN NULL ELSE CAST(1 + o.o_orderkey % 9 AS STRING) END AS max_guests,
+  CASE o.o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Strict' WHEN 2 THEN 'Moderate' ELSE 'Flexible ☂' END AS cancellation_policy,
+  CASE WHEN o.o_orderkey % 7 = 2 THEN NULL ELSE CAST(o.o_orderkey % 90 AS STRING) || '.75' END AS cleaning_fee_native,
+  CASE WHEN o.o_orderkey % 7 = 3 THEN NULL ELSE CAST(o.o_orderkey % 40 AS STRING) || '.5' END AS extra_fee_native,
+  CASE WHEN o.o_orderkey % 7 = 4 THEN NULL ELSE ' ' || CAST(o.o_orderkey % 30 AS STRING) END AS extra_fee_usd,
+  CASE o.o_orderkey % 5 WHEN 0 THEN 't' WHEN 1 THEN 'f' WHEN 2 THEN 'T' ELSE NULL END AS exact_location,
+  CASE WHEN o.o_orderkey % 8 = 1 THEN NULL ELSE CAST(o.o_orderkey % 10 AS STRING) END AS accuracy_rating,
+  CASE WHEN o.o_orderkey % 8 = 2 THEN NULL ELSE CAST(o.o_orderkey % 9 AS STRING) END AS communication_rating,
+  CASE WHEN o.o_orderkey % 8 = 4 THEN NULL ELSE CAST(o.o_orderkey % 8 AS STRING) END AS value_rating,
+  CASE WHEN o.o_orderkey % 8 = 5 THEN NULL ELSE CAST(o.o_orderkey % 7 AS STRING) || '.9' END AS checkin_rating,
+  CASE WHEN o.o_orderkey % 8 = 6 THEN NULL ELSE '1e' || CAST(o.o_orderkey % 2 AS STRING) END AS cleanliness_rating,
+  CASE WHEN o.o_orderkey % 9 = 1 THEN NULL ELSE 'pics/' || CAST(o.o_orderkey AS STRING) || '.jpg' END AS picture,
+  CASE WHEN o.o_orderkey % 9 = 2 THEN NULL ELSE 'LIC-' || CAST(o.o_custkey AS STRING) END AS license,
+  CASE WHEN o.o_orderkey % 9 = 4 THEN NULL ELSE 'no smoking' END AS guest_controls,
+  CASE o.o_orderkey % 6 WHEN 0 THEN 't' WHEN 1 THEN 'f' WHEN 2 THEN 'true' ELSE NULL END AS pets_allowed,
+  CASE WHEN o.o_orderkey % 9 = 5 THEN NULL ELSE 'rooms/' || CAST(o.o_orderkey AS STRING) END AS listing_url,
+  CASE o.o_orderkey % 7 WHEN 0 THEN 't' WHEN 1 THEN 'f' ELSE NULL END AS instantbook_enabled,
+  CASE WHEN o.o_orderkey % 10 = 1 THEN NULL ELSE CAST(o.o_orderkey % 366 AS STRING) END AS available_days,
+  CASE WHEN o.o_orderkey % 10 = 2 THEN NULL ELSE CAST(o.o_orderkey % 120 AS STRING) END AS blocked_days,
+  CASE WHEN o.o_orderkey % 10 = 4 THEN NULL ELSE CAST(o.o_orderkey % 200 AS STRING) END AS reservation_days,
+  CASE WHEN o.o_orderkey % 10 = 6 THEN NULL ELSE CAST(o.o_orderkey % 50 AS STRING) END AS bookings,
+  CASE WHEN o.o_orderkey % 10 = 7 THEN NULL ELSE CAST(o.o_orderkey % 12 AS STRING) END AS bookings_months,
+  CASE WHEN o.o_orderkey % 11 = 1 THEN NULL ELSE CAST(o.o_orderkey % 500 AS STRING) || '.125' END AS daily_rate_native,
+  CASE WHEN o.o_orderkey % 11 = 2 THEN NULL ELSE '-' || CAST(o.o_orderkey % 400 AS STRING) || '.5' END AS daily_rate_usd,
+  CASE WHEN o.o_orderkey % 11 = 3 THEN NULL ELSE CAST(o.o_orderkey % 9999 AS STRING) || '.01' END AS revenue_native
 FROM {orders_copies} o
 JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
@@ -81,6 +119,36 @@ RAW_HEADERS: dict[str, str] = {
     "occupancy": "Occupancy Rate LTM",
     "revenue": "Annual Revenue LTM (USD)",
     "host_listing_count": "Host Listing Count",
+    "country": "Country",
+    "state": "State",
+    "city": "City",
+    "currency": "Currency Native",
+    "number_of_reviews": "Number of Reviews",
+    "max_guests": "Max Guests",
+    "cancellation_policy": "Cancellation Policy",
+    "cleaning_fee_native": "Cleaning Fee (Native)",
+    "extra_fee_native": "Extra People Fee(Native)",
+    "extra_fee_usd": "Extra People Fee (USD)",
+    "exact_location": "Exact Location",
+    "accuracy_rating": "Airbnb Accuracy Rating",
+    "communication_rating": "Airbnb Communication Rating",
+    "value_rating": "Airbnb Value Rating",
+    "checkin_rating": "Airbnb Checkin Rating",
+    "cleanliness_rating": "Airbnb Cleanliness Rating",
+    "picture": "picture_url",
+    "license": "License",
+    "guest_controls": "guest_controls",
+    "pets_allowed": "Pets Allowed",
+    "listing_url": "Listing URL",
+    "instantbook_enabled": "Instantbook Enabled",
+    "available_days": "Count Available Days LTM",
+    "blocked_days": "Count Blocked Days LTM",
+    "reservation_days": "Count Reservation Days LTM",
+    "bookings": "Number of Bookings LTM",
+    "bookings_months": "Number of Bookings LTM - Number of observed month",
+    "daily_rate_native": "Average Daily Rate (Native)",
+    "daily_rate_usd": "Average Daily Rate (USD)",
+    "revenue_native": "Annual Revenue LTM (Native)",
 }
 
 # Per-source constants and id prefixes, one row per nation.  Some sources

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..config import ID_CODES, NATURAL_KEY, SOURCE_COL
 from ..session import checked_broadcast, ensure_checkpoint_dir, scratch_path
+from .schema import unregistered
+
+
+#: Between the parts of a digest; cannot be taken for a part of listing text.
+SEPARATOR = "\x1f"
 
 
 def _sort_keys(cols: list[str]) -> list[Column]:
@@ -35,16 +40,17 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     ``order`` plus ``tiebreak`` must make rows unique within a group (pass
     all remaining columns as ``tiebreak`` when the natural key may repeat) so
     that numbers do not depend on the plan.  With a tiebreak, rows are ordered
-    by (by, order, hash of the row, tiebreak): the range partitioner then
+    by (by, order, MD5 of the text columns, tiebreak): the range partitioner then
     samples a few narrow columns, and a hot key (say a third of the rows with
-    no property id) is still cut across partitions by the hash.
+    no property id) is still cut across partitions by the digest.
     ``max_groups``, when known, bounds the offset table (partitions + groups)
     without a counting job.
     """
     ensure_checkpoint_dir(df.sparkSession)
     tiebreak = tiebreak or []
     if tiebreak:
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in order + tiebreak])
+        texts = [c for c in order + tiebreak if df.schema[c].dataType.simpleString() == "string"]
+        row_hash = F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in texts]))
         source = df.select("*", row_hash.alias("_h"))
         range_keys = _sort_keys(by + order + ["_h"])
         sort_keys = range_keys + _sort_keys(tiebreak)
@@ -98,23 +104,35 @@ def add_surrogate_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
     numbered = sequence_number(df, [SOURCE_COL], [key], name="_seq", max_groups=n_sources, tiebreak=rest)
     joined = numbered.join(checked_broadcast(prefixes, known_rows=n_sources),
                            F.col(SOURCE_COL) == F.col("_p_src"), "left")
-    ids = [F.concat(F.col("_prefix"), F.lit(code), F.col("_seq").cast("string")).alias(name)
-           for name, code in codes.items()]
+    known = F.coalesce("_prefix", unregistered(F.col(SOURCE_COL)))
+    ids = [F.concat(known, F.lit(code), F.col("_seq").cast("string")).alias(name) for name, code in codes.items()]
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *ids)
 
 
+def _canonical(df: DataFrame, c: str) -> Column:
+    """A column as text for a digest: NULL differs from empty, doubles with nine decimals."""
+    col = F.col(f"`{c}`")
+    if df.schema[c].dataType.simpleString() == "double":
+        col = F.coalesce(col.try_cast("decimal(38,9)").cast("string"), col.cast("string"))
+    return F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit(""))
+
+
 def add_hash_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
                  codes: dict[str, str] = ID_CODES) -> DataFrame:
-    """Seven ids per row: ``<prefix><code><sha256(src|key)>``; no shuffle at all.
+    """Seven ids per row: ``<prefix><code><sha256 of the row>``; no shuffle at all.
 
-    Unique as long as the natural key is unique within a source.
+    The digest covers every column (source and key first), so rows without a
+    key, or sharing one, get different ids as long as the rows are distinct,
+    which they are after deduplication.  A changed row gets new ids.
     """
     prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
-    digest = F.sha2(F.concat_ws("|", F.col(SOURCE_COL), F.col(key)), 256)
+    rest = [c for c in df.columns if c not in (SOURCE_COL, key)]
+    digest = F.sha2(F.concat_ws(SEPARATOR, *[_canonical(df, c) for c in [SOURCE_COL, key, *rest]]), 256)
     n_sources = _checked_prefixes(prefixes)
     joined = df.join(checked_broadcast(prefixes, known_rows=n_sources),
                      F.col(SOURCE_COL) == F.col("_p_src"), "left")
-    ids = [F.concat(F.col("_prefix"), F.lit(code), digest).alias(name) for name, code in codes.items()]
+    known = F.coalesce("_prefix", unregistered(F.col(SOURCE_COL)))
+    ids = [F.concat(known, F.lit(code), digest).alias(name) for name, code in codes.items()]
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *ids)
 
 

@@ -12,19 +12,24 @@ from ..session import checked_broadcast
 
 log = logging.getLogger(__name__)
 
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
 
 def cast_text(c: Column, typ: str, date_format: str = DATE_FORMAT) -> Column:
     """Cast raw text to ``typ``; text that does not fit becomes NULL.
 
     Integers go through double and are truncated, so ``"1.5"`` -> 1 and
-    ``" 7 "`` -> 7.  Dates must match ``date_format`` exactly.
+    ``" 7 "`` -> 7.  A number is decimal digits with an optional sign, point
+    and exponent: ``7d``, ``NaN`` and ``Infinity`` are text.  Dates must match
+    ``date_format`` exactly.
     """
     if typ == "string":
         return c
+    number = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
     if typ == "int":
-        return c.try_cast("double").try_cast("int")
+        return number.try_cast("int")
     if typ == "double":
-        return c.try_cast("double")
+        return number
     if typ == "date":
         return F.try_to_date(c, date_format)
     raise ValueError(f"unsupported target type {typ!r}")
@@ -71,6 +76,12 @@ def source_count(sources: DataFrame, key: str = SOURCE_COL) -> int:
     return row["n"]
 
 
+def unregistered(src: Column) -> Column:
+    """Raises for a row of an unknown source."""
+    return F.raise_error(F.concat(F.lit("source not in the source table: "), F.coalesce(src.cast("string"), F.lit("NULL")))
+                         ).cast("string")
+
+
 CONSTANT_COLUMNS = {"country": "country", "state": "state", "city": "city",
                     "currencyNative": "currency"}
 
@@ -83,7 +94,8 @@ def source_constants(df: DataFrame, sources: DataFrame, unset: str = "null",
     currency`` (NULL = not given).  ``unset="null"`` writes NULL where a
     constant is not given; ``unset="keep"`` keeps the row's own value there.
     The source table is joined by ``src``; it is broadcast when its row count
-    is within ``max_broadcast_rows``.
+    is within ``max_broadcast_rows``.  A row whose source is not in the table
+    raises when it is computed: its constants would otherwise be erased.
     """
     if unset not in ("null", "keep"):
         raise ValueError("unset must be 'null' or 'keep'")
@@ -95,7 +107,8 @@ def source_constants(df: DataFrame, sources: DataFrame, unset: str = "null",
     out = []
     for c in df.columns:
         if c in CONSTANT_COLUMNS:
-            const = F.col(f"_c_{c}").cast(df.schema[c].dataType)
+            const = F.when(F.col("_src").isNull(), unregistered(F.col(SOURCE_COL))).otherwise(
+                F.col(f"_c_{c}")).cast(df.schema[c].dataType)
             out.append((const if unset == "null" else F.coalesce(const, F.col(c))).alias(c))
         else:
             out.append(F.col(c))

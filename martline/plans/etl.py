@@ -46,7 +46,7 @@ def run(spark: SparkSession, raw: DataFrame, sources: DataFrame, out_dir: str,
     log.info("rows before cleaning %(raw_rows)d, after %(clean_rows)d", observed)
     if counts is not None:
         counts.update(observed)
-    written = spark.read.parquet(wide_path)
+    written = files.read_written(spark, wide_path, schema=wide.schema)
 
     tables = star.star_tables(written, host_grain=host_grain, fact_partitions=fact_partitions)
     out: dict[str, DataFrame] = {}

@@ -2,21 +2,58 @@
 
 Written independently of the Spark plans: plain SQL over the driver's views
 (``orders customer nation documents conversations``), composed as a chain
-of CTEs from the same configuration tables.  ``row_number()``, cross joins
-and scalar subqueries are fine here -- the oracle only has to be right on
-small data.
+of CTEs.  Patterns, defaults, flags, modes and word lists are stated here
+again, so that a wrong constant of the engine shows; only the names and types
+of columns (the mapping and the table layouts) are taken from the
+configuration.  ``row_number()``, cross joins and scalar subqueries are fine
+here -- the oracle only has to be right on small data.
 """
 
 from __future__ import annotations
 
-from ..config import (COLUMN_MAPPING, COMMON_MISSING, FILL_DEFAULTS, FLAG_COLUMNS, FLEXIBLE_TIME,
-                      ID_CODES, MODE_COLUMNS, PLAIN_TEXT_PATTERN, STOP_WORDS, TABLE_COLUMNS,
-                      TARGET_LANGUAGE, TARGET_TYPES)
+from ..config import COLUMN_MAPPING, TABLE_COLUMNS, TARGET_TYPES
 from ..fixtures import (DIRTY_LISTINGS_SQL, GEOCODER_PAYLOADS_SQL, POSTCODE_POINTS_SQL,
                         RAW_HEADERS, SOURCES_SQL, TRANSLATION_MEMO_SQL, duckdb_sql)
-from ..functions.clock import CLOCK_PREFIX
-from ..functions.text import SYMBOL_CLASS
-from .queries import DROPPED_HEADERS, POSTCODE_RADIUS_KM
+
+# Fixed values, stated on their own.
+ID_CODES = {"listingId": "LIS", "amenitiesId": "AMT", "reviewId": "REV", "checkInOutId": "CHK", "locationId": "LOC",
+            "pricingId": "PRC", "bookingId": "BOK"}
+COMMON_MISSING = ["propertyType", "listingType", "bedrooms"]
+FLAG_COLUMNS = {"listing": ["instantBookable", "petsAllowed"], "location": ["exactLocation"], "host": ["superhost"],
+                "booking": ["instantBookEnabled"]}
+FILL_DEFAULTS = {
+    "listing": {"propertyId": "0", "listingTitle": "Unknown", "propertyType": "Not Specified",
+                "listingType": "Not Specified", "listingURL": "No URL", "pictureURL": "No Image",
+                "createdDate": "1970-01-01", "bedrooms": 1, "bathrooms": 1, "maxGuests": 2,
+                "cancellationPolicy": "Not Specified"},
+    "location": {"country": "Unknown", "state": "Unknown", "city": "Unknown", "zipcode": "000000", "latitude": 0,
+                 "longitude": 0},
+    "host": {"hostId": "0", "hostListingCount": 0},
+    "review": {"numberOfReviews": 0, "overallRating": 0, "communicationRating": 0, "accuracyRating": 0,
+               "cleanlinessRating": 0, "checkinRating": 0, "locationRating": 0, "valueRating": 0},
+    "checkin": {"minimumStay": 1},
+    "pricing": {"currencyNative": "0.0", "cleaningFeeUSD": 0, "cleaningFeeNative": 0, "extraPeopleFeeUSD": 0,
+                "extraPeopleFeeNative": 0, "averageDailyRateUSD": 0, "averageDailyRateNative": 0},
+    "booking": {"occupancyRateLtm": 0, "numberOfBookingsLtm": 0, "numberOfBookingsLtmObservedMonth": 0,
+                "countReservationDaysLtm": 0, "countAvailableDaysLtm": 0, "annualRevenueLtmUSD": 0,
+                "annualRevenueLtmNative": 0},
+}
+MODE_COLUMNS = ["checkoutTime", "checkinStartTime", "checkinEndTime"]
+FLEXIBLE_TIME = "12:00 AM"
+CLOCK_PREFIX = "^\\s*(\\d{1,2}:\\d{2} [AaPp][Mm])"
+SYMBOL_CLASS = ("[\U0001F600-\U0001F64F\U0001F300-\U0001F5FF\U0001F680-\U0001F6FF\U0001F1E0-\U0001F1FF\u2700-\u27BF"
+                "\u2600-\u26FF\u2B00-\u2BFF\U0001F100-\U0001F1FF\U0001F200-\U0001F2FF\U0001F900-\U0001F9FF\u25A0-\u25FF]")
+PLAIN_TEXT_PATTERN = "^[a-zA-Z0-9\\s\\.,!?'\"-]+$"
+NUMBER_PATTERN = "^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$"
+STOP_WORDS = {
+    "en": ["the", "of", "and", "to"],
+    "de": ["der", "die", "und", "den"],
+    "es": ["el", "los", "del", "las"],
+    "fr": ["le", "les", "et", "du"],
+}
+TARGET_LANGUAGE = "en"
+DROPPED_HEADERS = ["Zipcode", "Bedrooms", "Amenities"]
+POSTCODE_RADIUS_KM = 1500.0
 
 DUCK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
               "boolean": "BOOLEAN"}
@@ -34,13 +71,17 @@ def with_(ctes: list[tuple[str, str]], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({sql})" for n, sql in ctes) + "\n" + body
 
 
+def number_sql(c: str) -> str:
+    return f"CASE WHEN regexp_matches({c}, {q(NUMBER_PATTERN)}) THEN TRY_CAST({c} AS DOUBLE) END"
+
+
 def cast_sql(c: str, typ: str) -> str:
     if typ == "string":
         return c
     if typ == "int":
-        return f"TRY_CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS INTEGER)"
+        return f"TRY_CAST(trunc({number_sql(c)}) AS INTEGER)"
     if typ == "double":
-        return f"TRY_CAST({c} AS DOUBLE)"
+        return number_sql(c)
     if typ == "date":
         return f"CAST(try_strptime({c}, '%Y-%m-%d') AS DATE)"
     raise ValueError(typ)
@@ -124,11 +165,15 @@ def constants_sql(frm: str, keep: bool = False) -> str:
 
 
 IDS = ", ".join(f"_prefix || {q(code)} || CAST(_rn AS VARCHAR) AS {name}" for name, code in ID_CODES.items())
+# Rows of one property id (or none) are ordered by a digest of their texts, then by all columns.
+TEXTS = ["propertyId"] + [c for c, t in TARGET_TYPES.items() if t == "string" and c != "propertyId"]
+ROW_ORDER = ("propertyId NULLS FIRST, md5(concat_ws(chr(31), "
+             + ", ".join(f"coalesce({c}, '')" for c in TEXTS) + ")), "
+             + ", ".join(f"{c} NULLS FIRST" for c in TARGET_TYPES if c != "propertyId"))
 WIDE = CLEANED + [
     ("stripped", f"SELECT {STRIPPED_COLS} FROM cleaned"),
     ("constant", constants_sql("stripped")),
-    ("numbered", "SELECT *, row_number() OVER (PARTITION BY src ORDER BY propertyId NULLS FIRST) AS _rn "
-                 "FROM constant"),
+    ("numbered", f"SELECT *, row_number() OVER (PARTITION BY src ORDER BY {ROW_ORDER}) AS _rn FROM constant"),
     ("wide", f"SELECT * EXCLUDE (_prefix, _rn), {IDS} FROM numbered"),
 ]
 
@@ -195,7 +240,7 @@ TABLES = WIDE + checkin_ctes("wide", ["checkInOutId"]) + [
     ("t_host", "SELECT COALESCE(hostId, '0') AS hostId, "
                "COALESCE(max(hostListingCount), CAST(0 AS INTEGER)) AS hostListingCount, "
                "COALESCE(max(CASE WHEN superhost = 't' THEN 't' WHEN superhost = 'f' THEN 'f' END) = 't', false) "
-               "AS superhost FROM wide GROUP BY hostId"),
+               "AS superhost FROM wide GROUP BY COALESCE(hostId, '0')"),
     ("t_location", f"SELECT {', '.join(fill_cols('location', T['location']))} FROM wide"),
     ("t_amenities", f"SELECT {', '.join(T['amenities'])} FROM wide"),
     ("t_review", f"SELECT {', '.join(fill_cols('review', T['review']))} FROM wide"),
@@ -352,7 +397,13 @@ def _host_summary() -> str:
 
 
 def _hash_ids() -> str:
-    digest = "sha256(concat_ws('|', src, propertyId))"
+    def part(c: str, typ: str) -> str:
+        text = f"CAST(CAST({c} AS DECIMAL(38,9)) AS VARCHAR)" if typ == "double" else f"CAST({c} AS VARCHAR)"
+        return f"coalesce('=' || {text}, '')"
+
+    rest = [(c, t) for c, t in TARGET_TYPES.items() if c != "propertyId"]
+    parts = [part(c, t) for c, t in [("src", "string"), ("propertyId", "string"), *rest]]
+    digest = f"sha256(concat_ws(chr(31), {', '.join(parts)}))"
     ids = ", ".join(f"_prefix || {q(code)} || {digest} AS {name}" for name, code in ID_CODES.items())
     return with_(CLEANED + [("stripped", f"SELECT {STRIPPED_COLS} FROM cleaned"),
                             ("constant", constants_sql("stripped"))],
@@ -382,7 +433,8 @@ def oracles() -> dict[str, str]:
         "source_union": with_(MAPPED, "SELECT src, count(*) AS rows, count(zipcode) AS zipcodes, "
                                       "CAST(SUM(CAST(annualRevenueLtmUSD AS DECIMAL(14,2))) AS DECIMAL(18,2)) "
                                       "AS revenue FROM mapped GROUP BY src"),
-        "landing_by_source": with_(BASE, "SELECT src, count(*) AS rows FROM dirty GROUP BY src"),
+        "landing_by_source": with_(BASE, "SELECT src, " + ", ".join(f'{c} AS "{h}"' for c, h in RAW_HEADERS.items())
+                                   + " FROM dirty"),
         "sink_roundtrip": with_(BASE, "SELECT * FROM dirty"),
         "incremental_ingest": _dirty_as_text(),
         "column_mapping": with_(BASE + [("m", mapped_sql(ensure=False))], "SELECT * FROM m"),

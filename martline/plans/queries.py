@@ -62,7 +62,7 @@ def _dirty_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv_scan")
-    files.write_table(fx.dirty_listings(spark, sf), path, fmt="csv")
+    files.write_raw(fx.dirty_listings(spark, sf), path)
     return files.read_csv_source(spark, path)
 
 
@@ -75,8 +75,7 @@ def _landed(spark: SparkSession, sf: str, name: str) -> tuple[str, list[str]]:
 
 def q_landing_by_source(spark: SparkSession, sf: str) -> DataFrame:
     path, _ = _landed(spark, sf, "landing")
-    zone = spark.read.options(**files.CSV_OPTIONS).csv(path)  # src from folder names
-    return zone.groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("rows"))
+    return files.read_landed(spark, path, list(fx.RAW_HEADERS.values()))
 
 
 def q_source_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,10 +101,10 @@ def q_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "incremental")
     inbox, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     first = F.col("src_no").cast("int") % 2 == 0
-    files.write_table(dirty.where(first), f"{inbox}/drop1", fmt="csv")
+    files.write_raw(dirty.where(first), f"{inbox}/drop1")
     ingest_new_files(spark, f"{inbox}/*", dirty.columns, sink, ckpt)
     ingest_new_files(spark, f"{inbox}/*", dirty.columns, sink, ckpt)
-    files.write_table(dirty.where(~first), f"{inbox}/drop2", fmt="csv")
+    files.write_raw(dirty.where(~first), f"{inbox}/drop2")
     ingest_new_files(spark, f"{inbox}/*", dirty.columns, sink, ckpt)
     return spark.read.parquet(sink)
 

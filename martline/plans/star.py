@@ -109,14 +109,16 @@ def host_dimension(df: DataFrame, grain: str = "host") -> DataFrame:
     """One row per host (``grain="host"``): largest listing count, superhost if
     any listing says so.  ``grain="listing"`` keeps one row per listing.
 
-    Hosts are grouped before the defaults are written, so unknown hosts do not
-    first become one hot key "0" to shuffle.
+    Hosts are grouped by the filled key, so that hosts without an id and those
+    whose id is the default share one row; partial aggregation leaves that key
+    one row a task to shuffle.
     """
     if grain == "listing":
         return fill_host(df.select(*TABLE_COLUMNS["host"]))
     if grain != "host":
         raise ValueError("grain must be 'host' or 'listing'")
-    grouped = df.groupBy("hostId").agg(
+    key = {"hostId": FILL_DEFAULTS["host"]["hostId"]}
+    grouped = fill_defaults(df, key).groupBy("hostId").agg(
         F.max("hostListingCount").alias("hostListingCount"),
         F.max(F.col("superhost") == F.lit("t")).alias("_any_t"))
     defaults = {c: v for c, v in FILL_DEFAULTS["host"].items() if c != "superhost"}

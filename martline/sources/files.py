@@ -11,19 +11,27 @@ from ..config import SOURCE_COL
 
 # CSV options shared by reads and writes: quoted fields may hold commas,
 # quotes (doubled) and line breaks; spaces around values are kept.
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true",
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "enforceSchema": "false",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+# Tables we write tell NULL from the empty text, which raw listing files do not.
+TABLE_CSV_OPTIONS = {**CSV_OPTIONS, "nullValue": "\\N"}
 
-def read_csv_source(spark: SparkSession, path: str, lineage: bool = False) -> DataFrame:
+
+def read_csv_source(spark: SparkSession, path: str, lineage: bool = False, multi_line: bool = True) -> DataFrame:
     """One source: CSV files with a header row, every value text.
 
     No schema is passed and nothing is inferred: columns are named by the
-    header of the files, so each source may have its own columns.  Folders
+    header of the files, so each source may have its own columns.  All files of
+    a source must have the same header: one whose columns differ, or come in
+    another order, raises instead of being bound by position.  Folders
     are read recursively.  ``lineage=True`` adds ``source_file``, the file
     each row came from (Spark's hidden ``_metadata`` column, no extra scan).
+    ``multi_line=False`` lets Spark split large files of a source whose values
+    hold no line breaks.
     """
     df = (spark.read.options(**CSV_OPTIONS)
+          .option("multiLine", str(multi_line).lower())
           .option("recursiveFileLookup", "true")
           .option("inferSchema", "false")
           .csv(path))
@@ -81,20 +89,32 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", compression: str
     if compression:
         writer = writer.option("compression", compression)
     if fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(path)
+        writer.options(**TABLE_CSV_OPTIONS).csv(path)
     else:
         writer.format(fmt).save(path)
 
 
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write rows as raw listing files: CSV with a header, NULL as nothing."""
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
 def read_written(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Read back a table written by ``write_table``.  For CSV pass the schema to
-    get the types back (CSV stores text; an empty text reads back as NULL)."""
+    """Read back a table written by ``write_table``.
+
+    Pass the schema to get the types back: CSV stores text, and the values of
+    partition folders (``src=007``) would otherwise be guessed to be numbers.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        reader = spark.read.options(**CSV_OPTIONS)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.csv(path)
-    return spark.read.format(fmt).load(path)
+        return reader.options(**TABLE_CSV_OPTIONS).csv(path)
+    return reader.format(fmt).load(path)
+
+
+def read_landed(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The raw zone as one frame: ``columns`` and the source, all text."""
+    schema = ", ".join(f"`{c}` string" for c in [*columns, SOURCE_COL])
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path).select(SOURCE_COL, *[f"`{c}`" for c in columns])
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame], prefix: str = "") -> list[str]:

@@ -8,11 +8,11 @@ loses nor repeats rows.  One checkpoint per source.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..sources.files import CSV_OPTIONS
+from ..sources.files import CSV_OPTIONS, union_sources
 
 
 def text_schema(columns: list[str]) -> StructType:
@@ -28,18 +28,23 @@ def ingest_new_files(spark: SparkSession, source_path: str, columns: list[str],
     checked against them (``enforceSchema=false``) rather than bound by
     position.  Blocks until the new files are processed.
     """
+    query = _started(spark, source_path, columns, sink_path, checkpoint, sink_format, max_files_per_trigger)
+    query.awaitTermination()
+    return query
+
+
+def _started(spark: SparkSession, source_path: str, columns: list[str], sink_path: str, checkpoint: str,
+             sink_format: str, max_files_per_trigger: int | None = None) -> StreamingQuery:
     reader = (spark.readStream.schema(text_schema(columns))
               .options(**CSV_OPTIONS).option("enforceSchema", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(source_path)
-    query = (stream.writeStream.format(sink_format)
-             .option("path", sink_path)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return query
+    return (stream.writeStream.format(sink_format)
+            .option("path", sink_path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start())
 
 
 def ingest_sources(spark: SparkSession, registry: dict[str, tuple[str, list[str]]], sink_root: str,
@@ -47,12 +52,23 @@ def ingest_sources(spark: SparkSession, registry: dict[str, tuple[str, list[str]
     """Incremental ingestion of several sources, one stream and one checkpoint each.
 
     ``registry`` maps a source name to (folder, header columns).  Each source
-    lands in ``<sink_root>/src=<name>`` so the sink reads back as one table
-    partitioned by source.  Returns the sink folder per source.
+    lands in its own sink ``<sink_root>/src=<name>``; the streams run side by
+    side.  Returns the sink folder per source; read them with ``read_sinks``.
     """
     base_sink, base_ckpt = sink_root.rstrip("/"), checkpoint_root.rstrip("/")
-    sinks = {}
-    for name, (path, columns) in registry.items():
-        sinks[name] = f"{base_sink}/src={name}"
-        ingest_new_files(spark, path, columns, sinks[name], f"{base_ckpt}/{name}", sink_format)
+    sinks = {name: f"{base_sink}/src={name}" for name in registry}
+    running = [_started(spark, path, columns, sinks[name], f"{base_ckpt}/{name}", sink_format)
+               for name, (path, columns) in registry.items()]
+    for query in running:
+        query.awaitTermination()
     return sinks
+
+
+def read_sinks(spark: SparkSession, sinks: dict[str, str], sink_format: str = "parquet") -> DataFrame:
+    """The committed rows of several sinks, with their source.
+
+    Each sink is read by its own folder, so that its commit log decides which
+    files count; a read of the common root would also take files of a batch
+    that failed.
+    """
+    return union_sources({name: spark.read.format(sink_format).load(path) for name, path in sinks.items()})

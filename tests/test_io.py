@@ -1,7 +1,9 @@
 """Sources and sinks: CSV and Parquet round trips, schema drift, incremental runs."""
 
 import os
+import shutil
 
+import pytest
 
 from martline import fixtures as fx
 from martline.session import local_path, scratch_path
@@ -19,8 +21,37 @@ def test_csv_roundtrip_with_quotes_and_newlines(spark):
     path = scratch_path(spark, "csv-rt")
     files.write_table(df, path, fmt="csv", compression="gzip")
     back = files.read_written(spark, path, fmt="csv", schema=df.schema)
-    # Documented loss: an empty text reads back as NULL.
-    assert rows(back) == [(1, 'say "hi", then\nleave', " padded "), (2, None, None)]
+    assert rows(back) == [(1, 'say "hi", then\nleave', " padded "), (2, "", None)]
+
+
+def test_files_of_one_source_must_share_a_header(spark):
+    base = scratch_path(spark, "headers")
+    files.write_raw(spark.createDataFrame([("1", "2")], "x string, y string"), f"{base}/one")
+    files.write_raw(spark.createDataFrame([("3", "4")], "y string, x string"), f"{base}/two")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv_source(spark, base).collect()
+
+
+def test_source_names_stay_text(spark):
+    df = spark.createDataFrame([("a", "007"), ("b", "01")], "v string, src string")
+    path = scratch_path(spark, "names")
+    files.write_table(df, path, partition_by=["src"])
+    assert rows(files.read_written(spark, path, schema=df.schema).select("src", "v")) == [("007", "a"), ("01", "b")]
+    zone = scratch_path(spark, "zone")
+    files.land_by_source(df, zone)
+    assert rows(files.read_landed(spark, zone, ["v"])) == [("007", "a"), ("01", "b")]
+
+
+def test_sinks_are_read_by_their_commit_logs(spark):
+    from martline.streaming.incremental import read_sinks
+    base = scratch_path(spark, "stray")
+    files.write_raw(spark.createDataFrame([("1",)], "id string"), f"{base}/in/a/d1")
+    sinks = ingest_sources(spark, {"a": (f"{base}/in/a/*", ["id"])}, f"{base}/out", f"{base}/ckpt")
+    stray = f"{base}/stray"
+    spark.createDataFrame([("9",)], "id string").coalesce(1).write.parquet(stray)
+    part = next(f for f in os.listdir(local_path(stray)) if f.endswith(".parquet"))
+    shutil.copy(f"{local_path(stray)}/{part}", f"{local_path(sinks['a'])}/{part}")
+    assert rows(read_sinks(spark, sinks)) == [("a", "1")]
 
 
 def test_parquet_roundtrip(spark, sf_small):
@@ -52,7 +83,7 @@ def test_incremental_exactly_once(spark):
     cols = ["id", "val"]
     base = scratch_path(spark, "incr")
     inbox, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
-    files.write_table(spark.createDataFrame([("1", "a")], "id string, val string"), f"{inbox}/d1", fmt="csv")
+    files.write_raw(spark.createDataFrame([("1", "a")], "id string, val string"), f"{inbox}/d1")
     ingest_new_files(spark, f"{inbox}/*", cols, sink, ckpt)
     assert spark.read.parquet(sink).count() == 1
     ingest_new_files(spark, f"{inbox}/*", cols, sink, ckpt)
@@ -115,8 +146,9 @@ def test_incremental_per_source_checkpoints(spark):
     registry = {"a": (f"{base}/in/a/*", cols), "b": (f"{base}/in/b/*", cols)}
     ingest_sources(spark, registry, f"{base}/out", f"{base}/ckpt")
     files.write_table(spark.createDataFrame([("2",)], "id string"), f"{base}/in/b/d2", fmt="csv")
-    ingest_sources(spark, registry, f"{base}/out", f"{base}/ckpt")
-    got = rows(spark.read.parquet(f"{base}/out").select("src", "id"))
+    from martline.streaming.incremental import read_sinks
+    sinks = ingest_sources(spark, registry, f"{base}/out", f"{base}/ckpt")
+    got = rows(read_sinks(spark, sinks).select("src", "id"))
     assert got == [("a", "1"), ("b", "1"), ("b", "2")]
 
 

@@ -1,10 +1,8 @@
-"""Plan guards for every registered query: no pair explosion, no row-at-a-time Python."""
+"""Plan guards for every query of the listing library: no pair explosion, no row-at-a-time Python."""
 
 import pytest
 
-import __spark_entry__ as entry
-
-QUERIES = entry.queries()
+from martline.plans.queries import QUERIES
 # Only the external-call hook may run Python, and then as Arrow batches.
 ARROW_PYTHON = {"enrich_hook"}
 

@@ -138,7 +138,7 @@ def test_sequence_with_hot_null_key_matches_window(spark):
     data = [("s1" if i % 4 else "s2", None if i % 3 == 0 else str(i % 50), i, f"v{i % 7}") for i in range(3000)]
     df = spark.createDataFrame(data, "src string, k string, a int, b string")
     got = sequence_number(df, ["src"], ["k"], name="n", tiebreak=["a", "b"])
-    h = F.xxhash64("k", "a", "b")
+    h = F.md5(F.concat_ws("\x1f", F.coalesce("k", F.lit("")), F.coalesce("b", F.lit(""))))
     w = Window.partitionBy("src").orderBy(F.col("k").asc_nulls_first(), h.asc_nulls_first(),
                                           F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first())
     expect = df.select("*", F.row_number().over(w).alias("n"))
@@ -155,3 +155,32 @@ def test_etl_run_gzip_csv(spark, sf_small):
     assert fact.count() == tables["listing"].count() > 0
     assert fact.where(F.col(SOURCE_COL).isNull()).count() == 0
     assert dict(fact.dtypes)["annualRevenueLtmUSD"] == "double"
+
+
+def test_fixture_exercises_every_column(raw):
+    mapped = star.mapped_listings(raw)
+    counts = mapped.agg(*[F.struct(F.count(c), F.count_if(F.col(c).isNull())).alias(c) for c in mapped.columns if c != SOURCE_COL])
+    for c, (known, missing) in counts.first().asDict().items():
+        assert known > 0 and missing > 0, c
+    assert mapped.where("hostId = '0'").count() > 0
+
+
+def test_unknown_source_raises(spark, raw, sources):
+    fewer = sources.where("src <> 'city00'")
+    for ids in ("sequence", "hash"):
+        with pytest.raises(Exception, match="source not in the source table: city00"):
+            star.clean_listings(raw, fewer, ids=ids).collect()
+
+
+def test_hash_ids_are_unique(raw, sources):
+    wide = star.clean_listings(raw, sources, ids="hash")
+    assert wide.where("propertyId IS NULL").count() > 1
+    assert wide.select("listingId").distinct().count() == wide.count()
+
+
+def test_casts_take_numbers_only(spark):
+    from martline.operators.schema import cast_text
+    texts = ["7d", "7f", "NaN", "Infinity", "0x1", "1_0", "", " 1.9 ", "-2", ".5", "1e2", "3."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(cast_text(F.col("t"), "int"), cast_text(F.col("t"), "double")).collect()]
+    assert got == [(None, None)] * 7 + [(1, 1.9), (-2, -2.0), (0, 0.5), (100, 100.0), (3, 3.0)]
