@@ -189,12 +189,28 @@ SELECT CAST(o_orderkey AS STRING) AS property_id,
 FROM {orders}
 """
 
+# Texts with every seventh conversation (or eleventh document) written in another script, letter by letter.
+JAPANESE = "translate({text}, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+    "'あいうえおかきくけこさしすせそたちつてと東京都市家族海山アイウエオカキクケコサシスセソタチツテト大小中上下右左')"
+ARABIC = "translate({text}, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+    "'ابتثجحخدذرزسشصضطظعغفقكلمنهابتثجحخدذرزسشصضطظعغفقكلمنه')"
+TALK_SQL = f"""
+SELECT conv_id, turn, role,
+       CASE conv_id % 7 WHEN 3 THEN {JAPANESE.format(text="text")} WHEN 5 THEN {ARABIC.format(text="text")} ELSE text END AS text
+FROM {{conversations}}
+"""
+DOCUMENTS_SQL = f"""
+SELECT doc_id, lang,
+       CASE doc_id % 11 WHEN 4 THEN {JAPANESE.format(text="text")} WHEN 7 THEN {ARABIC.format(text="text")} ELSE text END AS text
+FROM {{documents}}
+"""
+
 # Translation memo: earlier answers of a translation service, keyed by the
 # source text.  Stands in for the service's cache; covers the user turns.
 TRANSLATION_MEMO_SQL = """
 SELECT text AS source_text,
        MIN('en:' || CAST(conv_id AS STRING) || '.' || CAST(turn AS STRING)) AS translated
-FROM {conversations}
+FROM {talk}
 WHERE role = 'user'
 GROUP BY text
 """
@@ -210,7 +226,7 @@ ORDERS_COPIES_SQL = (
 def duckdb_sql(template: str) -> str:
     """The template with DuckDB's pre-registered view names."""
     return template.format(orders="orders", customer="customer", nation="nation",
-                           conversations="conversations", documents="documents",
+                           conversations="conversations", documents="documents", talk="talk",
                            orders_copies=ORDERS_COPIES_SQL)
 
 
@@ -255,5 +271,13 @@ def geocoder_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, GEOCODER_PAYLOADS_SQL, ["orders"])
 
 
+def talk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, TALK_SQL, ["conversations"])
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, DOCUMENTS_SQL, ["documents"])
+
+
 def translation_memo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spark_sql(spark, sf_dir, TRANSLATION_MEMO_SQL, ["conversations"])
+    return spark.sql(TRANSLATION_MEMO_SQL, talk=talk(spark, sf_dir))

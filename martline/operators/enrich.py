@@ -1,8 +1,8 @@
 """Enrichment: language, translation memo, nearest postcode, external-call hook.
 
 The reference called web services row by row.  Here the services are
-re-aimed as data: a stop-word dictionary for language, a memo table of
-earlier translations joined by text, a postcode point table joined by grid
+re-aimed as data: scripts and stop words for language, a memo table of
+earlier translations joined by the text's digest, a postcode point table joined by grid
 cell, and one Arrow-batched hook for whatever must still call out.
 """
 
@@ -16,10 +16,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import STOP_WORDS, TARGET_LANGUAGE
+from ..config import SCRIPT_LANGUAGES, STOP_WORDS, TARGET_LANGUAGE
 from ..functions.geo import Grid, haversine_km
 from ..functions.text import is_plain_text
-from ..session import checked_broadcast, default_parallelism
+from ..session import checked_broadcast, default_parallelism, scratch_path
 from .quality import plain_text_gate
 
 
@@ -28,13 +28,16 @@ from .quality import plain_text_gate
 # ---------------------------------------------------------------------------
 
 def language_of(text: Column | str, stop_words: dict[str, list[str]] = STOP_WORDS) -> Column:
-    """Language whose stop words occur most often in the whole text.
-
-    A token is a maximal run of letters of the lower-cased text; per
-    language, one regex pass counts the tokens that are one of its stop words
-    (the look-arounds make a match a whole token).  Ties go to the smallest
-    language code; no hit gives NULL.  Row by row inside the JVM, so a
-    20,000-word text is one row, not 20,000 shuffled ones.
+    """Language of the whole text: by script, else by stop words.
+
+    If letters of one of ``SCRIPT_LANGUAGES`` outnumber the Latin ones, the
+    script with most letters names the language (ties: the smallest code;
+    any Japanese syllable makes Han text Japanese).  Otherwise it is the
+    language whose stop words occur most often; a token is a maximal run of
+    letters of the lower-cased text, ties go to the smallest language code, and
+    no hit gives NULL.  Row by row inside the JVM, so a 20,000-word text is one
+    row, not 20,000 shuffled ones; scripts are counted only in texts that
+    have letters beyond Latin.
     """
     col = F.col(text) if isinstance(text, str) else text
     low = F.lower(col)
@@ -43,10 +46,25 @@ def language_of(text: Column | str, stop_words: dict[str, list[str]] = STOP_WORD
         pattern = r"(?<!\p{L})(?:" + "|".join(re.escape(w) for w in words) + r")(?!\p{L})"
         return F.regexp_count(low, F.lit(pattern))
 
-    scored = F.array(*[F.struct((-hits(stop_words[lang])).alias("n"), F.lit(lang).alias("lang"))
-                       for lang in sorted(stop_words)])
-    best = F.array_min(F.filter(scored, lambda s: s["n"] < 0))
-    return best["lang"]
+    def letters(scripts: list[str]) -> Column:
+        return F.regexp_count(col, F.lit("[" + "".join(rf"\p{{Is{s}}}" for s in scripts) + "]"))
+
+    def best(scored: list[tuple[Column, str]]) -> Column:
+        found = F.array(*[F.struct((-n).alias("n"), F.lit(lang).alias("lang")) for n, lang in scored])
+        return F.array_min(F.filter(found, lambda s: s["n"] < 0))
+
+    by_word = best([(hits(stop_words[lang]), lang) for lang in sorted(stop_words)])["lang"]
+    scripts: dict[str, list[str]] = {}
+    for script, lang in SCRIPT_LANGUAGES.items():
+        scripts.setdefault(lang, []).append(script)
+    kana = letters(scripts["ja"])
+    counts = [(F.when(kana > 0, letters([*scripts["ja"], "Han"])).otherwise(F.lit(0)) if lang == "ja"
+               else F.when(kana > 0, F.lit(0)).otherwise(letters(names)) if lang == "zh" else letters(names), lang)
+              for lang, names in sorted(scripts.items())]
+    top = best(counts)
+    by_script = F.when(-top["n"] > letters(["Latin"]), top["lang"])
+    foreign = col.rlike("[" + "".join(rf"\p{{Is{s}}}" for s in SCRIPT_LANGUAGES) + "]")
+    return F.coalesce(F.when(foreign, by_script), by_word)
 
 
 def detect_language(df: DataFrame, text: str, out: str = "lang_detected") -> DataFrame:
@@ -57,9 +75,30 @@ def detect_language(df: DataFrame, text: str, out: str = "lang_detected") -> Dat
 # Translation through a memo of earlier answers
 # ---------------------------------------------------------------------------
 
-def _needs_translation(lang: Column) -> Column:
-    """A text is translated only when its language is known and not the target."""
-    return lang.isNotNull() & (lang != F.lit(TARGET_LANGUAGE))
+def _needs_translation(text: str) -> Column:
+    """A text is translated only when its language is known and not the target.
+
+    The language occurs once in the expression, so it is computed once.
+    """
+    return F.coalesce(language_of(text) != F.lit(TARGET_LANGUAGE), F.lit(False))
+
+
+def _memo_by_digest(memo: DataFrame) -> DataFrame:
+    """One translation per text (the smallest if the memo holds several), keyed by the text's digest."""
+    return memo.groupBy(F.sha2("source_text", 256).alias("_m_key")).agg(
+        F.min("source_text").alias("_m_text"), F.min("translated").alias("_m_tr"))
+
+
+def _translated(df: DataFrame, text: str, by_digest: DataFrame, out: str) -> DataFrame:
+    # Rows that need no translation get a key that meets nothing and spreads evenly.
+    key = F.when(_needs_translation(text), F.sha2(text, 256)).otherwise(
+        F.concat(F.lit("-"), F.xxhash64(text).cast("string")))
+    joined = df.withColumn("_t_key", key).join(by_digest, F.col("_t_key") == F.col("_m_key"), "left")
+    value = F.when(F.col("_m_text") == F.col(text), F.coalesce("_m_tr", text)).otherwise(F.col(text))
+    cols = [value.alias(out) if c == out else F.col(f"`{c}`") for c in df.columns]
+    if out not in df.columns:
+        cols.append(value.alias(out))
+    return joined.select(*cols)
 
 
 def translate_memo(df: DataFrame, text: str, memo: DataFrame, out: str | None = None,
@@ -67,44 +106,58 @@ def translate_memo(df: DataFrame, text: str, memo: DataFrame, out: str | None =
     """Replace ``text`` by its memo translation when it is not in the target language.
 
     ``memo`` has ``source_text, translated``; several rows for one text
-    collapse to the smallest translation.
-    Texts without a memo entry, in the target language or of unknown language
-    keep their value.  The memo is broadcast after a size check, else joined
-    by a shuffle (AQE splits a hot text).
+    collapse to the smallest translation, so rows never multiply.  Texts
+    without a memo entry, in the target language or of unknown language keep
+    their value.  The join is on the text's SHA-256 (then checked on the
+    text); the memo is broadcast after a check of its rows and bytes, else
+    joined by a shuffle (AQE splits a hot text).
     """
-    out = out or text
-    # One translation per text (the smallest if the memo holds several), so the
-    # left join can never multiply rows.
-    m = memo.groupBy(F.col("source_text").alias("_m_text")).agg(F.min("translated").alias("_m_tr"))
-    lang = language_of(text)
-    joined = df.join(checked_broadcast(m, max_broadcast_rows), F.col(text) == F.col("_m_text"), "left")
-    value = F.when(_needs_translation(lang), F.coalesce(F.col("_m_tr"), F.col(text))).otherwise(F.col(text))
-    cols = [value.alias(out) if c == out else F.col(f"`{c}`") for c in df.columns]
-    if out not in df.columns:
-        cols.append(value.alias(out))
-    return joined.select(*cols)
+    return _translated(df, text, checked_broadcast(_memo_by_digest(memo), max_broadcast_rows), out or text)
 
 
 def translate_unseen(df: DataFrame, text: str, memo: DataFrame) -> DataFrame:
     """Distinct texts that need translation and are not in the memo: the only
     work left for an external service.  Copies are counted map-side first."""
-    need = df.where(_needs_translation(language_of(text))).groupBy(F.col(text).alias("text")) \
-             .agg(F.count(F.lit(1)).alias("n_rows"))
-    return need.join(memo.select(F.col("source_text").alias("text")), "text", "left_anti")
+    need = df.where(_needs_translation(text)).groupBy(F.col(text).alias("text")) \
+             .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("_key", F.sha2("text", 256))
+    known = memo.select(F.sha2("source_text", 256).alias("_key")).distinct()
+    return need.join(known, "_key", "left_anti").drop("_key")
 
 
-def translate_gated(df: DataFrame, memo: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def translate_gated(df: DataFrame, memo: DataFrame, columns: list[str] | None = None,
+                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Translate every text column that fails the plain-text gate.
 
     The gate is one aggregation over all columns; its result (one small row
-    per column) decides on the driver which columns get the memo join.
+    per column) decides on the driver which columns get the memo join.  The
+    memo is reduced and its size checked once for all columns.
     """
     gate = plain_text_gate(df, columns).where("n_failing > 0").collect()
+    if not gate:
+        return df
+    by_digest = checked_broadcast(_memo_by_digest(memo), max_broadcast_rows)
     for row in gate:
-        df = translate_memo(df, row["column_name"], memo)
+        df = _translated(df, row["column_name"], by_digest, row["column_name"])
     return df
 
 
+def learn_translations(spark_df: DataFrame, text: str, memo_path: str, fn: Callable[[pd.Series], pd.Series],
+                       max_calls_per_second: float | None = None) -> DataFrame:
+    """The memo after one round of the service: texts unseen so far are translated once and appended.
+
+    The hook's answers are written before they are used, so no action calls
+    the service again; only calls that succeeded enter the memo.  Returns the memo.
+    """
+    spark = spark_df.sparkSession
+    memo = spark.read.schema(MEMO_SCHEMA).parquet(memo_path)
+    unseen = translate_unseen(spark_df, text, memo)
+    answers = scratch_path(spark, "translations")
+    enrich_hook(unseen, "text", fn, max_calls_per_second).write.parquet(answers)
+    done = spark.read.schema(HOOK_SCHEMA).parquet(answers).where("status = 'ok' AND result IS NOT NULL")
+    done.select(F.col("value").alias("source_text"), F.col("result").alias("translated")).write.mode("append").parquet(memo_path)
+    return spark.read.schema(MEMO_SCHEMA).parquet(memo_path)
+
+
 def plain_text(df: DataFrame, text: str, out: str = "plain") -> DataFrame:
     return df.withColumn(out, is_plain_text(text))
 
@@ -113,44 +166,74 @@ def plain_text(df: DataFrame, text: str, out: str = "plain") -> DataFrame:
 # Nearest postcode within a radius
 # ---------------------------------------------------------------------------
 
+# Points in a grid cell that are compared without a finer grid, and the finest grid: radius / 4**MOST_LEVELS.
+CELL_POINTS, MOST_LEVELS = 32, 6
+
+
 def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: str = "latitude",
                      lon: str = "longitude", out: str = "postcode",
                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Postcode of the nearest reference point within ``radius_km``, else NULL.
 
-    ``points`` has ``postcode, lat, lon``.  Each point is copied to the 3x3
-    grid cells around it; per cell its candidates form one array (bounded by
-    the point table's density, not by the listings).  Rows look up their own
-    cell -- an equi-join, broadcast when the point copies number at most
-    ``max_broadcast_rows``, else a shuffle join on the cell -- and pick
-    the candidate with the smallest (distance, postcode) inside the radius.
-    No cross join, no shuffle of the listings when broadcast.
+    ``points`` has ``postcode, lat, lon``.  Distinct coordinates are looked up,
+    on a grid fine enough that a cell holds few points, then on grids four
+    times coarser until the radius is reached; a coordinate with a point
+    within a grid's own radius is done, since nothing nearer lies outside
+    the cells around it.  Ties go to the smallest postcode.  Rows without
+    coordinates take no part and get NULL.  Candidates are joined as rows on
+    their cell and reduced by a minimum, so no cell becomes an array; the
+    points are broadcast within ``max_broadcast_rows`` and a bound of bytes.
     """
-    g = Grid(radius_km)
-    p = points.select(F.col("postcode").alias("_pc"), F.col("lat").alias("_plat"),
-                      F.col("lon").alias("_plon")).where("_plat IS NOT NULL AND _plon IS NOT NULL")
+    spark = df.sparkSession
+    places = points.where("lat IS NOT NULL AND lon IS NOT NULL").groupBy(
+        F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.min("postcode").alias("_pc"))
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    left = df.where(known).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
+    found = None
+    for radius in reversed(_grid_radii(places, float(radius_km))):
+        path = scratch_path(spark, "nearest")
+        _nearest_in_cells(left, places, radius, max_broadcast_rows).write.parquet(path)
+        level = spark.read.parquet(path)
+        done = level.where("_pc IS NOT NULL")
+        found = done if found is None else found.unionByName(done)
+        left = level.where("_pc IS NULL").select("_lat", "_lon")
+        if left.isEmpty():
+            break
+    joined = df.where(known).join(found, (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon")), "left")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*columns, F.col("_pc").alias(out)).unionByName(
+        df.where(~known).select(*columns, F.lit(None).cast("string").alias(out)))
+
+
+def _grid_radii(places: DataFrame, radius: float) -> list[float]:
+    """The radius and ever finer ones, until no cell holds many points."""
+    radii = [radius]
+    while len(radii) <= MOST_LEVELS:
+        g = Grid(radii[-1])
+        band = g.band(F.col("_plat"))
+        cells = places.groupBy(band, g.cell(F.col("_plon"), g.cells_in_band(band))).agg(F.count(F.lit(1)).alias("n"))
+        if (cells.agg(F.max("n")).first()[0] or 0) <= CELL_POINTS:
+            break
+        radii.append(radii[-1] / 4)
+    return radii
+
+
+def _nearest_in_cells(left: DataFrame, places: DataFrame, radius: float, max_broadcast_rows: int) -> DataFrame:
+    """``_lat, _lon, _pc``: the nearest point within ``radius`` of each coordinate, or NULL."""
+    g = Grid(radius)
     b0 = g.band(F.col("_plat"))
-    p = p.select("*", F.explode(F.array(b0 - 1, b0, b0 + 1)).alias("_band")) \
-         .where((F.col("_band") >= 0) & (F.col("_band") < g.n_bands))
+    p = places.select("*", F.explode(F.array(b0 - 1, b0, b0 + 1)).alias("_band")) \
+              .where((F.col("_band") >= 0) & (F.col("_band") < g.n_bands))
     n = g.cells_in_band(F.col("_band"))
     c0 = g.cell(F.col("_plon"), n)
-    p = p.select("*", F.explode(F.array(c0 - 1, c0, c0 + 1)).alias("_c"), n.alias("_n")) \
-         .select("_pc", "_plat", "_plon", "_band", F.pmod(F.col("_c"), F.col("_n")).alias("_cell")) \
-         .distinct()
-    cells = p.groupBy("_band", "_cell").agg(
-        F.collect_list(F.struct("_plat", "_plon", "_pc")).alias("_cands"))
-
-    rb = g.band(F.col(lat))
-    keyed = df.select("*", rb.alias("_rband"))
-    keyed = keyed.select("*", g.cell(F.col(lon), g.cells_in_band(F.col("_rband"))).alias("_rcell"))
-    # What is broadcast is every (point, cell) entry inside the arrays, so that is what is counted.
-    entries = p.limit(max_broadcast_rows + 1).count()
-    side = F.broadcast(cells) if entries <= max_broadcast_rows else cells
-    joined = keyed.join(side, (F.col("_rband") == F.col("_band")) & (F.col("_rcell") == F.col("_cell")), "left")
-    scored = F.transform(F.col("_cands"), lambda c: F.struct(
-        haversine_km(F.col(lat), F.col(lon), c["_plat"], c["_plon"]).alias("d"), c["_pc"].alias("pc")))
-    best = F.array_min(F.filter(scored, lambda s: s["d"] <= F.lit(float(radius_km))))["pc"]
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], best.alias(out))
+    p = p.select("*", F.explode(F.array_distinct(F.transform(F.array(c0 - 1, c0, c0 + 1), lambda c: F.pmod(c, n)))).alias("_cell"))
+    p = checked_broadcast(p.select("_pc", "_plat", "_plon", "_band", "_cell"), max_broadcast_rows)
+    keyed = left.select("*", g.band(F.col("_lat")).alias("_band"))
+    keyed = keyed.select("*", g.cell(F.col("_lon"), g.cells_in_band(F.col("_band"))).alias("_cell"))
+    km = haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
+    near = F.when(km <= F.lit(radius), F.struct(km.alias("d"), F.col("_pc").alias("pc")))
+    return (keyed.join(p, ["_band", "_cell"], "left").groupBy("_lat", "_lon")
+            .agg(F.min(near).alias("_best")).select("_lat", "_lon", F.col("_best.pc").alias("_pc")))
 
 
 # ---------------------------------------------------------------------------
@@ -158,34 +241,39 @@ def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: st
 # ---------------------------------------------------------------------------
 
 HOOK_SCHEMA = "value string, result string, status string"
+MEMO_SCHEMA = "source_text string, translated string"
+
+# Values handed to the service at a time: this much of a task's budget, in seconds.
+SLICE_SECONDS = 0.2
 
 
 def _call_batches(fn: Callable[[pd.Series], pd.Series], per_task_rate: float | None
                   ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            values = pdf["value"]
-            started = time.monotonic()
-            try:
-                result = fn(values).astype(object)
-                status = pd.Series(["ok"] * len(values), index=values.index, dtype=object)
-            except Exception:  # one bad value must not sink the batch: retry one by one
-                out, st = [], []
-                for v in values:
-                    try:
-                        out.append(fn(pd.Series([v])).iloc[0])
-                        st.append("ok")
-                    except Exception as e:  # noqa: BLE001 - reported in the status column
-                        out.append(None)
-                        st.append(f"error: {type(e).__name__}")
-                result = pd.Series(out, index=values.index, dtype=object)
-                status = pd.Series(st, index=values.index, dtype=object)
+        free = [time.monotonic()]  # when the budget allows the next call
+
+        def call(values: pd.Series) -> pd.Series:
+            """One paced call: its values are paid for before the next one starts."""
             if per_task_rate:
-                wait = len(values) / per_task_rate - (time.monotonic() - started)
-                if wait > 0:
-                    time.sleep(wait)
-            yield pd.DataFrame({"value": values, "result": result.where(result.notna(), None),
-                                "status": status})
+                time.sleep(max(0.0, free[0] - time.monotonic()))
+                free[0] = max(free[0], time.monotonic()) + len(values) / per_task_rate
+            return fn(values)
+
+        def answers(values: list[str]) -> list[tuple[str | None, str]]:
+            """Halves a failing slice until the failing values stand alone; values that got an answer are not sent again."""
+            try:
+                return [(r if pd.notna(r) else None, "ok") for r in call(pd.Series(values, dtype=object))]
+            except Exception as e:  # noqa: BLE001 - reported in the status column
+                if len(values) == 1:
+                    return [(None, f"error: {type(e).__name__}")]
+                half = len(values) // 2
+                return answers(values[:half]) + answers(values[half:])
+
+        for pdf in batches:
+            values = pdf["value"].tolist()
+            size = max(1, int(per_task_rate * SLICE_SECONDS)) if per_task_rate else len(values) or 1
+            found = [x for at in range(0, len(values), size) for x in answers(values[at:at + size])]
+            yield pd.DataFrame({"value": values, "result": [r for r, _ in found], "status": [s for _, s in found]}, dtype=object)
     return run
 
 
@@ -197,8 +285,10 @@ def enrich_hook(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.Series]
     ``fn`` maps a pandas Series of text to a Series of text (a client for a
     translation or geocoding service, say).  Output: ``value, result,
     status``; a failing call gives ``result`` NULL and ``status`` "error: ...".
-    ``max_calls_per_second`` is a budget for the whole job: it is split over
-    ``partitions`` tasks that may run at once.
+    ``max_calls_per_second`` is a budget of values for the whole job: it is split over
+    ``partitions`` tasks that may run at once, and each task hands over a
+    fraction of a second's budget at a time and waits before the next.  The
+    result is lazy: write it before using it twice (``learn_translations``).
     """
     values = df.select(F.col(column).cast("string").alias("value")).where("value IS NOT NULL").distinct()
     per_task = None

@@ -12,8 +12,8 @@ here -- the oracle only has to be right on small data.
 from __future__ import annotations
 
 from ..config import COLUMN_MAPPING, TABLE_COLUMNS, TARGET_TYPES
-from ..fixtures import (DIRTY_LISTINGS_SQL, GEOCODER_PAYLOADS_SQL, POSTCODE_POINTS_SQL,
-                        RAW_HEADERS, SOURCES_SQL, TRANSLATION_MEMO_SQL, duckdb_sql)
+from ..fixtures import (DIRTY_LISTINGS_SQL, DOCUMENTS_SQL, GEOCODER_PAYLOADS_SQL, POSTCODE_POINTS_SQL,
+                        RAW_HEADERS, SOURCES_SQL, TALK_SQL, TRANSLATION_MEMO_SQL, duckdb_sql)
 
 # Fixed values, stated on their own.
 ID_CODES = {"listingId": "LIS", "amenitiesId": "AMT", "reviewId": "REV", "checkInOutId": "CHK", "locationId": "LOC",
@@ -46,11 +46,14 @@ SYMBOL_CLASS = ("[\U0001F600-\U0001F64F\U0001F300-\U0001F5FF\U0001F680-\U0001F6F
 PLAIN_TEXT_PATTERN = "^[a-zA-Z0-9\\s\\.,!?'\"-]+$"
 NUMBER_PATTERN = "^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$"
 STOP_WORDS = {
-    "en": ["the", "of", "and", "to"],
-    "de": ["der", "die", "und", "den"],
-    "es": ["el", "los", "del", "las"],
-    "fr": ["le", "les", "et", "du"],
+    "en": ["the", "of", "and", "to", "with", "near", "your", "house"],
+    "de": ["der", "die", "und", "den", "mit", "eine", "nahe", "haus"],
+    "es": ["el", "los", "del", "las", "con", "una", "cerca", "casa"],
+    "fr": ["le", "les", "et", "du", "avec", "dans", "belle", "maison"],
 }
+# Language -> classes of its letters; Han is Japanese beside a syllable, else Chinese.
+SCRIPTS = {"ar": "\\p{Arabic}", "el": "\\p{Greek}", "he": "\\p{Hebrew}", "hi": "\\p{Devanagari}", "ja": "\\p{Hiragana}\\p{Katakana}",
+           "ko": "\\p{Hangul}", "ru": "\\p{Cyrillic}", "th": "\\p{Thai}", "zh": "\\p{Han}"}
 TARGET_LANGUAGE = "en"
 DROPPED_HEADERS = ["Zipcode", "Bedrooms", "Amenities"]
 POSTCODE_RADIUS_KM = 1500.0
@@ -271,24 +274,37 @@ def _fill_oracle(table: str) -> str:
 STOP_VALUES = ", ".join(f"({q(w)}, {q(lang)})" for lang, words in STOP_WORDS.items() for w in words)
 
 
-def language_ctes(table: str, key: list[str], text: str = "text") -> list[tuple[str, str]]:
+def letters_sql(text: str, classes: str) -> str:
+    return f"length(regexp_replace({text}, '[^{classes}]', '', 'g'))"
+
+
+def language_ctes(table: str, key: list[str], text: str = "text", name: str = "") -> list[tuple[str, str]]:
+    """``best<name>``: the language of each text, by script or by stop words."""
     k = ", ".join(key)
+    kana, han = letters_sql(text, SCRIPTS["ja"]), letters_sql(text, SCRIPTS["ja"] + SCRIPTS["zh"])
+    counts = {lang: letters_sql(text, classes) for lang, classes in SCRIPTS.items()}
+    counts["ja"] = f"CASE WHEN {kana} > 0 THEN {han} ELSE 0 END"
+    counts["zh"] = f"CASE WHEN {kana} > 0 THEN 0 ELSE {counts['zh']} END"
+    scripts = " UNION ALL ".join(f"SELECT {k}, {q(lang)} AS lang, {n} AS n, {letters_sql(text, chr(92) + 'p{Latin}')} AS latin FROM {table}"
+                                 for lang, n in counts.items())
+    top = "row_number() OVER (PARTITION BY {} ORDER BY n DESC, lang) AS rn".format(k)
     return [
-        ("stop", f"SELECT * FROM (VALUES {STOP_VALUES}) AS s(word, lang)"),
-        ("tok", f"SELECT {k}, unnest(string_split_regex(lower({text}), '[^\\p{{L}}]+')) AS w FROM {table}"),
-        ("hits", f"SELECT {k}, lang, count(*) AS n FROM tok JOIN stop ON tok.w = stop.word GROUP BY {k}, lang"),
-        ("best", f"SELECT {k}, lang FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY n DESC, lang) "
-                 f"AS rn FROM hits) WHERE rn = 1"),
+        (f"stop{name}", f"SELECT * FROM (VALUES {STOP_VALUES}) AS s(word, lang)"),
+        (f"tok{name}", f"SELECT {k}, unnest(string_split_regex(lower({text}), '[^\\p{{L}}]+')) AS w FROM {table}"),
+        (f"hits{name}", f"SELECT {k}, lang, count(*) AS n FROM tok{name} t JOIN stop{name} s ON t.w = s.word GROUP BY {k}, lang"),
+        (f"word{name}", f"SELECT {k}, lang FROM (SELECT *, {top} FROM hits{name}) WHERE rn = 1"),
+        (f"script{name}", f"SELECT {k}, lang FROM (SELECT *, {top} FROM ({scripts})) WHERE rn = 1 AND n > latin AND n > 0"),
+        (f"best{name}", f"SELECT {k}, coalesce(s.lang, w.lang) AS lang FROM script{name} s FULL JOIN word{name} w USING ({k})"),
     ]
 
 
 def _translate_ctes() -> list[tuple[str, str]]:
-    return [("memo", duckdb_sql(TRANSLATION_MEMO_SQL))] + language_ctes("conversations", ["conv_id", "turn"])
+    return [("talk", duckdb_sql(TALK_SQL)), ("memo", duckdb_sql(TRANSLATION_MEMO_SQL))] + language_ctes("talk", ["conv_id", "turn"])
 
 
 NEEDS = f"b.lang IS NOT NULL AND b.lang <> {q(TARGET_LANGUAGE)}"
 TRANSLATED = f"CASE WHEN {NEEDS} THEN COALESCE(m.translated, c.text) ELSE c.text END"
-TRANSLATE_FROM = ("FROM conversations c LEFT JOIN best b ON c.conv_id = b.conv_id AND c.turn = b.turn "
+TRANSLATE_FROM = ("FROM talk c LEFT JOIN best b ON c.conv_id = b.conv_id AND c.turn = b.turn "
                   "LEFT JOIN memo m ON c.text = m.source_text")
 
 
@@ -302,34 +318,22 @@ def _gate_rows(table: str, cols: list[str]) -> str:
 def _translate_gated() -> str:
     cols = []
     for c in ("role", "text"):
-        gate = (f"(SELECT count_if(NOT regexp_matches({c}, {q(PLAIN_TEXT_PATTERN)})) FROM conversations) > 0")
+        gate = (f"(SELECT count_if(NOT regexp_matches({c}, {q(PLAIN_TEXT_PATTERN)})) FROM talk) > 0")
         # The memo lookup of a gated column uses that column's own language and memo entry.
         cols.append(f"CASE WHEN {gate} THEN {c}_tr ELSE c.{c} END AS {c}")
     per_col = []
     for c in ("role", "text"):
-        per_col += language_ctes_named(c)
+        per_col += language_ctes("talk", ["conv_id", "turn"], c, f"_{c}")
     body = (f"SELECT c.conv_id, c.turn, {', '.join(cols)} FROM ("
             "SELECT c.*, "
             + ", ".join(
                 f"CASE WHEN b_{c}.lang IS NOT NULL AND b_{c}.lang <> {q(TARGET_LANGUAGE)} "
                 f"THEN COALESCE(m_{c}.translated, c.{c}) ELSE c.{c} END AS {c}_tr" for c in ("role", "text"))
-            + " FROM conversations c "
+            + " FROM talk c "
             + " ".join(f"LEFT JOIN best_{c} b_{c} ON c.conv_id = b_{c}.conv_id AND c.turn = b_{c}.turn "
                        f"LEFT JOIN memo m_{c} ON c.{c} = m_{c}.source_text" for c in ("role", "text"))
             + ") c")
-    return with_([("memo", duckdb_sql(TRANSLATION_MEMO_SQL))] + per_col, body)
-
-
-def language_ctes_named(c: str) -> list[tuple[str, str]]:
-    key = "conv_id, turn"
-    return [
-        (f"stop_{c}", f"SELECT * FROM (VALUES {STOP_VALUES}) AS s(word, lang)"),
-        (f"tok_{c}", f"SELECT {key}, unnest(string_split_regex(lower({c}), '[^\\p{{L}}]+')) AS w FROM conversations"),
-        (f"hits_{c}", f"SELECT {key}, lang, count(*) AS n FROM tok_{c} JOIN stop_{c} ON tok_{c}.w = stop_{c}.word "
-                      f"GROUP BY {key}, lang"),
-        (f"best_{c}", f"SELECT {key}, lang FROM (SELECT *, row_number() OVER (PARTITION BY {key} "
-                      f"ORDER BY n DESC, lang) AS rn FROM hits_{c}) WHERE rn = 1"),
-    ]
+    return with_([("talk", duckdb_sql(TALK_SQL)), ("memo", duckdb_sql(TRANSLATION_MEMO_SQL))] + per_col, body)
 
 
 # ---------------------------------------------------------------------------
@@ -488,13 +492,13 @@ def oracles() -> dict[str, str]:
         "row_profile": _row_profile(),
         "plain_text_gate": _gate_rows("documents", ["text", "lang", "source"]) + " UNION ALL "
                            + _gate_rows("conversations", ["role", "text"]),
-        "detect_language": with_(language_ctes("documents", ["doc_id"]),
+        "detect_language": with_([("texts", duckdb_sql(DOCUMENTS_SQL))] + language_ctes("texts", ["doc_id"]),
                                  "SELECT d.doc_id, d.lang, b.lang AS lang_detected "
-                                 "FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id"),
+                                 "FROM texts d LEFT JOIN best b ON d.doc_id = b.doc_id"),
         "translate_memo": with_(_translate_ctes(), f"SELECT c.conv_id, c.turn, {TRANSLATED} AS text_en "
                                                    f"{TRANSLATE_FROM}"),
         "translate_unseen": with_(_translate_ctes(),
-                                  f"SELECT c.text, count(*) AS n_rows FROM conversations c "
+                                  f"SELECT c.text, count(*) AS n_rows FROM talk c "
                                   f"LEFT JOIN best b ON c.conv_id = b.conv_id AND c.turn = b.turn "
                                   f"WHERE {NEEDS} AND c.text NOT IN (SELECT source_text FROM memo) "
                                   f"GROUP BY c.text"),

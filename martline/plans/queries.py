@@ -262,24 +262,23 @@ def q_star_host_summary(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q_detect_language(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents", spread_rows=True).select("doc_id", "lang", "text")
-    return enrich.detect_language(docs, "text").drop("text")
+    return enrich.detect_language(fx.texts(spark, sf), "text").drop("text")
 
 
 def q_translate_memo(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations", spread_rows=True).select("conv_id", "turn", "text")
+    conv = fx.talk(spark, sf).select("conv_id", "turn", "text")
     memo = fx.translation_memo(spark, sf)
     out = enrich.translate_memo(conv, "text", memo, out="text_en")
     return out.select("conv_id", "turn", "text_en")
 
 
 def q_translate_unseen(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations", spread_rows=True)
+    conv = fx.talk(spark, sf)
     return enrich.translate_unseen(conv, "text", fx.translation_memo(spark, sf))
 
 
 def q_translate_gated(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations", spread_rows=True).select("conv_id", "turn", "role", "text")
+    conv = fx.talk(spark, sf)
     return enrich.translate_gated(conv, fx.translation_memo(spark, sf), ["role", "text"])
 
 

@@ -9,8 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast without asking Spark's size estimate.
+# Largest side we broadcast: rows, and bytes of their values.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -56,8 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The folder named by ``spark.checkpoint.dir`` (or already set on the
     context) wins.  Only when nothing is set do we choose one ourselves: a
-    temporary folder in local mode, else a folder below the warehouse, which
-    a cluster keeps on shared storage.
+    temporary folder in local mode, else a folder below the warehouse if that
+    is on shared storage.  On a cluster whose warehouse is a local folder
+    (Spark's default) nothing is shared, and an error says so.
     """
     sc = _context(spark)
     if sc is None:  # Spark Connect: no context here; the server names the folder
@@ -72,15 +74,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             configured = tempfile.mkdtemp(prefix="martline-ckpt-")
         else:
             warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            if warehouse.startswith(("file:", "/")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             configured = warehouse.rstrip("/") + "/_martline_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
+    """A fresh folder name under the shared checkpoint folder, removed when the application ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/martline-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/martline-scratch/{name}-{uuid.uuid4().hex}"
+    sc = _context(spark)
+    if sc is not None:  # through Spark's own file systems, so that any shared store works
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def local_path(path: str) -> str:
@@ -93,15 +102,21 @@ def local_path(path: str) -> str:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+                      known_rows: int | None = None, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    The count runs on the small side only (skipped when the caller already
-    knows an upper bound, ``known_rows``).  Beyond the bound the frame is
-    returned as is and the join falls back to a shuffle join.
+    One job over the small side counts its rows (up to the bound) and the
+    bytes of their values; callers that know an upper bound of rows of fixed
+    width pass ``known_rows``.  Beyond either bound the frame is returned as is
+    and the join falls back to a shuffle join.
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    width = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))
+                                           if f.dataType.simpleString() not in ("string", "binary") else F.col(f"`{f.name}`")),
+                            F.lit(0)) + 16 for f in df.schema.fields), F.lit(0))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if row["n"] <= max_rows and row["bytes"] <= max_bytes else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

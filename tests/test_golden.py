@@ -127,9 +127,10 @@ def test_duplicate_prefix_rejected(spark):
 def test_language_of(spark):
     from martline.operators.enrich import language_of
     texts = ["The cat and the dog", "Der Hund und die Katze", "el perro y los gatos del",
-             "le chat et les chiens", "xyz", None, "Thé theory"]
+             "le chat et les chiens", "xyz", None, "Thé theory", "東京の家です the", "東京", "بيت كبير",
+             "дом у моря", "Belle maison", "the house of Мария"]
     got = [r[0] for r in one_col(spark, texts).select(language_of("c")).collect()]
-    assert got == ["en", "de", "es", "fr", None, None, None]
+    assert got == ["en", "de", "es", "fr", None, None, None, "ja", "zh", "ar", "ru", "fr", "en"]
 
 
 def test_no_python_udf_in_cleaning_plan(spark, sf_small):

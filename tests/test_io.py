@@ -1,7 +1,10 @@
 """Sources and sinks: CSV and Parquet round trips, schema drift, incremental runs."""
 
+import math
 import os
 import shutil
+import tempfile
+import time
 
 import pytest
 
@@ -158,3 +161,67 @@ def test_read_with_file_lineage(spark):
     df = files.read_csv_source(spark, f"{base}/a", lineage=True)
     got = df.select("source_file").distinct().collect()
     assert len(got) == 1 and got[0][0].endswith(".csv") and "/a/" in got[0][0]
+
+
+def test_hook_keeps_its_budget_and_sends_no_answered_value_again(spark):
+    from martline.operators.enrich import enrich_hook
+    log = tempfile.mkdtemp(prefix="martline-hook-")
+
+    def service(values):
+        with open(f"{log}/calls", "a") as file:
+            file.write("".join(f"{time.time()} {v}\n" for v in values))
+        if (values == "bad").any():
+            raise RuntimeError("refused")
+        return values.str.upper()
+
+    df = spark.createDataFrame([(f"v{i % 120}",) for i in range(400)] + [("bad",)], "t string")
+    got = {r["value"]: r["status"] for r in enrich_hook(df, "t", service, max_calls_per_second=60, partitions=1).collect()}
+    assert got["bad"] == "error: RuntimeError" and sum(s == "ok" for s in got.values()) == 120
+    calls = [line.split() for line in open(f"{log}/calls")]
+    times = sorted(float(t) for t, _ in calls)
+    # No second sees more than the budget and one slice.
+    assert max(sum(t <= u < t + 1 for u in times) for t in times) <= 60 + 12
+    slices_with_bad = {v for _, v in calls if sum(v == w for _, w in calls) > 1}
+    assert len(slices_with_bad) <= 12  # only the values of the failing slice are sent again
+
+
+def test_memo_learns_each_text_once(spark):
+    from martline.operators.enrich import learn_translations, translate_memo
+    path = scratch_path(spark, "memo")
+    spark.createDataFrame([("le chat et les", "the cat")], "source_text string, translated string").write.parquet(path)
+    log = tempfile.mkdtemp(prefix="martline-memo-")
+
+    def service(values):
+        with open(f"{log}/calls", "a") as file:
+            file.write("".join(f"{v}\n" for v in values))
+        return "en " + values
+
+    df = spark.createDataFrame([("le chat et les",), ("東京の家です",), ("東京の家です",), ("the house",), ("بيت كبير",), (None,)], "t string")
+    memo = learn_translations(df, "t", path, service)
+    memo.count(), memo.count()
+    memo = learn_translations(df, "t", path, service)
+    assert sorted(open(f"{log}/calls").read().split("\n")[:-1]) == sorted(["東京の家です", "بيت كبير"])
+    got = [r[0] for r in translate_memo(df, "t", memo, out="e").select("e").collect()]
+    assert sorted(got, key=str) == sorted(["the cat", "en 東京の家です", "en 東京の家です", "the house", "en بيت كبير", None], key=str)
+
+
+def test_nearest_postcode_in_a_dense_place(spark):
+    import random
+
+    from martline.operators.enrich import nearest_postcode
+    rnd = random.Random(3)
+    pts = [(f"P{i:05d}", 40 + rnd.uniform(0, 0.2), 10 + rnd.uniform(0, 0.2)) for i in range(3000)] + [("Q", 40.1, 10.1), ("A", 40.1, 10.1)]
+    qs = [(i, 40 + rnd.uniform(0, 0.2), 10 + rnd.uniform(0, 0.2)) for i in range(40)] + [
+        (100, 40.1, 10.1), (101, 40.1, 10.1), (102, 40.35, 10.0), (103, None, 10.0), (104, 40.0, None), (105, 80.0, 10.0)]
+    got = {r["id"]: r["postcode"] for r in nearest_postcode(
+        spark.createDataFrame(qs, "id int, latitude double, longitude double"),
+        spark.createDataFrame(pts, "postcode string, lat double, lon double"), 50.0).collect()}
+
+    def hav(a, b, c, d):
+        x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(x)))
+
+    assert len(got) == len(qs) and got[100] == got[101] == "A" and got[103] is got[104] is got[105] is None
+    for i, la, lo in qs:
+        if la is not None and lo is not None and la < 80:
+            assert got[i] == min((hav(la, lo, a, b), p) for p, a, b in pts)[1]
