@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martline.llm.common import table, written
 from martline.llm.exact_dedup import drop_copies
 from martline.llm.fertility import keep_quality
-from martline.llm.packing import pack_documents, piece_digests
+from martline.llm.packing import pack_digests
 from martline.llm.pii import redact_pii
 from martline.llm.simhash import drop_near_copies
 
@@ -38,7 +38,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in full sequences."""
-    return piece_digests(pack_documents(docs))
+    return pack_digests(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [

@@ -18,29 +18,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import packed, unpacked
-from martline.llm.wordbpe import ChunkCache, default_vocabulary, is_plain, library, plain_chunks
+from martline.llm.common import unpacked, with_text
+from martline.llm.wordbpe import PIECES, ChunkCache, byte_letters, default_vocabulary, is_plain, library, plain_chunks
 
 #: Pair tests a Python worker remembers.
 CACHE_PAIRS = 1 << 19
 #: Letters at the end of a word are units of their own, kept in a private range.
 _END = 0xE000
 
-#: Cuts a lower-cased chunk of plain Latin characters as the vocabulary's pre-tokeniser does.
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿā-ž]+|[0-9]|[^a-z0-9ß-öø-ÿā-ž]+")
-
-
-def _byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in a byte-level vocabulary."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters, extra = [""] * 256, 0x100
-    for b in range(256):
-        if b in plain:
-            letters[b] = chr(b)
-        else:
-            letters[b], extra = chr(extra), extra + 1
-    return letters
-
 
 class PrefixEncoder:
     """Encoder of one vocabulary file; words come as byte-level letters."""
@@ -79,7 +64,7 @@ class PrefixEncoder:
             if token < singles or self._fits(self.left[token], self.right[token], token):
                 self.automaton.add_word(units, (len(units), token))
         self.automaton.make_automaton()
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.library = library(path)
         self.chunks = ChunkCache(self._plain_chunk)
 
@@ -152,7 +137,12 @@ class PrefixEncoder:
                 " ".join(self.name[t] for t in tokens).encode("utf-8"))
 
     def _plain_chunk(self, chunk: str) -> tuple[bytes, bytes]:
-        return self._written([t for p in _PIECES.findall(chunk) for t in self.word(self._bytes_as_letters(p))])
+        """A chunk of several pieces is put together from theirs, which other chunks share."""
+        pieces = [chunk] if chunk.isalpha() else PIECES.findall(chunk)
+        if len(pieces) > 1:
+            found = list(map(self.chunks.__getitem__, pieces))
+            return b" ".join([x[0] for x in found]), b" ".join([x[1] for x in found])
+        return self._written(self.word(self._bytes_as_letters(chunk)))
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Decimal ids and the decoded text's UTF-8 bytes, both joined by one space.
@@ -207,5 +197,4 @@ def _coded(docs: DataFrame, text_col: str, vocabulary: str | None, digests: bool
                         else (n, ids.decode(), decoded.decode("utf-8")))
         return pd.DataFrame(rows, columns=["n_tokens", "ids", "decoded"])
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
-    return packed(docs).withColumn("_coded", code(text))
+    return with_text(docs, text_col, keep=True).withColumn("_coded", code("_text"))

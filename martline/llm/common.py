@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from martline.session import read_table, scratch_path
 
+#: Rows that a Python function gets at a time where a table is written.
+BATCH_ROWS = 2000
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
 
@@ -20,10 +24,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    Python functions in the plan get batches of whole texts of at most
+    ``BATCH_ROWS`` rows, so that a worker holds few of them at a time.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -35,6 +46,17 @@ def packed(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.select(F.struct(*[df[_quoted(c)] for c in df.columns]).alias(name))
 
 
+def with_text(df: DataFrame, text_col: str, keep: bool) -> DataFrame:
+    """``_row`` as in ``packed``, and the text (null as empty) as ``_text``.
+
+    Without ``keep`` the text is left out of the struct, so that rows written
+    or shuffled on the way do not carry it (unless it is the only column).
+    """
+    rest = [c for c in df.columns if keep or c != text_col] or df.columns
+    return df.select(F.struct(*[df[_quoted(c)] for c in rest]).alias("_row"),
+                     F.coalesce(df[_quoted(text_col)].cast("string"), F.lit("")).alias("_text"))
+
+
 def unpacked(df: DataFrame, results: dict[str, Column] | None = None, name: str = "_row") -> DataFrame:
     """The columns of the struct again, then ``results``.
 
@@ -71,8 +93,20 @@ def known_labels(labels: DataFrame, label: str, folds: int, fold: int) -> DataFr
             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
-    """``id, text, label`` of the documents with a known label, written once."""
-    rows = (docs.filter(~held_out("doc_id", folds, fold)).select("doc_id", "text")
-            .join(known_labels(labels, label, folds, fold), "doc_id"))
-    return written(rows.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label"), f"train-{label}")
+#: Labelled documents that a text model is trained on, about: those with the smallest hash of their id.
+TRAINING_ROWS = 50_000
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int,
+                  rows: int = TRAINING_ROWS) -> DataFrame:
+    """``id, text, label`` of documents with a known label, written once.
+
+    Of more than ``rows`` labels a share by hash is taken, which comes to
+    ``rows`` within a few per cent; that bounds the broadcast of ids and labels,
+    and no text is shuffled.
+    """
+    known = known_labels(labels, label, folds, fold)
+    share = min(1.0, rows / max(1, known.count()))
+    known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(round(share * (1 << 20))))
+    texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return written(texts.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label"), f"train-{label}")

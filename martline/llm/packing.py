@@ -9,18 +9,18 @@ tokens: only the very last sequence can be short.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martline.llm.common import packed, unpacked, written
-from martline.llm.wordbpe import ChunkCache, default_vocabulary, is_plain, library, plain_chunks
+from martline.llm.common import unpacked, with_text, written
+from martline.llm.wordbpe import LibraryIds, default_vocabulary
 
 #: Tokens of a full sequence, and the id that ends each document.
 CAPACITY, END_ID = 4096, 2
@@ -39,17 +39,28 @@ def pack_documents(docs: DataFrame, text_col: str = "text", capacity: int = CAPA
     empty table gives an empty result.  Input columns with a result's name
     are replaced.
     """
+    return _packed(docs, text_col, capacity, end_id, vocabulary, digests=False)
+
+
+def pack_digests(docs: DataFrame, text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
+                 vocabulary: str | None = None) -> DataFrame:
+    """As ``pack_documents``, with the CRC-32 of each piece's ids (``ids_crc32``) in place of the ids."""
+    return _packed(docs, text_col, capacity, end_id, vocabulary, digests=True)
+
+
+def _packed(docs: DataFrame, text_col: str, capacity: int, end_id: int, vocabulary: str | None, digests: bool) -> DataFrame:
     path = vocabulary or default_vocabulary()
 
-    @F.pandas_udf("ids binary, tokens long, key long")
-    def tokens(texts: pd.Series) -> pd.DataFrame:
-        cutter = _Cutter.of(path)
-        ids = [cutter.ids(t, end_id) for t in texts]
-        return pd.DataFrame({"ids": ids, "tokens": [len(x) // 4 for x in ids], "key": curve_keys(ids)})
+    @F.arrow_udf("struct<ids:binary,tokens:long,key:long>")
+    def tokens(texts: pa.Array) -> pa.Array:
+        cutter = LibraryIds.of(path)
+        end = cutter.packed([end_id])
+        ids = [cutter.encode(t) + end for t in texts.to_pylist()]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // cutter.width
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(sizes), pa.array(curve_keys(ids, cutter.width))],
+                                          names=["ids", "tokens", "key"])
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
-    rest = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != text_col])
-    cut = written(packed(docs).select(rest.alias("_row"), tokens(text).alias("_cut"))
+    cut = written(with_text(docs, text_col, keep=False).select("_row", tokens("_text").alias("_cut"))
                   .select("_row", "_cut.*", F.monotonically_increasing_id().alias("_at")), "packing-tokens")
     # The row number breaks ties, so that many copies at one key still spread over partitions.
     lined = cut.repartitionByRange("key", "_at").sortWithinPartitions("key", "_at")
@@ -59,30 +70,35 @@ def pack_documents(docs: DataFrame, text_col: str = "text", capacity: int = CAPA
     before = lined.groupBy("_part").agg(F.sum("tokens").alias("_all")).select(
         "_part", F.coalesce(F.sum("_all").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)).alias("_base"))
-    size = F.lit(capacity).cast("long")
+    fields = f"start:long,length:long,{'ids_crc32:long' if digests else 'ids:binary'},doc_tokens:long,sequence_id:long,offset:long"
 
-    def piece(sequence: Column) -> Column:
-        first, tokens = F.col("_first"), F.col("tokens")
-        start = F.greatest(sequence * size - first, F.lit(0).cast("long"))
-        length = F.least((sequence + 1) * size - first, tokens) - start
-        return F.struct(
-            start.alias("start"), length.alias("length"),
-            F.substring("ids", (start * 4 + 1).cast("int"), (length * 4).cast("int")).alias("ids"),
-            tokens.alias("doc_tokens"), sequence.alias("sequence_id"),
-            (first + start - sequence * size).alias("offset"))
+    @F.arrow_udf(f"array<struct<{fields}>>")
+    def pieces(ids: pa.Array, sizes: pa.Array, firsts: pa.Array) -> pa.Array:
+        return pa.array([cut_pieces(x.as_py(), n, first, capacity, digests)
+                         for x, n, first in zip(ids, sizes.to_pylist(), firsts.to_pylist())], type=_piece_type(digests))
 
-    # The pieces are cut before the explode, which then carries no whole document.
-    pieces = (lined.join(F.broadcast(before), "_part")
-              .withColumn("_first", F.col("_base") + F.col("_before"))
-              .select("_row", F.explode(F.transform(
-                  F.sequence(F.floor(F.col("_first") / size),
-                             F.floor((F.col("_first") + F.col("tokens") - 1) / size)), piece)).alias("_piece")))
-    return unpacked(pieces, {f.name: F.col("_piece").getField(f.name) for f in pieces.schema["_piece"].dataType})
+    found = lined.join(F.broadcast(before), "_part").select(
+        "_row", F.explode(pieces("ids", "tokens", F.col("_base") + F.col("_before"))).alias("_piece"))
+    return unpacked(found, {f.name: F.col("_piece").getField(f.name) for f in found.schema["_piece"].dataType})
 
 
-def piece_digests(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Pieces with the CRC-32 of their ids in place of the ids."""
-    return pieces.select(id_col, "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+def cut_pieces(ids: bytes, tokens: int, first: int, capacity: int, digests: bool) -> list[dict]:
+    """The pieces of a document whose first id stands at place ``first`` of the stream."""
+    wide, found, start = np.frombuffer(ids, dtype=f"<u{len(ids) // tokens}").astype("<u4"), [], 0
+    while start < tokens:
+        sequence, offset = divmod(first + start, capacity)
+        length = min(tokens - start, capacity - offset)
+        own = wide[start:start + length].tobytes()
+        found.append({"start": start, "length": length, **({"ids_crc32": zlib.crc32(own)} if digests else {"ids": own}),
+                      "doc_tokens": tokens, "sequence_id": sequence, "offset": offset})
+        start += length
+    return found
+
+
+def _piece_type(digests: bool) -> pa.DataType:
+    long = pa.int64()
+    return pa.list_(pa.struct([("start", long), ("length", long), ("ids_crc32", long) if digests else ("ids", pa.binary()),
+                               ("doc_tokens", long), ("sequence_id", long), ("offset", long)]))
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,33 +113,6 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*batch.schema.names, "_part", "_before"])
 
 
-class _Cutter:
-    """Token ids by the tokenizers library, remembering the chunks of plain texts."""
-
-    _open: dict[str, _Cutter] = {}
-
-    def __init__(self, path: str) -> None:
-        self.library = library(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.chunks = ChunkCache(self._whole)
-
-    @classmethod
-    def of(cls, path: str) -> _Cutter:
-        """One per Python worker."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def ids(self, text: str, end_id: int) -> bytes:
-        end = np.array([end_id], dtype="<u4").tobytes()
-        if not is_plain(text, self.special):
-            return self._whole(text) + end
-        return b"".join([x for chunks in plain_chunks(text) for x in map(self.chunks.__getitem__, chunks)]) + end
-
-
 def document_vector(ids: np.ndarray) -> np.ndarray:
     """Coordinates of a document: log counts of hashed tokens, normalised and projected."""
     bucket = (ids.astype(np.uint64) * np.uint64(2654435761) % np.uint64(1 << 32)) >> np.uint64(22)
@@ -134,11 +123,11 @@ def document_vector(ids: np.ndarray) -> np.ndarray:
 _PROJECTION = np.random.default_rng(1).standard_normal((BUCKETS, DIMENSIONS))
 
 
-def curve_keys(ids: list[bytes]) -> np.ndarray:
-    """Hilbert key of each document's cell."""
+def curve_keys(ids: list[bytes], width: int) -> np.ndarray:
+    """Hilbert key of each document's cell; ids are packed numbers of ``width`` bytes."""
     if not ids:
         return np.zeros(0, dtype=np.int64)
-    points = np.stack([document_vector(np.frombuffer(x, dtype="<u4")) for x in ids])
+    points = np.stack([document_vector(np.frombuffer(x, dtype=f"<u{width}")) for x in ids])
     cells = np.floor((np.tanh(points) + 1) / 2 * (1 << BITS)).clip(0, (1 << BITS) - 1)
     return hilbert_key(cells.astype(np.int64), BITS)
 

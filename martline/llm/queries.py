@@ -9,7 +9,7 @@ from martline.llm.bpe import bpe_digests
 from martline.llm.common import held_out, known_labels, table, training_rows
 from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
-from martline.llm.packing import pack_documents, piece_digests
+from martline.llm.packing import pack_digests
 from martline.llm.pii import find_pii
 from martline.llm.quality import document_statistics, score_quality, train_quality
 from martline.llm.quotes import link_quotes
@@ -22,7 +22,8 @@ THRESHOLD = 0.7
 
 
 def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_digests(pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    pieces = pack_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op2_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
 
 #: Chunks a Python worker remembers, and the longest it does.
-CACHE_CHUNKS, CACHE_CHARS = 1 << 17, 40
+CACHE_CHUNKS, CACHE_CHARS = 1 << 19, 40
 #: Characters of a plain text that are cut at a time.
 CHUNK_CHARS = 1 << 22
 
@@ -61,6 +63,9 @@ def plain_chunks(text: str) -> Iterator[list[str]]:
 
 _SPACE = re.compile(r"\s")
 
+#: Cuts a lower-cased chunk of plain Latin characters as the vocabulary's pre-tokeniser does.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿā-ž]+|[0-9]|[^a-z0-9ß-öø-ÿā-ž]+")
+
 
 class ChunkCache(dict):
     """Results of chunks, computed on a miss; emptied when full."""
@@ -76,3 +81,53 @@ class ChunkCache(dict):
                 self.clear()
             self[chunk] = found
         return found
+
+
+def byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters, extra = [""] * 256, 0x100
+    for b in range(256):
+        if b in plain:
+            letters[b] = chr(b)
+        else:
+            letters[b], extra = chr(extra), extra + 1
+    return letters
+
+
+class LibraryIds:
+    """Token ids by the ``tokenizers`` library, as packed little-endian numbers of ``width`` bytes."""
+
+    _open: dict[str, LibraryIds] = {}
+
+    def __init__(self, path: str) -> None:
+        self.library = library(path)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.width = 2 if size <= 1 << 16 else 4
+        self.model, self.letters = self.library.model, byte_letters()
+        self.number = [i.to_bytes(self.width, "little") for i in range(size)]
+        self.chunks = ChunkCache(self._chunk)
+
+    @classmethod
+    def of(cls, path: str) -> LibraryIds:
+        """One per Python worker."""
+        if path not in cls._open:
+            cls._open[path] = cls(path)
+        return cls._open[path]
+
+    def packed(self, ids: Iterable[int]) -> bytes:
+        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        """A chunk of several pieces is put together from theirs, which other chunks share."""
+        pieces = [chunk] if chunk.isalpha() else PIECES.findall(chunk)
+        if len(pieces) > 1:
+            return b"".join(map(self.chunks.__getitem__, pieces))
+        letters = chunk if chunk.isascii() else "".join(map(self.letters.__getitem__, chunk.encode("utf-8")))
+        return b"".join([self.number[t.id] for t in self.model.tokenize(letters)])
+
+    def encode(self, text: str) -> bytes:
+        if not is_plain(text, self.special):
+            return self.packed(self.library.encode(text, add_special_tokens=False).ids)
+        return b"".join([b"".join(map(self.chunks.__getitem__, chunks)) for chunks in plain_chunks(text)])

@@ -7,7 +7,7 @@ import pytest
 from cases import LONG, TEXTS, frame, plain, rows
 from martline.llm import wordbpe
 from martline.llm.bpe import PrefixEncoder, bpe_digests, bpe_round_trip
-from martline.llm.packing import curve_keys, hilbert_key, pack_documents
+from martline.llm.packing import curve_keys, hilbert_key, pack_digests, pack_documents
 from martline.llm.wordbpe import default_vocabulary, library, plain_chunks
 
 TOK = library(default_vocabulary())
@@ -41,6 +41,17 @@ def test_long_plain_texts_are_cut_at_white_space(monkeypatch):
         assert [c for part in plain_chunks(text) for c in part] == text.lower().split()
 
 
+def test_library_ids_with_a_small_cache(monkeypatch):
+    texts = HARD + [t or "" for _, t, _ in TEXTS] + ["again and again, " * 50]
+    for chunks, chars in ((1 << 19, 1 << 22), (20, 100), (3, 7)):
+        monkeypatch.setattr(wordbpe, "CACHE_CHUNKS", chunks)
+        monkeypatch.setattr(wordbpe, "CHUNK_CHARS", chars)
+        cutter = wordbpe.LibraryIds(default_vocabulary())
+        short = [t[:20_000] for t in texts]
+        assert [np.frombuffer(cutter.encode(t), dtype="<u2").tolist() for t in short] == [want(t) for t in short]
+        assert len(cutter.chunks) <= chunks
+
+
 def test_bpe_odd_rows(spark):
     assert bpe_digests(frame(spark)).count() == len(rows())
     assert bpe_digests(frame(spark, [])).count() == 0
@@ -86,7 +97,7 @@ def test_neighbours_on_the_curve_share_words(spark):
     kinds = {"sea": "ship wave harbour sail anchor tide fish", "sky": "cloud wing rain storm thunder bird sun"}
     ids = [np.array(want(" ".join(random.Random(n).choices(kinds[k].split(), k=200))), dtype="<u4").tobytes()
            for n, k in enumerate(["sea", "sky"] * 40)]
-    order = np.argsort(curve_keys(ids))
+    order = np.argsort(curve_keys(ids, 4))
     changes = np.count_nonzero(np.diff(order % 2))
     assert changes < 20  # 40 by chance
 
@@ -95,4 +106,5 @@ def test_packing_odd_rows(spark):
     got = pack_documents(frame(spark)).collect()
     assert sum(r.length for r in got) == sum(len(want(r[1])) + 1 for r in rows())
     assert pack_documents(frame(spark, [])).count() == 0
-    assert zlib.crc32(b"") == 0
+    crcs = {(r.doc_id, r.start, r.ids_crc32) for r in pack_digests(frame(spark)).collect()}
+    assert crcs == {(r.doc_id, r.start, zlib.crc32(bytes(r.ids))) for r in got}
