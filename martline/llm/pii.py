@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import packed, unpacked, written
+from martline.llm.common import unpacked, with_text, written
 from martline.llm.identifiers import KINDS, identifiers
 
 #: Rounds of scoring.
@@ -103,38 +103,47 @@ def _found(docs: DataFrame, text_col: str, rounds: int, keep_text: bool) -> Data
             rows.append({"base": [{"kind": k, "start": s, "end": e} for k, s, e in base], "contexts": contexts})
         return pa.array(rows, type=_ARROW)
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
-    kept = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if keep_text or c != text_col])
-    rows = written(packed(docs).select(kept.alias("_row"), scan(text).alias("_scan"))
+    rows = written(with_text(docs, text_col, keep_text).select("_row", scan("_text").alias("_scan"))
                    .select("_row", "_scan.*", F.monotonically_increasing_id().alias("_at")), "pii-spans")
     contexts = rows.filter(F.size("contexts") > 0).select("_at", F.explode("contexts").alias("c")).select("_at", "c.*")
-    extra = _discovered(contexts, rounds).groupBy("_at").agg(F.collect_list(F.struct("kind", "start", "end")).alias("_extra"))
+    graph = _graph(contexts)
+    if graph.isEmpty():  # no pattern encloses enough values: nothing to discover
+        return rows.select("_row", F.col("base").alias("_base"), F.col("base").alias("_all"))
+    extra = (_discovered(contexts, graph, rounds).groupBy("_at")
+             .agg(F.collect_list(F.struct("kind", "start", "end")).alias("_extra")))
     none = F.array().cast(_SPANS)
     return rows.join(extra, "_at", "left").select(
         "_row", F.col("base").alias("_base"),
         F.array_sort(F.concat("base", F.coalesce("_extra", none))).alias("_all"))
 
 
-def _discovered(contexts: DataFrame, rounds: int) -> DataFrame:
+_KIND = "explode(array(0, 1, 2, 3)) AS kind"
+_MAY_BE = "shiftright(kinds, kind) & 1 = 1"
+
+
+def _graph(contexts: DataFrame) -> DataFrame:
+    """``pattern, value, seed, kind``: an edge for each kind that a value may be of.
+
+    Patterns that could never be sure are left out: those with too few values
+    in all, and those whose words mostly enclose something else.
+    """
+    edges = contexts.groupBy("pattern", "value", "kinds", "seed").agg(F.count("*").alias("times"), F.sum("seen").alias("seen"))
+    viable = (edges.groupBy("pattern").agg(F.count("*").alias("values"), (F.sum("times") / F.sum("seen")).alias("specific"))
+              .filter((F.col("values") >= MIN_VALUES) & (F.col("specific") >= MIN_SPECIFIC)).select("pattern"))
+    return written(edges.join(viable, "pattern").selectExpr("pattern", "value", "seed", "kinds", _KIND).filter(_MAY_BE)
+                   .drop("kinds").distinct(), "pii-graph")
+
+
+def _discovered(contexts: DataFrame, graph: DataFrame, rounds: int) -> DataFrame:
     """``_at, kind, start, end`` of candidates that sure patterns vouch for."""
-    edges = written(contexts.groupBy("pattern", "value", "kinds", "seed").agg(
-        F.count("*").alias("times"), F.sum("seen").alias("seen")), "pii-graph")
-    kinds = F.explode(F.array(*[F.lit(n) for n in range(len(KINDS))])).alias("kind")
-    may_be = F.expr("shiftright(kinds, kind) & 1 = 1")
-    # One edge for each kind that a value may be of.
-    graph = edges.select("*", kinds).filter(may_be)
-    specific = edges.groupBy("pattern").agg((F.sum("times") / F.sum("seen")).alias("specific"))
-    known = edges.filter("seed >= 0").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("sure")).distinct()
-    seeds = known
+    known = seeds = graph.filter("seed = kind").select("value", "kind", F.lit(1.0).alias("sure")).distinct()
     for n in range(rounds):
-        patterns = _patterns(graph, known, specific)
-        vouched = (graph.filter("seed < 0").join(patterns, ["pattern", "kind"])
+        vouched = (graph.filter("seed < 0").join(_patterns(graph, known), ["pattern", "kind"])
                    .groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.least("precision", F.lit(0.999)))))).alias("sure"))
                    .filter(F.col("sure") >= MIN_CONFIDENCE))
         known = written(seeds.unionByName(vouched.join(seeds, ["value", "kind"], "left_anti")), f"pii-known-{n}")
-    patterns = _patterns(graph, known, specific).select("pattern", "kind", "precision")
-    spots = (contexts.filter("seed < 0").select("*", kinds).filter(may_be).join(patterns, ["pattern", "kind"])
-             .join(known, ["value", "kind"]))
+    spots = (contexts.filter("seed < 0").selectExpr("*", _KIND).filter(_MAY_BE)
+             .join(_patterns(graph, known), ["pattern", "kind"]).join(known, ["value", "kind"]))
     # A span of several kinds takes the one that its patterns are surest of.
     each = spots.groupBy("_at", "start", "end", "kind").agg(F.sum("precision").alias("weight"))
     return (each.groupBy("_at", "start", "end")
@@ -142,13 +151,11 @@ def _discovered(contexts: DataFrame, rounds: int) -> DataFrame:
             .select("_at", (-F.col("best.order")).alias("kind"), "start", "end"))
 
 
-def _patterns(graph: DataFrame, known: DataFrame, specific: DataFrame) -> DataFrame:
+def _patterns(graph: DataFrame, known: DataFrame) -> DataFrame:
     """Patterns that are sure of a kind, with their precision."""
-    value = F.when(F.col("sure").isNotNull(), F.col("sure")).otherwise(0.0)
     one = graph.select("pattern", "value", "kind").distinct().join(known, ["value", "kind"], "left")
     return (one.groupBy("pattern", "kind")
-            .agg(F.sum(value).alias("sum"), F.count("sure").alias("known"), F.count("*").alias("all"))
-            .filter(F.col("known") >= MIN_VALUES).withColumn("precision", F.col("sum") / F.col("all"))
-            .filter(F.col("precision") >= MIN_PRECISION)
-            .join(specific.filter(F.col("specific") >= MIN_SPECIFIC), "pattern")
-            .select("pattern", "kind", "precision"))
+            .agg(F.sum(F.coalesce("sure", F.lit(0.0))).alias("sum"), F.count("sure").alias("known"), F.count("*").alias("all"))
+            .filter(F.col("known") >= MIN_VALUES)
+            .select("pattern", "kind", (F.col("sum") / F.col("all")).alias("precision"))
+            .filter(F.col("precision") >= MIN_PRECISION))
