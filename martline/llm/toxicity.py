@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import packed, unpacked, written
+from martline.llm.common import unpacked, with_text, written
 from martline.llm.lexicon import Lexicon, TermCounter, folded_words
 
 #: A term needs this share of the toxic training documents, and so many at least; of all such terms
@@ -27,8 +27,6 @@ MIN_SHARE, MIN_DOCS, MAX_CANDIDATES = 0.005, 3, 100_000
 MIN_WEIGHT, MIN_Z, MAX_TERMS = 1.0, 4.0, 20_000
 #: A phrase needs so many clean documents to be an exception; the largest number of exceptions.
 MIN_EXCEPTION_DOCS, MAX_EXCEPTIONS = 5, 10_000
-#: Labelled rows that the logistic curve is fitted to at most (those with the smallest hash of their id).
-FIT_ROWS = 50_000
 #: Terms a worker counts before it passes them on.
 FLUSH_TERMS = 1 << 20
 
@@ -36,6 +34,8 @@ FLUSH_TERMS = 1 << 20
 def train_toxicity(texts: DataFrame, exceptions: tuple[str, ...] = ()) -> dict:
     """Model from ``texts`` with columns ``id, text, label`` (1 toxic, 0 clean; other labels are passed over).
 
+    ``texts`` is a bounded table (``common.training_rows``): three numbers of each row reach the driver.
+
     Without a label of either kind the lexicon is empty and every score is the
     share of toxic rows, with one row of each added.
     """
@@ -64,7 +64,7 @@ def train_toxicity(texts: DataFrame, exceptions: tuple[str, ...] = ()) -> dict:
     spare = F.array(*[F.lit(p) for p in spared]).cast("array<string>")
     live = F.filter("hits", lambda h: ~(F.array_contains(spare, h["before"]) | F.array_contains(spare, h["after"])))
     total = F.aggregate(live, F.lit(0.0), lambda s, h: s + h["weight"])
-    sample = matched.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("label", "words", total.alias("weight")).toPandas()
+    sample = matched.select("label", "words", total.alias("weight")).toPandas()
     curve = fit_logistic(features(sample["weight"].to_numpy(float), sample["words"].to_numpy(float)),
                          sample["label"].to_numpy(float))
     return {"weights": weights, "exceptions": [*exceptions, *spared], "curve": curve.tolist()}
@@ -90,8 +90,7 @@ def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text") -> Data
         z = curve[0] + features(weight, n) @ curve[1:]
         return pd.DataFrame({"score": 1 / (1 + np.exp(-z.clip(-50, 50))), "matches": matches.astype(np.int64), "weight": weight})
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
-    scored = packed(docs).withColumn("_scored", score(text))
+    scored = with_text(docs, text_col, keep=True).withColumn("_scored", score("_text"))
     return unpacked(scored, {n: F.col("_scored").getField(n) for n in ("score", "matches", "weight")})
 
 
