@@ -28,6 +28,8 @@ SELECT n.n_nationkey AS src_no, 'city' || LPAD(CAST(n.n_nationkey AS STRING), 2,
   CASE WHEN o.o_orderkey % 37 = 0 THEN NULL WHEN o.o_orderkey % 41 = 0 THEN '0' ELSE CAST(c.c_custkey AS STRING) END AS host_id,
   CASE WHEN o.o_orderkey % 11 = 0 THEN NULL
        WHEN o.o_orderkey % 53 = 0 THEN chr(39) || chr(39)
+       WHEN o.o_orderkey % 14 = 1 THEN 'Belle maison ' || CAST(o.o_orderkey % 50 AS STRING)
+       WHEN o.o_orderkey % 14 = 3 THEN '東京の家 ' || CAST(o.o_orderkey % 50 AS STRING)
        WHEN o.o_orderkey % 5 = 0 THEN 'Cosy \U0001F3E0 flat ★ ' || CAST(o.o_orderkey AS STRING)
        WHEN o.o_orderkey % 3 = 0 THEN chr(39) || 'Sea' || chr(39) || ' view ☀✨ ' || CAST(o.o_orderkey AS STRING)
        ELSE 'Plain room ' || CAST(o.o_orderkey AS STRING) END AS title,
@@ -159,7 +161,8 @@ SELECT 'city' || LPAD(CAST(n_nationkey AS STRING), 2, '0') AS src,
        n_name AS country,
        CASE WHEN n_regionkey % 2 = 0 THEN 'Region ' || CAST(n_regionkey AS STRING) END AS state,
        CASE WHEN n_nationkey % 3 = 0 THEN 'Town ' || CAST(n_nationkey AS STRING) END AS city,
-       CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' WHEN 3 THEN 'JPY' END AS currency
+       CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' WHEN 3 THEN 'JPY' END AS currency,
+       CASE n_nationkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS translate, n_nationkey % 2 = 0 AS geocode
 FROM {nation}
 """
 
@@ -216,6 +219,16 @@ GROUP BY text
 """
 
 
+# Translations of listing titles, one per title that the service has seen.
+TITLE_MEMO_SQL = """
+SELECT DISTINCT 'Belle maison ' || CAST(o_orderkey % 50 AS STRING) AS source_text,
+       'Nice house ' || CAST(o_orderkey % 50 AS STRING) AS translated FROM {orders} WHERE o_orderkey % 14 = 1
+UNION ALL
+SELECT DISTINCT '東京の家 ' || CAST(o_orderkey % 50 AS STRING), 'House in Tokyo ' || CAST(o_orderkey % 50 AS STRING)
+FROM {orders} WHERE o_orderkey % 14 = 3 AND o_orderkey % 50 < 40
+"""
+
+
 # Orders with the planted copies: every order once, orders with key % 10 = 0 twice.
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORDERS_COPIES_SQL = (
@@ -279,5 +292,9 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_sql(spark, sf_dir, DOCUMENTS_SQL, ["documents"])
 
 
+def title_memo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, TITLE_MEMO_SQL, ["orders"])
+
+
 def translation_memo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TRANSLATION_MEMO_SQL, talk=talk(spark, sf_dir))

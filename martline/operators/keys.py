@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..config import ID_CODES, NATURAL_KEY, SOURCE_COL
@@ -18,35 +18,18 @@ def _sort_keys(cols: list[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_first() for c in cols]
 
 
-def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str = "seq",
-                    max_broadcast_rows: int = 1_000_000, max_groups: int | None = None,
-                    tiebreak: list[str] | None = None) -> DataFrame:
-    """``row_number() over (partition by <by> order by <order>)``, without one task per group.
+def tag_rows(df: DataFrame, by: list[str], order: list[str], path: str, tiebreak: list[str] | None = None,
+             partition_by: list[str] | None = None, seen: Observation | None = None) -> DataFrame:
+    """Rows in the order of (by, order), written to ``path`` with their place ``_pid, _mid``; read back.
 
-    A window partitioned by source puts a whole source in one task; a source
-    may hold a third of all rows.  Instead:
-
-    1. range-partition on (by, order) and sort inside partitions, so every
-       partition holds consecutive rows of the global order;
-    2. tag rows with partition id and ``monotonically_increasing_id`` and
-       write them as Parquet into the shared checkpoint folder (cuts lineage;
-       both uses below see the same tags even if executors are lost, and
-       later steps read only the columns they need);
-    3. count rows per (partition, group) -- at most partitions + groups rows --
-       and turn the counts into per-partition offsets with a small window;
-    4. join the offsets back (broadcast after a size check):
-       number = offset + position in partition + 1.
-
-    ``order`` plus ``tiebreak`` must make rows unique within a group (pass
-    all remaining columns as ``tiebreak`` when the natural key may repeat) so
-    that numbers do not depend on the plan.  With a tiebreak, rows are ordered
-    by (by, order, MD5 of the text columns, tiebreak): the range partitioner then
-    samples a few narrow columns, and a hot key (say a third of the rows with
-    no property id) is still cut across partitions by the digest.
-    ``max_groups``, when known, bounds the offset table (partitions + groups)
-    without a counting job.
+    Range-partitions on (by, order) and sorts inside partitions, so that every
+    partition holds consecutive rows of the global order.  With a tiebreak,
+    rows are ordered by (by, order, MD5 of the text columns, tiebreak): the
+    range partitioner then samples a few narrow columns, and a hot key (say a
+    third of the rows with no property id) is still cut across partitions.
+    ``seen`` observes the number of rows written (behind the range
+    partitioner, which reads its input once more for a sample).
     """
-    ensure_checkpoint_dir(df.sparkSession)
     tiebreak = tiebreak or []
     if tiebreak:
         texts = [c for c in order + tiebreak if df.schema[c].dataType.simpleString() == "string"]
@@ -58,24 +41,69 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
         source = df
         range_keys = sort_keys = _sort_keys(by + order)
     ranged = source.repartitionByRange(*range_keys).sortWithinPartitions(*sort_keys)
-    path = scratch_path(df.sparkSession, "sequence")
-    ranged.select("*", F.spark_partition_id().alias("_pid"),
-                  F.monotonically_increasing_id().alias("_mid")).write.parquet(path)
-    tagged = df.sparkSession.read.parquet(path)
-    per_part = tagged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"),
-                                               F.count(F.lit(1)).alias("_n"))
+    tagged = ranged.select(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id().alias("_pid"),
+                           F.monotonically_increasing_id().alias("_mid"))
+    writer = (tagged if seen is None else tagged.observe(seen, F.count(F.lit(1)).alias("rows"))).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(tagged.schema).parquet(path)
+
+
+def write_offsets(tagged: DataFrame, by: list[str], path: str, start: DataFrame | None = None) -> DataFrame:
+    """Per (partition, group): the number before its first row, written to ``path``; read back.
+
+    At most partitions x groups rows, from one count over the tagged copy.
+    ``start`` (columns ``by`` and ``_start``) continues a group's numbers.
+    """
+    per_part = tagged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in by], "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    base = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    offsets = per_part.select(F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in by], "_first", base.alias("_base"))
+    if start is not None:
+        first = start.select(*[F.col(c).alias(f"_s_{c}") for c in by], "_start")
+        cond = [F.col(f"_o_{c}").eqNullSafe(F.col(f"_s_{c}")) for c in by]
+        offsets = offsets.join(first, cond, "left").select(
+            "_o_pid", *[f"_o_{c}" for c in by], "_first", (F.col("_base") + F.coalesce("_start", F.lit(0))).alias("_base"))
+    offsets.write.mode("overwrite").parquet(path)
+    return tagged.sparkSession.read.schema(offsets.schema).parquet(path)
+
+
+def with_numbers(tagged: DataFrame, offsets: DataFrame, by: list[str], name: str,
+                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The tagged rows with ``name`` = offset + place in the partition + 1 (tags dropped)."""
     cond = F.col("_pid") == F.col("_o_pid")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    # Every non-empty partition wrote at least one file: files + groups bounds the offsets.
-    bound = None if max_groups is None else len(tagged.inputFiles()) + max_groups
-    joined = tagged.join(checked_broadcast(offsets, max_broadcast_rows, bound), cond, "inner")
+    joined = tagged.join(checked_broadcast(offsets, max_broadcast_rows), cond, "inner")
     number = F.col("_base") + F.col("_mid") - F.col("_first") + F.lit(1)
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
+    columns = [c for c in tagged.columns if c not in ("_pid", "_mid")]
+    return joined.select(*[F.col(f"`{c}`") for c in columns], number.alias(name))
+
+
+def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str = "seq",
+                    max_broadcast_rows: int = 1_000_000, tiebreak: list[str] | None = None,
+                    path: str | None = None, partition_by: list[str] | None = None,
+                    seen: Observation | None = None) -> DataFrame:
+    """``row_number() over (partition by <by> order by <order>)``, without one task per group.
+
+    A window partitioned by source puts a whole source in one task; a source
+    may hold a third of all rows.  Instead ``tag_rows`` writes the rows once in
+    global order (to ``path``, or scratch), ``write_offsets`` writes the small
+    table of numbers per partition and group once, and the two are joined
+    (broadcast after a size check).  Both are read from shared storage, so every use
+    sees the same numbers even if executors are lost.
+
+    ``order`` plus ``tiebreak`` must make rows unique within a group (pass
+    all remaining columns as ``tiebreak`` when the natural key may repeat) so
+    that numbers do not depend on the plan.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    tagged = tag_rows(df, by, order, path or scratch_path(spark, "sequence"), tiebreak, partition_by, seen)
+    offsets = write_offsets(tagged, by, f"{path}_offsets" if path else scratch_path(spark, "offsets"))
+    return with_numbers(tagged, offsets, by, name, max_broadcast_rows).select(
+        *[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def _checked_prefixes(prefixes: DataFrame) -> int:
@@ -90,23 +118,34 @@ def _checked_prefixes(prefixes: DataFrame) -> int:
 
 
 def add_surrogate_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
-                      codes: dict[str, str] = ID_CODES) -> DataFrame:
+                      codes: dict[str, str] = ID_CODES, path: str | None = None,
+                      seen: Observation | None = None) -> DataFrame:
     """Seven ids per row: ``<source prefix><code><n>``, n = 1, 2, ... per source.
 
-    n follows the natural key (then a row hash and the remaining columns for
-    rows sharing a key), so the ids are the same on every run and every
-    partitioning.  ``sources`` maps ``src`` to its
-    ``prefix``; prefixes must be unique (checked on the small table).
+    n follows the natural key (then a digest of the texts and the remaining
+    columns for rows sharing a key), so the ids are the same on every run and
+    every partitioning.  ``sources`` maps ``src`` to its ``prefix``; prefixes
+    must be unique (checked on the small table).  ``path`` makes the written
+    copy behind the numbers a zone of its own, partitioned by source.
     """
-    prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
-    n_sources = _checked_prefixes(prefixes)
     rest = [c for c in df.columns if c not in (SOURCE_COL, key)]
-    numbered = sequence_number(df, [SOURCE_COL], [key], name="_seq", max_groups=n_sources, tiebreak=rest)
-    joined = numbered.join(checked_broadcast(prefixes, known_rows=n_sources),
-                           F.col(SOURCE_COL) == F.col("_p_src"), "left")
+    numbered = sequence_number(df, [SOURCE_COL], [key], name="_seq", tiebreak=rest, path=path,
+                               partition_by=[SOURCE_COL] if path else None, seen=seen)
+    return ids_from_numbers(numbered, sources, "_seq", codes)
+
+
+def ids_from_numbers(numbered: DataFrame, sources: DataFrame, number: str, codes: dict[str, str] = ID_CODES) -> DataFrame:
+    """The seven ids in place of the number; a source without a prefix raises."""
+    joined = _with_prefix(numbered, sources)
     known = F.coalesce("_prefix", unregistered(F.col(SOURCE_COL)))
-    ids = [F.concat(known, F.lit(code), F.col("_seq").cast("string")).alias(name) for name, code in codes.items()]
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *ids)
+    ids = [F.concat(known, F.lit(code), F.col(number).cast("string")).alias(name) for name, code in codes.items()]
+    return joined.select(*[F.col(f"`{c}`") for c in numbered.columns if c != number], *ids)
+
+
+def _with_prefix(df: DataFrame, sources: DataFrame) -> DataFrame:
+    prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
+    n_sources = _checked_prefixes(prefixes)
+    return df.join(checked_broadcast(prefixes, known_rows=n_sources), F.col(SOURCE_COL) == F.col("_p_src"), "left")
 
 
 def _canonical(df: DataFrame, c: str) -> Column:
@@ -117,6 +156,11 @@ def _canonical(df: DataFrame, c: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit(""))
 
 
+def row_digest(df: DataFrame, columns: list[str]) -> Column:
+    """SHA-256 of the columns' values, the same for equal rows only."""
+    return F.sha2(F.concat_ws(SEPARATOR, *[_canonical(df, c) for c in columns]), 256)
+
+
 def add_hash_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
                  codes: dict[str, str] = ID_CODES) -> DataFrame:
     """Seven ids per row: ``<prefix><code><sha256 of the row>``; no shuffle at all.
@@ -125,25 +169,24 @@ def add_hash_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
     key, or sharing one, get different ids as long as the rows are distinct,
     which they are after deduplication.  A changed row gets new ids.
     """
-    prefixes = sources.select(F.col(SOURCE_COL).alias("_p_src"), F.col("prefix").alias("_prefix"))
     rest = [c for c in df.columns if c not in (SOURCE_COL, key)]
-    digest = F.sha2(F.concat_ws(SEPARATOR, *[_canonical(df, c) for c in [SOURCE_COL, key, *rest]]), 256)
-    n_sources = _checked_prefixes(prefixes)
-    joined = df.join(checked_broadcast(prefixes, known_rows=n_sources),
-                     F.col(SOURCE_COL) == F.col("_p_src"), "left")
+    digest = row_digest(df, [SOURCE_COL, key, *rest])
+    joined = _with_prefix(df, sources)
     known = F.coalesce("_prefix", unregistered(F.col(SOURCE_COL)))
     ids = [F.concat(known, F.lit(code), digest).alias(name) for name, code in codes.items()]
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *ids)
 
 
-def add_monotonic_ids(df: DataFrame, prefix: str, codes: dict[str, str] = ID_CODES) -> DataFrame:
+def add_monotonic_ids(df: DataFrame, prefix: str | DataFrame, codes: dict[str, str] = ID_CODES) -> DataFrame:
     """Ids from ``monotonically_increasing_id() + 1`` (unique, not dense).
 
-    The frame is checkpointed first so that every table cut from it sees the
-    same ids; without that each action would renumber the rows.
+    ``prefix`` is one text for all rows, or the source table with a prefix per
+    source.  The frame is checkpointed first so that every table cut from it
+    sees the same ids; without that each action would renumber the rows.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = (F.monotonically_increasing_id() + F.lit(1)).cast("string")
-    tagged = df.select("*", n.alias("_n")).checkpoint(eager=True)
-    ids = [F.concat(F.lit(prefix), F.lit(code), F.col("_n")).alias(name) for name, code in codes.items()]
+    tagged = df.select("*", (F.monotonically_increasing_id() + F.lit(1)).alias("_n")).checkpoint(eager=True)
+    if isinstance(prefix, DataFrame):
+        return ids_from_numbers(tagged, prefix, "_n", codes)
+    ids = [F.concat(F.lit(prefix), F.lit(code), F.col("_n").cast("string")).alias(name) for name, code in codes.items()]
     return tagged.select(*[F.col(f"`{c}`") for c in df.columns], *ids)

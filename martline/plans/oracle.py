@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from ..config import COLUMN_MAPPING, TABLE_COLUMNS, TARGET_TYPES
 from ..fixtures import (DIRTY_LISTINGS_SQL, DOCUMENTS_SQL, GEOCODER_PAYLOADS_SQL, POSTCODE_POINTS_SQL,
-                        RAW_HEADERS, SOURCES_SQL, TALK_SQL, TRANSLATION_MEMO_SQL, duckdb_sql)
+                        RAW_HEADERS, SOURCES_SQL, TALK_SQL, TITLE_MEMO_SQL, TRANSLATION_MEMO_SQL, duckdb_sql)
 
 # Fixed values, stated on their own.
 ID_CODES = {"listingId": "LIS", "amenitiesId": "AMT", "reviewId": "REV", "checkInOutId": "CHK", "locationId": "LOC",
@@ -414,6 +414,42 @@ def _hash_ids() -> str:
                  f"SELECT src, propertyId, {ids} FROM constant")
 
 
+def _etl_enriched() -> str:
+    """Titles by language and memo, postcodes by every pair, for the sources with the flags."""
+    km = haversine_sql("l.latitude", "l.longitude", "p.lat", "p.lon")
+    ctes = CLEANED + [
+        ("stripped", f"SELECT {STRIPPED_COLS} FROM cleaned"),
+        ("listings", "SELECT row_number() OVER () AS _row, * FROM stripped"),
+        ("points", duckdb_sql(POSTCODE_POINTS_SQL)), ("memo", duckdb_sql(TITLE_MEMO_SQL)),
+    ] + language_ctes("listings", ["_row"], "listingTitle") + [
+        ("pairs", f"SELECT l._row, p.postcode, {km} AS d FROM listings l CROSS JOIN points p "
+                  f"WHERE l.latitude IS NOT NULL AND l.longitude IS NOT NULL"),
+        ("near", f"SELECT _row, postcode FROM (SELECT *, row_number() OVER (PARTITION BY _row ORDER BY d, postcode) "
+                 f"AS rn FROM pairs WHERE d <= {POSTCODE_RADIUS_KM}) WHERE rn = 1"),
+    ]
+    title = f"CASE WHEN k.translate AND {NEEDS} THEN coalesce(m.translated, l.listingTitle) ELSE l.listingTitle END"
+    code = "CASE WHEN k.geocode THEN coalesce(l.zipcode, n.postcode) ELSE l.zipcode END"
+    return with_(ctes, f"SELECT l.src, coalesce(l.propertyId, '0') AS propertyId, "
+                       f"replace(coalesce({title}, 'Unknown'), chr(39), '') AS listingTitle, "
+                       f"coalesce({code}, '000000') AS zipcode, coalesce(l.latitude, 0) AS latitude, "
+                       f"coalesce(l.longitude, 0) AS longitude FROM listings l JOIN sources k ON l.src = k.src "
+                       f"LEFT JOIN best b ON l._row = b._row LEFT JOIN memo m ON l.listingTitle = m.source_text "
+                       f"LEFT JOIN near n ON l._row = n._row")
+
+
+def _incremental_etl() -> str:
+    """Rows of the first drop are numbered first, the others on from there."""
+    first = "numberOfBookingsLtmObservedMonth IN (0, 2, 4, 6, 8, 10)"
+    ctes = CLEANED + [
+        ("stripped", f"SELECT {STRIPPED_COLS} FROM cleaned"),
+        ("constant", constants_sql("stripped")),
+        ("numbered", f"SELECT *, row_number() OVER (PARTITION BY src ORDER BY CASE WHEN {first} THEN 0 ELSE 1 END, {ROW_ORDER}) "
+                     f"AS _rn FROM constant"),
+    ]
+    return with_(ctes, "SELECT src, propertyId, _prefix || 'LIS' || CAST(_rn AS VARCHAR) AS listingId, "
+                       "_prefix || 'BOK' || CAST(_rn AS VARCHAR) AS bookingId FROM numbered")
+
+
 def _row_profile() -> str:
     present = {t for raw, t, _ in COLUMN_MAPPING if raw in HEADER_TO_DIRTY}
     parts = []
@@ -511,6 +547,18 @@ def oracles() -> dict[str, str]:
             "'[{\"address_components\":[{\"long_name\":\"VARCHAR\",\"types\":[\"VARCHAR\"]}]}]'), "
             "lambda r: r.address_components)), lambda x: list_contains(x.types, 'postal_code'))[1].long_name END "
             "AS postcode FROM payloads"),
+        "etl_enriched": _etl_enriched(),
+        "incremental_etl": _incremental_etl(),
+        "etl_counts": with_(CLEANED, "SELECT 'raw_rows' AS step, count(*) AS rows FROM dirty UNION ALL "
+                                     "SELECT 'clean_rows', count(*) FROM cleaned"),
+        "catalog_tables": with_(TABLES, " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS rows FROM t_{t}" for t in
+            ["listing", "host", "location", "amenities", "review", "checkin", "pricing", "booking"])),
+        "unparsed_times": with_(_checkin_mapped(), " UNION ALL ".join(
+            f"SELECT {q(c)} AS column_name, count(*) FILTER ({c} IS NOT NULL AND {clock_sql(c)} IS NULL) AS unparsed "
+            f"FROM ck_split" for c in MODE_COLUMNS)),
+        "monotonic_ids": with_(BASE, "SELECT src, count(*) AS rows, count(*) AS ids, count(*) AS prefixed FROM dirty GROUP BY src"),
+        "fact_repartition": with_(CLEANED, "SELECT 7 AS partitions, count(*) AS rows FROM cleaned"),
         "enrich_hook": "SELECT DISTINCT text AS value, lower(text) AS result, 'ok' AS status "
                        "FROM conversations WHERE text IS NOT NULL",
     }

@@ -19,13 +19,14 @@ from ..functions.json import postal_code
 from ..functions.text import amenity_list, strip_quotes, strip_symbols
 from ..operators import enrich
 from ..operators.impute import mode_values
+from ..operators.keys import add_monotonic_ids
 from ..operators.quality import (dedupe_rows, drop_common_missing, plain_text_gate, row_profile,
                                  strip_symbols_all)
 from ..operators.schema import apply_mapping, ensure_columns, source_constants
 from ..session import read_table, scratch_path
 from ..sources import files
 from ..streaming.incremental import ingest_new_files
-from . import star
+from . import etl, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,6 +302,71 @@ def q_enrich_hook(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.enrich_hook(conv, "text", _lower, max_calls_per_second=1_000_000)
 
 
+# ---------------------------------------------------------------------------
+# Whole runs
+# ---------------------------------------------------------------------------
+
+def q_etl_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings after a run with enrichment: titles translated, missing postcodes filled, per source."""
+    enrichment = star.Enrichment(fx.title_memo(spark, sf), fx.postcode_points(spark, sf), POSTCODE_RADIUS_KM)
+    tables = etl.run(spark, fx.raw_listings(spark, sf), fx.source_registry(spark, sf), scratch_path(spark, "enriched"),
+                     enrichment=enrichment, register=False)
+    listing = tables["listing"].select("listingId", "propertyId", "listingTitle")
+    # Both dimensions are 1:1 with the fact, through their own ids.
+    return (tables["booking"].select(SOURCE_COL, "listingId", "locationId").join(listing, "listingId")
+            .join(tables["location"].select("locationId", "zipcode", "latitude", "longitude"), "locationId")
+            .select(SOURCE_COL, "propertyId", "listingTitle", "zipcode", "latitude", "longitude"))
+
+
+# Rows of the first drop; the second one delivers all rows, those of the first again.
+FIRST_DROP = "`Number of Bookings LTM - Number of observed month` IN ('0', '2', '4', '6', '8', '10')"
+
+
+def q_incremental_etl(spark: SparkSession, sf: str) -> DataFrame:
+    raw, sources, out = fx.raw_listings(spark, sf), fx.source_registry(spark, sf), scratch_path(spark, "increments")
+    etl.run_increment(spark, raw.where(FIRST_DROP), sources, out, 0)
+    tables = etl.run_increment(spark, raw, sources, out, 1)
+    return tables["booking"].select(SOURCE_COL, "propertyId", "listingId", "bookingId")
+
+
+def q_etl_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counts: dict[str, int] = {}
+    etl.run(spark, fx.raw_listings(spark, sf), fx.source_registry(spark, sf), scratch_path(spark, "counted"),
+            register=False, counts=counts)
+    return spark.createDataFrame([(k, v) for k, v in counts.items()], "step string, rows long")
+
+
+def q_catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of a run, attached to the catalog and counted there by SQL."""
+    out = scratch_path(spark, "catalog")
+    tables = etl.run(spark, fx.raw_listings(spark, sf), fx.source_registry(spark, sf), out, register=False)
+    names = files.attach_tables(spark, out, list(tables), "martline_star", {"booking": SOURCE_COL})
+    return spark.sql(" UNION ALL ".join(f"SELECT '{n.split('.')[1]}' AS table_name, count(*) AS rows FROM {n}" for n in names))
+
+
+def q_unparsed_times(spark: SparkSession, sf: str) -> DataFrame:
+    return star.unparsed_times(star.split_checkin(_mapped(spark, sf).select(*ROW_KEY, "checkinTime", "checkoutTime")))
+
+
+def q_monotonic_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Per source: rows, distinct ids, and ids that carry the source's prefix."""
+    sources = fx.source_registry(spark, sf)
+    df = add_monotonic_ids(_mapped(spark, sf).select(SOURCE_COL, "propertyId"), sources)
+    known = df.join(F.broadcast(sources.select(SOURCE_COL, "prefix")), SOURCE_COL)
+    return known.groupBy(SOURCE_COL).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("listingId").alias("ids"),
+        F.count_if(F.col("listingId").rlike("^C[0-9]{2}LIS[0-9]+$") & F.col("listingId").startswith(F.col("prefix"))).alias("prefixed"))
+
+
+FACT_PARTITIONS = 7
+
+
+def q_fact_repartition(spark: SparkSession, sf: str) -> DataFrame:
+    fact = star.star_tables(_wide(spark, sf), fact_partitions=FACT_PARTITIONS)["booking"]
+    return fact.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("rows"))
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
     "source_union": q_source_union,
@@ -352,4 +418,11 @@ QUERIES: dict[str, Query] = {
     "nearest_postcode": q_nearest_postcode,
     "geocode_payload": q_geocode_payload,
     "enrich_hook": q_enrich_hook,
+    "etl_enriched": q_etl_enriched,
+    "incremental_etl": q_incremental_etl,
+    "etl_counts": q_etl_counts,
+    "catalog_tables": q_catalog_tables,
+    "unparsed_times": q_unparsed_times,
+    "monotonic_ids": q_monotonic_ids,
+    "fact_repartition": q_fact_repartition,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,15 @@ from ..config import (FILL_DEFAULTS, FLAG_COLUMNS, MODE_COLUMNS, SOURCE_COL, TAB
 from ..functions.clock import checkin_window, clock_24h
 from ..functions.flags import flag
 from ..functions.text import amenity_list, strip_quotes
+from ..operators.enrich import nearest_postcode, translate_memo
 from ..operators.impute import fill_defaults, mode_impute
 from ..operators.keys import add_hash_ids, add_surrogate_ids
 from ..operators.quality import dedupe_rows, drop_common_missing, strip_symbols_all
-from ..operators.schema import apply_mapping, ensure_columns, source_constants
+from ..operators.schema import apply_mapping, ensure_columns, source_constants, source_count
+from ..session import checked_broadcast
+
+# Columns of the cleaned wide rows before ids are given.
+TARGETS = [SOURCE_COL, *TARGET_TYPES]
 
 DIMENSIONS = ["listing", "host", "location", "amenities", "review", "checkin", "pricing"]
 
@@ -23,21 +30,64 @@ def mapped_listings(raw: DataFrame) -> DataFrame:
     return ensure_columns(apply_mapping(raw), TARGET_TYPES)
 
 
-def clean_listings(raw: DataFrame, sources: DataFrame, unset: str = "null",
-                   ids: str = "sequence") -> DataFrame:
-    """The wide frame every table is cut from.
+@dataclass(frozen=True)
+class Enrichment:
+    """What enriches the listings of the sources that ask for it.
+
+    The source table's flags ``translate`` and ``geocode`` name the sources.
+    ``memo`` holds translations, ``points`` postcode points.
+    """
+
+    memo: DataFrame | None = None
+    points: DataFrame | None = None
+    radius_km: float = 50.0
+    text_columns: tuple[str, ...] = ("listingTitle",)
+
+
+def enrich_listings(df: DataFrame, sources: DataFrame, enrichment: Enrichment) -> DataFrame:
+    """Texts translated through the memo, and missing postcodes taken from the nearest point, per source.
+
+    Only rows of the sources concerned go through the joins; a postcode that
+    a listing has is kept.
+    """
+    flags = sources.select(F.col(SOURCE_COL).alias("_f_src"), F.coalesce("translate", F.lit(False)).alias("_translate"),
+                           F.coalesce("geocode", F.lit(False)).alias("_geocode"))
+    n = source_count(flags, "_f_src")
+    df = df.join(checked_broadcast(flags, known_rows=n), F.col(SOURCE_COL) == F.col("_f_src"), "left")
+    columns = [c for c in df.columns if not c.startswith("_")]
+    if enrichment.memo is not None:
+        on = df.where("_translate")
+        for c in enrichment.text_columns:
+            on = translate_memo(on, c, enrichment.memo)
+        df = on.unionByName(df.where("NOT coalesce(_translate, false)"))
+    if enrichment.points is not None:
+        wanted = F.coalesce(F.col("_geocode"), F.lit(False)) & F.col("zipcode").isNull()
+        on = nearest_postcode(df.where(wanted), enrichment.points, enrichment.radius_km, out="_postcode")
+        on = on.withColumn("zipcode", F.col("_postcode")).drop("_postcode")
+        df = on.unionByName(df.where(~wanted))
+    return df.select(*columns)
+
+
+def cleaned_rows(raw: DataFrame, sources: DataFrame, unset: str = "null", enrichment: Enrichment | None = None) -> DataFrame:
+    """map and cast -> absent columns -> drop empty rows -> drop exact copies ->
+    strip symbols from text -> enrichment -> source constants."""
+    df = strip_symbols_all(dedupe_rows(drop_common_missing(mapped_listings(raw))))
+    if enrichment is not None:
+        df = enrich_listings(df, sources, enrichment)
+    return source_constants(df, sources, unset=unset)
+
+
+def clean_listings(raw: DataFrame, sources: DataFrame, unset: str = "null", ids: str = "sequence",
+                   enrichment: Enrichment | None = None, wide_path: str | None = None) -> DataFrame:
+    """The wide frame every table is cut from: ``cleaned_rows`` with surrogate ids.
 
-    map and cast -> absent columns -> drop empty rows -> drop exact copies ->
-    strip symbols from text -> source constants -> surrogate ids.
     ``ids="sequence"`` numbers listings 1, 2, ... per source (deterministic);
-    ``ids="hash"`` derives them from (source, property id) with no shuffle.
+    ``ids="hash"`` derives them from the row with no shuffle.  With
+    ``wide_path`` the copy written for the sequence is kept there.
     """
-    df = mapped_listings(raw)
-    df = dedupe_rows(drop_common_missing(df))
-    df = strip_symbols_all(df)
-    df = source_constants(df, sources, unset=unset)
+    df = cleaned_rows(raw, sources, unset, enrichment)
     if ids == "sequence":
-        return add_surrogate_ids(df, sources)
+        return add_surrogate_ids(df, sources, path=wide_path)
     if ids == "hash":
         return add_hash_ids(df, sources)
     raise ValueError("ids must be 'sequence' or 'hash'")
@@ -105,6 +155,13 @@ def fill_checkin(df: DataFrame) -> DataFrame:
                            for c in filled.columns])
 
 
+def unparsed_times(df: DataFrame) -> DataFrame:
+    """Per check-in column: how many texts are not a 12-hour time and stay without a clock time."""
+    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & clock_24h(c).isNull()).alias(c) for c in MODE_COLUMNS])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in MODE_COLUMNS)
+    return counts.select(F.expr(f"stack({len(MODE_COLUMNS)}, {pairs}) AS (column_name, unparsed)"))
+
+
 def host_dimension(df: DataFrame, grain: str = "host") -> DataFrame:
     """One row per host (``grain="host"``): largest listing count, superhost if
     any listing says so.  ``grain="listing"`` keeps one row per listing.
