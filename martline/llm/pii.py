@@ -9,8 +9,10 @@ by sure patterns become known themselves and take part in the next round.
 
 from __future__ import annotations
 
-import pyarrow as pa
+from collections.abc import Callable
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,8 @@ def find_pii(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> D
     empty table gives an empty result.  Input columns with a result's name are replaced.
     """
     found = _found(docs, text_col, rounds, keep_text=False)
-    counts = {f"n_{k}": F.size(F.filter("_base", lambda x, n=n: x["kind"] == n)).cast("long") for n, k in enumerate(KINDS)}
+    kinds = F.col("_base.kind")
+    counts = {f"n_{k}": F.size(F.filter(kinds, _equals(n))).cast("long") for n, k in enumerate(KINDS)}
     return unpacked(found, counts | {
         "base_spans": _joined(F.col("_base")), "spans": _joined(F.col("_all")),
         "n_found": (F.size("_all") - F.size("_base")).cast("long")})
@@ -88,6 +91,11 @@ def _masked(text: str, spans: str) -> str:
     return "".join(out) + text[done:]
 
 
+def _equals(number: int) -> Callable[[Column], Column]:
+    """A test of one argument: ``filter`` passes the index to a second one."""
+    return lambda x: x == number
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(

@@ -124,6 +124,80 @@ ORACLES = {
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
         FROM n
     """,
+    "op9_quote_linking": r"""
+        WITH RECURSIVE said0 AS (
+            SELECT conv_id, turn, min(text) AS text FROM conversations WHERE turn IS NOT NULL GROUP BY conv_id, turn
+        ), asked AS (
+            SELECT *, CASE WHEN turn % 3 = 2 THEN 0 ELSE turn - 1 END AS to_turn FROM conversations
+        ), quoting AS (
+            SELECT a.conv_id, a.turn, a.role, row_number() OVER () AS rid,
+                   coalesce('Someone wrote:' || chr(10)
+                            || coalesce('> > ' || split_part(two.text, chr(10), 1) || chr(10), '')
+                            || '> ' || replace(one.text, chr(10), chr(10) || '> ') || chr(10) || chr(10), '')
+                   || coalesce(a.text, '') AS text
+            FROM asked a LEFT JOIN said0 one ON one.conv_id = a.conv_id AND one.turn = a.to_turn
+            LEFT JOIN said0 two ON two.conv_id = a.conv_id AND two.turn = a.to_turn - 1
+        ), cut AS (
+            SELECT rid, string_split_regex(text, '\r?\n') AS parts FROM quoting
+        ), numbered AS (
+            SELECT rid, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line FROM cut
+        ), lines AS (
+            SELECT rid, i, regexp_replace(line, '^((?:[ \t]?>)+)[ \t]?', '') AS body,
+                   length(regexp_replace(regexp_extract(line, '^((?:[ \t]?>)+)[ \t]?', 1), '[^>]', '', 'g')) AS level
+            FROM numbered
+        ), marked AS (
+            SELECT *, lag(level) OVER (PARTITION BY rid ORDER BY i) AS level_before,
+                   coalesce(lead(level) OVER (PARTITION BY rid ORDER BY i), 0) AS level_after,
+                   regexp_matches(body, '(?i)^.{0,200}\b(wrote|writes|schrieb|a écrit|escribió)\s?:\s*$') AS introduces
+            FROM lines
+        ), own AS (
+            SELECT rid, regexp_replace(coalesce(string_agg(body, chr(10) ORDER BY i)
+                        FILTER (level = 0 AND NOT (introduces AND level_after > 0)), ''), '\A\s+|\s+\z', '', 'g') AS reply_text,
+                   count(*) FILTER (level > 0 AND level IS DISTINCT FROM level_before) AS n_quotes
+            FROM marked GROUP BY rid
+        ), runs AS (
+            SELECT rid, i, body, level,
+                   sum(CASE WHEN level IS DISTINCT FROM level_before THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS run
+            FROM marked
+        ), texts AS (
+            SELECT rid, level, string_agg(body, chr(10) ORDER BY i) AS text FROM runs WHERE level > 0 GROUP BY rid, run, level
+            UNION ALL SELECT rid, 0, reply_text FROM own
+        ), parts AS (
+            SELECT rid, level, true AS whole, text AS part FROM texts
+            UNION ALL SELECT rid, level, false, unnest(string_split_regex(text, '\n\s*\n')) FROM texts
+            UNION ALL SELECT rid, level, false, unnest(string_split(text, chr(10))) FROM texts
+        ), clean AS (
+            SELECT q.conv_id, q.turn, u.level, u.unit
+            FROM (SELECT rid, level, whole, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS unit FROM parts) u
+            JOIN quoting q ON q.rid = u.rid
+            WHERE u.unit <> '' AND (u.whole OR length(u.unit) >= 8) AND q.conv_id IS NOT NULL AND q.turn IS NOT NULL
+        ), said AS (
+            SELECT conv_id, unit, min(turn) AS said FROM clean WHERE level = 0 GROUP BY conv_id, unit
+        ), quoted AS (
+            SELECT conv_id, turn, unit, min(level) AS level, max(length(unit)) AS chars
+            FROM clean WHERE level > 0 GROUP BY conv_id, turn, unit
+        ), weighed AS (
+            SELECT conv_id, turn, said, level, sum(chars) AS chars FROM quoted JOIN said USING (conv_id, unit)
+            WHERE said < turn GROUP BY conv_id, turn, said, level
+        ), links AS (
+            SELECT conv_id, turn, said AS parent FROM (
+                SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, chars DESC, said DESC) AS rn FROM weighed)
+            WHERE rn = 1
+        ), chain AS (
+            SELECT conv_id, turn, parent, parent AS first, 1 AS steps FROM links
+            UNION ALL
+            SELECT c.conv_id, c.turn, c.parent, l.parent, c.steps + 1
+            FROM chain c JOIN links l ON l.conv_id = c.conv_id AND l.turn = c.first
+        ), ends AS (
+            SELECT conv_id, turn, any_value(parent) AS parent, arg_max(first, steps) AS first, max(steps) AS steps
+            FROM chain GROUP BY conv_id, turn
+        )
+        SELECT q.conv_id, q.turn, q.role, o.reply_text, o.n_quotes, e.parent AS parent_turn,
+               coalesce(e.first, q.turn) AS thread_turn, coalesce(e.steps, 0) AS depth,
+               row_number() OVER (PARTITION BY q.conv_id ORDER BY coalesce(e.first, q.turn) NULLS FIRST, q.turn NULLS FIRST, q.rid) AS position,
+               '<|' || coalesce(q.role, 'unknown') || '|>' || chr(10) || o.reply_text || chr(10) AS chat_text
+        FROM quoting q JOIN own o ON o.rid = q.rid LEFT JOIN ends e ON e.conv_id = q.conv_id AND e.turn = q.turn
+    """,
     "op10_warc_index": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages
