@@ -21,14 +21,14 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martline.llm.common import packed, unpacked, written
+from martline.llm.common import unpacked, with_text, written
 
 #: A text needs this many words.
 MIN_WORDS = 50
 #: Largest share of words (per cent) in three-word windows that occur more than once.
 MAX_REPEAT_PERCENT = 50
 #: Words whose cut a Python worker remembers, and the longest it does.
-CACHE_WORDS, CACHE_BYTES = 1 << 18, 48
+CACHE_WORDS, CACHE_BYTES = 1 << 19, 48
 #: Words cut at a time.
 CHUNK_WORDS = 1 << 18
 
@@ -82,7 +82,7 @@ def default_model() -> str:
 
 def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang",
                      model: str | None = None, bands: dict[str, Band] | None = None, other: Band = OTHER) -> DataFrame:
-    """Input columns plus the counts, measures and ``kept``.
+    """Input columns but the text, then the counts, measures and ``kept``.
 
     A null text has no words and fails the base rules like any text of fewer
     than ``MIN_WORDS``; its measures are 0 and its script ``none``.  A null,
@@ -90,7 +90,7 @@ def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str | No
     rows are judged alike; an empty table gives an empty result.  Input
     columns with a result's name are replaced.
     """
-    judged = _judged(docs, text_col, lang_col, model, bands, other)
+    judged = _judged(docs, text_col, lang_col, model, bands, other, keep_text=False)
     names = [n for n in _NAMES if n != "in_band"]
     return unpacked(judged, {n: F.col("_verdict").getField(n) for n in names} | {"kept": F.col("_kept")})
 
@@ -98,11 +98,11 @@ def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str | No
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", model: str | None = None,
                  bands: dict[str, Band] | None = None, other: Band = OTHER) -> DataFrame:
     """The rows whose text is kept, with the input columns only."""
-    return unpacked(_judged(docs, text_col, lang_col, model, bands, other).filter("_kept"))
+    return unpacked(_judged(docs, text_col, lang_col, model, bands, other, keep_text=True).filter("_kept"))
 
 
 def _judged(docs: DataFrame, text_col: str, lang_col: str | None, model: str | None, bands: dict[str, Band] | None,
-            other: Band) -> DataFrame:
+            other: Band, keep_text: bool) -> DataFrame:
     path = model or default_model()
     if not os.path.exists(path):
         raise FileNotFoundError(path)
@@ -113,11 +113,10 @@ def _judged(docs: DataFrame, text_col: str, lang_col: str | None, model: str | N
         cutter = Cutter.of(path)
         return pd.DataFrame([judge(t, cutter, held, rest) for t in texts], columns=_NAMES)
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
     has_lang = lang_col and lang_col.lower() in (c.lower() for c in docs.columns)
     lang = F.col("_row").getField(lang_col).cast("string") if has_lang else F.lit(None).cast("string")
     code = F.when(lang.rlike("^[a-z]{2,3}$"), lang).otherwise("und")
-    rows = written(packed(docs).withColumn("_verdict", verdict(text))
+    rows = written(with_text(docs, text_col, keep_text).select("_row", verdict("_text").alias("_verdict"))
                    .withColumn("_group", F.concat_ws("/", code, F.col("_verdict.script"))), "verdicts")
     per_token, words = F.col("_verdict.chars_per_token"), F.col("_verdict.n_words")
     floor = F.col("_median") - FLOOR_SPREADS * F.col("_spread") * F.sqrt(1 + SHORT_WORDS / words)
