@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from built import query
 from check_oracles import compare, duck
 from martline.plans.oracle import oracles
 from martline.plans.queries import QUERIES
@@ -22,7 +23,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_small, con, name):
-    df = QUERIES[name](spark, sf_small)
+    df = query(spark, sf_small, name)
     spark_rows = [tuple(r) for r in df.collect()]
     res = con.execute(SQL[name])
     duck_cols = [d[0] for d in res.description]
