@@ -142,7 +142,7 @@ def attach_tables(spark: SparkSession, base: str, names: list[str], database: st
     Attaching again replaces the definition.  ``partitioned`` names the
     partition column of a table; its folders are registered.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base.rstrip('/')}'")
     out = []
     for name in names:
         full, column = f"`{database}`.`{name}`", (partitioned or {}).get(name)
