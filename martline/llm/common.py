@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +32,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path, before = scratch_path(spark, name), spark.conf.get(_BATCH)
+    for paths in _listeners:
+        paths.append(path)
     spark.conf.set(_BATCH, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_of(paths: list[str]) -> Iterator[None]:
+    """Adds to ``paths`` the folders that ``written`` makes inside the block."""
+    _listeners.append(paths)
+    try:
+        yield
+    finally:
+        _listeners.remove(paths)
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders that nothing reads any more and empties the list."""
+    context = spark.sparkContext
+    while paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_listeners: list[list[str]] = []
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

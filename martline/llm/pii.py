@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from martline.llm.common import unpacked, with_text, written
 from martline.llm.identifiers import KINDS, identifiers
+from martline.session import checked_broadcast
 
 #: Rounds of scoring.
 ROUNDS = 3
@@ -119,6 +120,8 @@ def _found(docs: DataFrame, text_col: str, rounds: int, keep_text: bool) -> Data
         return rows.select("_row", F.col("base").alias("_base"), F.col("base").alias("_all"))
     extra = (_discovered(contexts, graph, rounds).groupBy("_at")
              .agg(F.collect_list(F.struct("kind", "start", "end")).alias("_extra")))
+    # Written first; broadcast within a bound of rows and bytes, so that texts are not shuffled for a few spans.
+    extra = checked_broadcast(written(extra, "pii-discovered"))
     none = F.array().cast(_SPANS)
     return rows.join(extra, "_at", "left").select(
         "_row", F.col("base").alias("_base"),

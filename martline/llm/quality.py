@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import packed, unpacked, written
+from martline.llm.common import unpacked, with_text, written
 
 #: Random features, width of the kernel in standardised units a root dimension, and ridge penalty.
 FEATURES, WIDTH, RIDGE = 256, 1.0, 0.1
@@ -64,9 +64,7 @@ def document_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def stats(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts], dtype=object)
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
-    rest = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != text_col])
-    return written(packed(docs).select(rest.alias("_row"), stats(text).alias("_stats")), "statistics")
+    return written(with_text(docs, text_col, keep=False).select("_row", stats("_text").alias("_stats")), "statistics")
 
 
 def train_quality(rows: DataFrame, seed: int = 1) -> dict:

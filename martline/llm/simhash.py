@@ -22,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import packed, unpacked, written
+from martline.llm.common import unpacked, with_text, written
 from martline.llm.components import connected_components
 from martline.llm.textstats import simhash
+from martline.session import checked_broadcast
 
 #: Sets of four byte positions whose numbers cancel under xor: every three positions lie in exactly one.
 POSITION_SETS = [c for c in combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
@@ -38,7 +39,7 @@ SMALL_LIST = 16
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        max_distance: int = MAX_DISTANCE, seed: int = 42) -> DataFrame:
-    """Input columns plus ``fingerprint`` (16 hex digits) and ``component_id``.
+    """Input columns but the text, then ``fingerprint`` (16 hex digits) and ``component_id``.
 
     Fingerprints at ``max_distance`` or fewer differing bits are linked;
     ``component_id`` is the smallest id reachable.  Null and empty texts have
@@ -47,7 +48,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     returned; an empty table gives an empty result.  Input columns with a
     result's name are replaced.
     """
-    return unpacked(_grouped(docs, id_col, text_col, shingle, max_distance, seed), {
+    rows, member = _grouped(docs, id_col, text_col, shingle, max_distance, seed, keep_text=False)
+    return unpacked(rows.join(member, "_fp"), {
         "fingerprint": F.lower(F.lpad(F.hex("_fp"), 16, "0")), "component_id": F.col("_component_id")})
 
 
@@ -57,13 +59,18 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Of rows that share that id (or have none) one stays.
     """
-    rows = _grouped(docs, id_col, text_col, shingle, max_distance, 42)
-    first = (rows.filter(F.col("_row").getField(id_col).eqNullSafe(F.col("_component_id")))
+    rows, member = _grouped(docs, id_col, text_col, shingle, max_distance, 42, keep_text=True)
+    small = rows.select("_at", "_fp", F.col("_row").getField(id_col).alias("_id")).join(member, "_fp")
+    first = (small.filter(F.col("_id").eqNullSafe(F.col("_component_id")))
              .groupBy("_root").agg(F.min("_at").alias("_at")).select("_at"))
-    return unpacked(rows.join(first, "_at", "left_semi"))
+    # The rows that go are written first: a number each, broadcast within a bound of bytes, else joined by shuffle.
+    gone = written(small.select("_at").join(first, "_at", "left_anti"), "near-copies")
+    return unpacked(rows.join(checked_broadcast(gone), "_at", "left_anti"))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int, seed: int) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int, seed: int,
+             keep_text: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows with their fingerprint and number, and ``_fp, _root, _component_id`` of each fingerprint."""
     if not 0 <= max_distance <= MAX_DISTANCE:
         raise ValueError(f"max_distance must be 0 to {MAX_DISTANCE}")
 
@@ -72,19 +79,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_dist
         prints = np.fromiter((simhash(t, shingle, seed) for t in texts), dtype=np.uint64, count=len(texts))
         return pd.Series(prints.view(np.int64))
 
-    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
-    rows = written(packed(docs).select("_row", fingerprint(text).alias("_fp"),
-                                       F.monotonically_increasing_id().alias("_at")), "fingerprints")
+    rows = written(with_text(docs, text_col, keep_text).select("_row", fingerprint("_text").alias("_fp"),
+                                                               F.monotonically_increasing_id().alias("_at")), "fingerprints")
     nodes = written(rows.groupBy("_fp").agg(F.min(F.col("_row").getField(id_col)).alias("_least")), "fingerprint-nodes")
     roots = connected_components(fingerprint_links(nodes, "_fp", max_distance))
     member = nodes.join(roots, F.col("_fp") == F.col("node"), "left").select(
         "_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
     least = member.groupBy("_root").agg(F.min("_least").alias("_component_id"))
-    return rows.join(member.drop("_least").join(least, "_root"), "_fp")
+    return rows, member.drop("_least").join(least, "_root")
 
 
 def fingerprint_links(nodes: DataFrame, fp_col: str, max_distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
-    """``(a, b)`` links that join every two distinct fingerprints within reach, directly or over others."""
+    """``(a, b)`` links that join every two distinct fingerprints within reach, directly or over others.
+
+    A link may come up in several lists.
+    """
     fp = F.col(fp_col)
     byte = [F.shiftrightunsigned(fp, 8 * (7 - p)).bitwiseAND(F.lit(255)) for p in range(8)]
     keys = []
@@ -102,7 +111,7 @@ def fingerprint_links(nodes: DataFrame, fp_col: str, max_distance: int = MAX_DIS
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
              .select("_key", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_fp"))
     return (cells.repartition("_key", "_lo", "_hi").sortWithinPartitions("_key", "_lo", "_hi", "_fp")
-            .mapInArrow(_linker(max_distance), "a long, b long").distinct())
+            .mapInArrow(_linker(max_distance), "a long, b long"))
 
 
 def _linker(max_distance: int):
