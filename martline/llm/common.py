@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name, spread_rows=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
@@ -36,7 +36,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
         paths.append(path)
     spark.conf.set(_BATCH, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", compression).parquet(path)
     finally:
         spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -61,11 +61,11 @@ def _packed(docs: DataFrame, text_col: str, capacity: int, end_id: int, vocabula
                                           names=["ids", "tokens", "key"])
 
     cut = written(with_text(docs, text_col, keep=False).select("_row", tokens("_text").alias("_cut"))
-                  .select("_row", "_cut.*", F.monotonically_increasing_id().alias("_at")), "packing-tokens")
+                  .select("_row", "_cut.*", F.monotonically_increasing_id().alias("_at")), "packing-tokens", "zstd")
     # The row number breaks ties, so that many copies at one key still spread over partitions.
     lined = cut.repartitionByRange("key", "_at").sortWithinPartitions("key", "_at")
     schema = T.StructType([*lined.schema, T.StructField("_part", T.IntegerType()), T.StructField("_before", T.LongType())])
-    lined = written(lined.mapInArrow(_placed, schema), "packing-order")
+    lined = written(lined.mapInArrow(_placed, schema), "packing-order", "zstd")
     # One row per partition of the range sort.
     before = lined.groupBy("_part").agg(F.sum("tokens").alias("_all")).select(
         "_part", F.coalesce(F.sum("_all").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
