@@ -20,7 +20,7 @@ from martline.llm.common import ascii_lower, packed, shuffle_partitions, unpacke
 #: Leading characters of the normalised text in the range key.
 PREFIX_CHARS = 32
 #: A group of copies below this is never split.
-MIN_SPLIT_ROWS = 1024
+MIN_SPLIT_ROWS = 64
 
 _KEY = ("_prefix", "_digest", "_salt")
 
