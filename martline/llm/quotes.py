@@ -49,12 +49,13 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
         F.monotonically_increasing_id().alias("_at")), "message-lines")
     base = base.select("*", _own_text(F.col("_lines")).alias("_own"), _run_starts(F.col("_lines")).alias("_starts"))
     parsed = written(base.select("_row", "_conv", "_turn", "_at", "_own",
-                                 _passages(F.col("_lines"), F.col("_starts")).alias("_quotes")), "message-quotes")
+                                 _passages(F.col("_lines"), F.col("_starts")).alias("_quotes"))
+                     .withColumn("_n", F.size("_quotes")), "message-quotes")
     ancestors = _ancestors(_links(parsed))
-    found = (parsed.join(ancestors, ["_conv", "_turn"], "left")
+    # What is shuffled from here on leaves the parsed quotes behind.
+    found = (parsed.drop("_quotes").join(ancestors, ["_conv", "_turn"], "left")
              .withColumn("_thread", F.coalesce("_first", "_turn")).withColumn("_depth", F.coalesce("_steps", F.lit(0))))
-    found = sequence_number(found.select("_row", "_conv", "_thread", "_turn", "_at", "_own", "_parent", "_depth",
-                                         F.size("_quotes").alias("_n")),
+    found = sequence_number(found.select("_row", "_conv", "_thread", "_turn", "_at", "_own", "_parent", "_depth", "_n"),
                             ["_conv"], ["_thread", "_turn", "_at"], name="_position")
     return unpacked(found, {
         "reply_text": F.col("_own"), "n_quotes": F.col("_n").cast("long"), "parent_turn": F.col("_parent"),
@@ -101,16 +102,21 @@ def _units(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(clean(text)), F.filter(parts, lambda p: F.char_length(p) >= MIN_UNIT_CHARS)))
 
 
+def _hash(unit: Column) -> Column:
+    """MD5 as 16 bytes: units meet by hash alone, and their number is far below 2**64."""
+    return F.unhex(F.md5(unit))
+
+
 def _links(parsed: DataFrame) -> DataFrame:
     """``_conv, _turn, _parent`` of turns whose quotes are found."""
     said = (parsed.filter("_conv IS NOT NULL AND _turn IS NOT NULL")
             .select("_conv", "_turn", F.explode(_units(F.col("_own"))).alias("_unit")).filter("_unit <> ''")
-            .groupBy("_conv", F.sha2("_unit", 256).alias("_hash")).agg(F.min("_turn").alias("_said")))
+            .groupBy("_conv", _hash(F.col("_unit")).alias("_hash")).agg(F.min("_turn").alias("_said")))
     quoted = (parsed.filter("_conv IS NOT NULL AND _turn IS NOT NULL")
               .select("_conv", "_turn", F.explode("_quotes").alias("q"))
               .select("_conv", "_turn", F.col("q.level").alias("_level"), F.explode(_units(F.col("q.text"))).alias("_unit"))
               .filter("_unit <> ''")
-              .groupBy("_conv", "_turn", F.sha2("_unit", 256).alias("_hash"))
+              .groupBy("_conv", "_turn", _hash(F.col("_unit")).alias("_hash"))
               .agg(F.min("_level").alias("_level"), F.max(F.char_length("_unit")).alias("_chars")))
     met = quoted.join(said, ["_conv", "_hash"]).filter("_said < _turn")
     weighed = met.groupBy("_conv", "_turn", "_said", "_level").agg(F.sum("_chars").alias("_chars"))
