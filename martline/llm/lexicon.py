@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import chain
+
+import regex
 
 from martline.llm.wordbpe import ChunkCache
 
@@ -24,8 +27,23 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 #: Lengths of word beginnings that can be terms of their own.
 PREFIXES = range(3, 9)
-#: A word of the folded text is cut to so many characters.
-MAX_WORD = 64
+#: A longer run of letters is no word but words written together: it is scanned from each of its letters.
+LONGEST_WORD = 40
+#: Lengths of terms in scripts written without spaces, in characters.
+GRAMS = range(1, 6)
+
+#: A character of a script written without spaces between words.
+_UNSPACED = (r"[\p{Han}\p{Hiragana}\p{Katakana}ー\p{Bopomofo}\p{Yi}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Javanese}\p{Balinese}"
+             r"\p{Tai_Tham}\p{Tai_Le}\p{New_Tai_Lue}\p{Tai_Viet}&&\p{L}]")
+_RUN = regex.compile(rf"(?V1)(?:{_UNSPACED}\p{{M}}*)+")
+#: What a folded word consists of: single characters without spaces, and runs of other letters.
+_PIECE = regex.compile(rf"(?V1){_UNSPACED}\p{{M}}*|(?:(?!{_UNSPACED})\p{{L}}\p{{M}}*)+")
+_IS_GRAM = regex.compile(rf"(?V1){_UNSPACED}")
+#: Where two words of different scripts meet. Single look-alikes inside a word are a disguise, so a
+#: border needs three Latin letters on one side and a letter without a Latin twin on the other.
+_TWINLESS = rf"[\p{{L}}--\p{{Latin}}--[{''.join(HOMOGLYPHS)}]]"
+_BORDER = regex.compile(rf"(?V1)(?=\p{{Latin}}{{3}})(?<={_TWINLESS}[[\p{{L}}\p{{M}}]--\p{{Latin}}]*)"
+                        rf"|(?<=\p{{Latin}}{{3}})(?=[\p{{L}}--\p{{Latin}}]*{_TWINLESS})")
 
 
 def fold_word(word: str) -> str:
@@ -38,19 +56,42 @@ def fold_word(word: str) -> str:
     if not word.isascii():
         word = unicodedata.normalize("NFC", _HIDDEN.sub("", unicodedata.normalize("NFKC", word))).lower().translate(_FOLD)
     if word.isalpha():
-        return word[:MAX_WORD]
+        return word
     if word[0] in SUBSTITUTES and not word[0].isdigit() and word[1:2].isalpha():
         word = SUBSTITUTES[word[0]] + word[1:] if word[0] in "@$€" else word
     word = _ENDS.sub("", word)
-    return word.translate(_SUBSTITUTE)[:MAX_WORD] if _LETTER.search(word) else ""
+    return word.translate(_SUBSTITUTE) if _LETTER.search(word) else ""
+
 
+def split_token(token: str) -> list[str]:
+    """The folded words of a token between white space.
+
+    It is cut where scripts meet and, once folded, at all that is no letter.
+    Scripts without spaces give their characters one by one; a run of more than
+    ``LONGEST_WORD`` letters gives what stands at each letter, as long as the longest beginning.
+    """
+    if token.isascii():
+        parts = [token]
+    else:
+        token = unicodedata.normalize("NFC", _HIDDEN.sub("", unicodedata.normalize("NFKC", token))).lower()
+        parts = _RUN.sub(r" \g<0> ", _BORDER.sub(" ", token)).split()
+    words = []
+    for part in parts:
+        word = part if _IS_GRAM.match(part) else fold_word(part)
+        for piece in [word] if word.isalpha() and word.isascii() else _PIECE.findall(word):
+            if len(piece) <= LONGEST_WORD:
+                words.append(piece)
+            else:
+                words += [piece[i:i + PREFIXES[-1]] for i in range(len(piece) - PREFIXES[0] + 1)]
+    return words
 
-_FOLDED = ChunkCache(lambda w: fold_word(w))
+
+_FOLDED = ChunkCache(lambda w: split_token(w))
 
 
 def folded_words(text: str | None) -> list[str]:
-    """The folded words of a text; those that fold to nothing are left out."""
-    return [w for w in map(_FOLDED.__getitem__, text.lower().split()) if w] if text else []
+    """The folded words of a text; tokens that fold to nothing are left out."""
+    return list(chain.from_iterable(map(_FOLDED.__getitem__, text.lower().split()))) if text else []
 
 
 def terms_of(word: str) -> list[str]:
@@ -58,6 +99,20 @@ def terms_of(word: str) -> list[str]:
     return [word + "$", *(word[:k] for k in PREFIXES if k <= len(word))]
 
 
+def grams_of(words: list[str]) -> Iterator[str]:
+    """Terms of neighbouring characters of scripts without spaces: ``a$``, ``a b$`` and so on."""
+    run: list[str] = []
+    for word in chain(words, [""]):
+        if word and _IS_GRAM.match(word):
+            run.append(word)
+            continue
+        for i in range(len(run)):
+            for k in GRAMS:
+                if i + k <= len(run):
+                    yield " ".join(run[i:i + k]) + "$"
+        run = []
+
+
 class TermCounter:
     """Documents and occurrences of terms, over those of a bounded set if one is given."""
 
@@ -67,14 +122,24 @@ class TermCounter:
         self.times: Counter = Counter()
         self.terms = ChunkCache(self._terms)
 
-    def _terms(self, word: str) -> list[str]:
+    def _terms(self, word: str) -> list[str] | None:
+        """None for a character of a script without spaces, whose terms depend on its neighbours."""
+        if _IS_GRAM.match(word):
+            return None
         return [t for t in terms_of(word) if self.allowed is None or t in self.allowed]
 
     def add(self, words: list[str]) -> None:
         own: Counter = Counter()
+        grams = False
         for word, n in Counter(words).items():
-            for term in self.terms[word]:
+            terms = self.terms[word]
+            if terms is None:
+                grams = True
+                continue
+            for term in terms:
                 own[term] += n
+        if grams:
+            own.update(t for t in grams_of(words) if self.allowed is None or t in self.allowed)
         self.docs.update(own.keys())
         self.times.update(own)
 

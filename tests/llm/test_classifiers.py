@@ -16,6 +16,25 @@ def test_folding():
     assert fold_word("12345") == "" and fold_word("+1") == "" and folded_words(None) == []
 
 
+def test_words_are_found_inside_tokens():
+    assert folded_words("du,idiot so-called-idiot l'idi0t тыidiot idiot2you") == [
+        "du", "idiot", "so", "called", "idiot", "l", "idiot", "tы", "idiot", "idiot", "you"]
+    assert folded_words("сyкa дурaк ѕtuрid") == ["cyka", "дypak", "stupid"]  # look-alikes are no border
+    assert folded_words("你这个傻瓜idiot啊 100元") == ["你", "这", "个", "傻", "瓜", "idiot", "啊", "元"]
+    lexicon = Lexicon({"idiot": 2.0, "傻 瓜$": 3.0}, ["傻瓜相机"])
+    hits = lambda t: sorted(lexicon.hits(folded_words(t))[1].values())
+    assert hits("x" * 100 + "idiot" + "y" * 3000 + "idiot") == [2.0, 2.0]
+    assert hits("天" * 5000 + "傻瓜") == [3.0] and hits("天傻瓜相机天") == []
+
+
+def test_terms_of_unspaced_scripts():
+    counter = TermCounter()
+    counter.add(folded_words("坏傻瓜 idiot 傻"))
+    got = {t: (d, n) for t, d, n in counter.take()}
+    assert got["傻$"] == (1, 2) and got["傻 瓜$"] == (1, 1) and got["坏 傻 瓜$"] == (1, 1) and got["idiot$"] == (1, 1)
+    assert "瓜 idiot$" not in got and "瓜 傻$" not in got
+
+
 def test_lexicon_matches_by_word_and_spares_exceptions():
     rnd, weights = random.Random(3), {"ab$": 2.0, "abc": 1.0, "b$": 0.5, "cab": 3.0}
     lexicon = Lexicon(weights, ["ab cab"])
@@ -64,6 +83,20 @@ def test_toxicity_learns_terms_and_exceptions(spark):
     assert right >= 0.97 * len(fresh) and all(0 <= s <= 1 for s in got.values())
 
 
+def test_toxicity_of_texts_without_spaces(spark):
+    rnd = random.Random(7)
+    def text(label):  # noqa: E306
+        signs = [chr(rnd.randrange(0x4E00, 0x4E80)) for _ in range(300)]
+        for _ in range(6 if label else 0):
+            signs.insert(rnd.randrange(100, len(signs)), "傻瓜")
+        return "".join(signs)
+    train = [(i, text(i % 5 == 0), int(i % 5 == 0)) for i in range(400)]
+    model = train_toxicity(spark.createDataFrame(train, "id long, text string, label int"))
+    fresh = [(i, text(i % 5 == 0), int(i % 5 == 0)) for i in range(100)]
+    got = {r.id: r.score for r in score_toxicity(spark.createDataFrame(fresh, "id long, text string, label int"), model).collect()}
+    assert sum((got[i] >= 0.7) == bool(label) for i, _, label in fresh) >= 97
+
+
 def test_toxicity_odd_rows(spark):
     nothing = spark.createDataFrame([], "id long, text string, label int")
     model = train_toxicity(nothing)
