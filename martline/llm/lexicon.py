@@ -39,6 +39,8 @@ _RUN = regex.compile(rf"(?V1)(?:{_UNSPACED}\p{{M}}*)+")
 #: What a folded word consists of: single characters without spaces, and runs of other letters.
 _PIECE = regex.compile(rf"(?V1){_UNSPACED}\p{{M}}*|(?:(?!{_UNSPACED})\p{{L}}\p{{M}}*)+")
 _IS_GRAM = regex.compile(rf"(?V1){_UNSPACED}")
+#: A token that is a plain word between signs that stand for no letter there.
+_SIMPLE = re.compile(rf"[-.,;:?!\"'()_]*([a-zß-öø-ÿ]{{1,{LONGEST_WORD}}})[-.,;:?!\"'()_]*")
 #: Where two words of different scripts meet. Single look-alikes inside a word are a disguise, so a
 #: border needs three Latin letters on one side and a letter without a Latin twin on the other.
 _TWINLESS = rf"[\p{{L}}--\p{{Latin}}--[{''.join(HOMOGLYPHS)}]]"
@@ -70,6 +72,9 @@ def split_token(token: str) -> list[str]:
     Scripts without spaces give their characters one by one; a run of more than
     ``LONGEST_WORD`` letters gives what stands at each letter, as long as the longest beginning.
     """
+    simple = _SIMPLE.fullmatch(token)
+    if simple:
+        return [simple[1]]
     if token.isascii():
         parts = [token]
     else:
@@ -114,38 +119,35 @@ def grams_of(words: list[str]) -> Iterator[str]:
 
 
 class TermCounter:
-    """Documents and occurrences of terms, over those of a bounded set if one is given."""
+    """Documents and occurrences of terms."""
 
-    def __init__(self, allowed: set[str] | None = None) -> None:
-        self.allowed = allowed
+    def __init__(self) -> None:
         self.docs: Counter = Counter()
-        self.times: Counter = Counter()
+        self.words: Counter = Counter()
+        self.grams: Counter = Counter()
         self.terms = ChunkCache(self._terms)
 
-    def _terms(self, word: str) -> list[str] | None:
-        """None for a character of a script without spaces, whose terms depend on its neighbours."""
-        if _IS_GRAM.match(word):
-            return None
-        return [t for t in terms_of(word) if self.allowed is None or t in self.allowed]
+    def _terms(self, word: str) -> list[str]:
+        """None of a character of a script without spaces: its terms depend on its neighbours."""
+        return [] if not word.isascii() and _IS_GRAM.match(word) else terms_of(word)
 
     def add(self, words: list[str]) -> None:
-        own: Counter = Counter()
-        grams = False
-        for word, n in Counter(words).items():
-            terms = self.terms[word]
-            if terms is None:
-                grams = True
-                continue
-            for term in terms:
-                own[term] += n
-        if grams:
-            own.update(t for t in grams_of(words) if self.allowed is None or t in self.allowed)
-        self.docs.update(own.keys())
-        self.times.update(own)
+        lists = list(map(self.terms.__getitem__, set(words)))
+        own = set(chain.from_iterable(lists))
+        if not all(lists):
+            grams = list(grams_of(words))
+            own.update(grams)
+            self.grams.update(grams)
+        self.docs.update(own)
+        self.words.update(words)
 
     def take(self) -> list[tuple[str, int, int]]:
-        rows = [(t, n, self.times[t]) for t, n in self.docs.items()]
-        self.docs, self.times = Counter(), Counter()
+        times = self.grams
+        for word, n in self.words.items():
+            for term in self.terms[word]:
+                times[term] += n
+        rows = [(t, n, times[t]) for t, n in self.docs.items()]
+        self.docs, self.words, self.grams = Counter(), Counter(), Counter()
         return rows
 
 

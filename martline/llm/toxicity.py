@@ -20,11 +20,10 @@ from pyspark.sql import functions as F
 from martline.llm.common import unpacked, with_text, written
 from martline.llm.lexicon import Lexicon, TermCounter, folded_words
 
-#: A term needs this share of the toxic training documents, and so many at least; of all such terms
-#: the most frequent MAX_CANDIDATES are weighed.
-MIN_SHARE, MIN_DOCS, MAX_CANDIDATES = 0.005, 3, 100_000
-#: Least log ratio of rates, its least z-value, and the largest lexicon.
-MIN_WEIGHT, MIN_Z, MAX_TERMS = 1.0, 4.0, 20_000
+#: A term needs so many toxic training documents, whatever their number.
+MIN_DOCS = 3
+#: Least log ratio of rates, and its least z-value. All terms that reach them make the lexicon.
+MIN_WEIGHT, MIN_Z = 1.0, 4.0
 #: A phrase needs so many clean documents to be an exception; the largest number of exceptions.
 MIN_EXCEPTION_DOCS, MAX_EXCEPTIONS = 5, 10_000
 #: Terms a worker counts before it passes them on.
@@ -45,20 +44,7 @@ def train_toxicity(texts: DataFrame, exceptions: tuple[str, ...] = ()) -> dict:
     prior = (toxic + 1) / (toxic + clean + 2)
     if not toxic or not clean:
         return {"weights": {}, "exceptions": list(exceptions), "curve": [math.log(prior / (1 - prior))] + [0.0] * N_FEATURES}
-    least = max(MIN_DOCS, math.ceil(MIN_SHARE * toxic))
-    bad = _counts(texts.filter("label = 1"), None).filter(F.col("docs") >= least)
-    bad = bad.orderBy(F.desc("docs"), "term").limit(MAX_CANDIDATES).collect()
-    good = {r["term"]: r for r in _counts(texts.filter("label = 0"), {r["term"] for r in bad}).collect()}
-    words = {r["label"]: r["n"] for r in texts.groupBy("label").agg(
-        F.sum(F.size(F.split("text", r"\s+"))).alias("n")).collect()}
-    weights = {}
-    for r in bad:
-        docs, times = (good[r["term"]]["docs"], good[r["term"]]["times"]) if r["term"] in good else (0, 0)
-        weight = math.log((r["times"] + 0.5) / words[1]) - math.log((times + 0.5) / words[0])
-        odds = math.log((r["docs"] + 0.5) / (toxic + 1)) - math.log((docs + 0.5) / (clean + 1))
-        if weight >= MIN_WEIGHT and odds / math.sqrt(1 / (r["docs"] + 0.5) + 1 / (docs + 0.5)) >= MIN_Z:
-            weights[r["term"]] = weight
-    weights = dict(sorted(weights.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS])
+    weights = _weights(written(_counts(texts), "toxicity-terms"), toxic, clean)
     matched = written(_matched(texts, weights, exceptions), "toxicity-matches")
     spared = _exceptions(matched, toxic, clean)
     spare = F.array(*[F.lit(p) for p in spared]).cast("array<string>")
@@ -129,25 +115,56 @@ def _lexicon(weights: dict[str, float], exceptions: list[str]) -> Lexicon:
     return _OPEN[key]
 
 
-def _counts(texts: DataFrame, allowed: set[str] | None) -> DataFrame:
-    """``term, docs, times`` over all rows; each worker adds up before anything is shuffled."""
-    schema = pa.schema([("term", pa.string()), ("docs", pa.int64()), ("times", pa.int64())])
+def _counts(texts: DataFrame) -> DataFrame:
+    """``term`` with documents and occurrences by label; each worker adds up before anything is shuffled.
+
+    The empty term stands for all words.
+    """
+    schema = pa.schema([("term", pa.string()), ("label", pa.int32()), ("docs", pa.int64()), ("times", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(allowed)
+        counters = [TermCounter(), TermCounter()]
         for batch in batches:
-            for text in batch.column(0):
-                counter.add(folded_words(text.as_py()))
+            for text, label in zip(batch.column(0), batch.column(1)):
+                counter = counters[label.as_py()]
+                words = folded_words(text.as_py())
+                counter.add(words)
+                counter.grams[""] += len(words)
+                counter.docs[""] += 1
                 if len(counter.docs) > FLUSH_TERMS:
-                    yield table(counter.take())
-        yield table(counter.take())
-
-    def table(rows: list[tuple[str, int, int]]) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else ([], [], [])
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, schema.types)], schema=schema)
-
-    return (texts.select("text").mapInArrow(count, "term string, docs long, times long")
-            .groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("times").alias("times")))
+                    yield table(label.as_py(), counter.take())
+        for label, counter in enumerate(counters):
+            yield table(label, counter.take())
+
+    def table(label: int, rows: list[tuple[str, int, int]]) -> pa.RecordBatch:
+        terms, docs, times = zip(*rows) if rows else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip((terms, [label] * len(rows), docs, times), schema.types)],
+                                          schema=schema)
+
+    def total(value: str, label: int) -> Column:
+        return F.sum(F.when(F.col("label") == label, F.col(value)).otherwise(0))
+
+    return (texts.select("text", F.col("label").cast("int")).mapInArrow(count, "term string, label int, docs long, times long")
+            .groupBy("term").agg(total("docs", 1).alias("bad_docs"), total("times", 1).alias("bad_times"),
+                                 total("docs", 0).alias("good_docs"), total("times", 0).alias("good_times"))
+            .filter(F.col("bad_docs") >= MIN_DOCS))
+
+
+def _weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
+    """Log ratios of rates of the terms that tell toxic from clean; only these are collected."""
+    words = counts.filter("term = ''").first()
+    if words is None:
+        return {}
+
+    def half(name: str) -> Column:
+        return F.col(name) + 0.5
+
+    weight = F.log(half("bad_times") / max(1, words["bad_times"])) - F.log(half("good_times") / max(1, words["good_times"]))
+    odds = F.log(half("bad_docs") / (toxic + 1)) - F.log(half("good_docs") / (clean + 1))
+    z = odds / F.sqrt(1 / half("bad_docs") + 1 / half("good_docs"))
+    rows = counts.filter("term <> ''").select("term", weight.alias("weight"), z.alias("z"))
+    rows = rows.filter((F.col("weight") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z)).select("term", "weight").collect()
+    return {r["term"]: r["weight"] for r in sorted(rows, key=lambda r: (-r["weight"], r["term"]))}
 
 
 def _matched(texts: DataFrame, weights: dict[str, float], exceptions: tuple[str, ...]) -> DataFrame:

@@ -97,6 +97,18 @@ def test_toxicity_of_texts_without_spaces(spark):
     assert sum((got[i] >= 0.7) == bool(label) for i, _, label in fresh) >= 97
 
 
+def test_terms_of_a_rare_language_enter_the_lexicon(spark):
+    rnd = random.Random(5)
+    word = lambda k: "".join(rnd.choice(k) for _ in range(6))
+    train = [(i, " ".join([word("abcdef") for _ in range(4)] + ["grumbler"] * (i < 4000)), int(i < 4000)) for i in range(40_000)]
+    # about 2 % of the toxic documents are in another language; each of its words is in a fifth of them
+    rare = ["zonker", "zappler", "zittern", "zausel", "zwiebel"]
+    train += [(50_000 + i, " ".join([word("uvwxyz") for _ in range(4)] + [rare[i % 5]]), 1) for i in range(95)]
+    train += [(60_000 + i, " ".join(word("uvwxyz") for _ in range(4)), 0) for i in range(95)]
+    weights = train_toxicity(spark.createDataFrame(train, "id long, text string, label int"))["weights"]
+    assert {f"{w}$" for w in ["grumbler", *rare]} <= set(weights)
+
+
 def test_toxicity_odd_rows(spark):
     nothing = spark.createDataFrame([], "id long, text string, label int")
     model = train_toxicity(nothing)
