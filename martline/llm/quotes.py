@@ -19,8 +19,6 @@ from martline.operators.keys import sequence_number
 MARKS = r"^((?:[ \t]?>)+)[ \t]?"
 #: A line that only introduces the quote below it.
 ATTRIBUTION = r"(?i)^.{0,200}\b(wrote|writes|schrieb|a écrit|escribió)\s?:\s*$"
-#: Paragraphs and lines shorter than this are not looked up on their own.
-MIN_UNIT_CHARS = 8
 #: Messages in one row of ``transcripts``.
 TRANSCRIPT_MESSAGES = 256
 
@@ -99,7 +97,7 @@ def _units(text: Column) -> Column:
     """The normalised text as a whole, its paragraphs and its lines."""
     clean = lambda t: F.trim(F.regexp_replace(F.lower(t), r"\s+", " "))
     parts = F.transform(F.concat(F.split(text, r"\n\s*\n"), F.split(text, r"\n")), clean)
-    return F.array_distinct(F.concat(F.array(clean(text)), F.filter(parts, lambda p: F.char_length(p) >= MIN_UNIT_CHARS)))
+    return F.array_distinct(F.concat(F.array(clean(text)), parts))
 
 
 def _hash(unit: Column) -> Column:

@@ -41,6 +41,17 @@ def test_links_order_and_texts(spark):
     assert whole["a"].index("Thanks") < whole["a"].index("Something") and ">" not in whole["a"].replace("|>", "")
 
 
+def test_short_lines_are_linked(spark):
+    rows = [
+        ("a", 0, "u", "Yes.\nSee you at five."), ("a", 1, "u", "No.\nThanks.\nWhen?"), ("a", 2, "u", "> Yes.\nGood."),
+        ("a", 3, "u", "> Thanks.\n> When?\nAt six."), ("b", 0, "u", "Yes.\nSee you at five."), ("b", 1, "u", "Yes."),
+        ("b", 2, "u", "> Yes.\n> See you at five.\nGood."), ("c", 0, "u", "A longer line.\n\nOk.\n\nSo?"), ("c", 1, "u", "Ok."),
+        ("c", 2, "u", "> A longer line.\n> Ok.\nFine."),
+    ]
+    got = {(r.conv_id, r.turn): r.parent_turn for r in link_quotes(talk(spark, rows)).collect()}
+    assert (got["a", 2], got["a", 3], got["b", 2], got["c", 2]) == (0, 1, 0, 0) and got["b", 1] is None
+
+
 def test_long_chains_and_one_large_conversation(spark):
     rows = [("a", 0, "u", "message number 0 starts")] + [
         ("a", n, "u", f"> message number {n - 1} {'starts' if n == 1 else 'follows'}\nmessage number {n} follows") for n in range(1, 120)]
