@@ -5,7 +5,8 @@ per token, the share of byte-fallback tokens and the entropy of the tokens say
 how well the text resembles the prose the vocabulary was made from; each
 script has its own bands, outside of which a document is rejected.  Each
 language of a script further has a floor for characters per token, below the
-median of all its documents by a multiple of their spread.  Counts of words,
+median of all its documents by a multiple of their spread; with few documents
+it leans on a fixed one, so that every table has it.  Counts of words,
 symbols, repeated lines and repeated windows stand beside them.
 """
 
@@ -18,7 +19,7 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martline.llm.common import unpacked, with_text, written
@@ -37,8 +38,12 @@ VERDICT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 #: A language's floor lies so many robust standard deviations below its median; SHORT_WORDS widens it
 #: for short texts, whose measure varies more: by the root of 1 + SHORT_WORDS / words.
 FLOOR_SPREADS, SHORT_WORDS = 4.0, 300
-#: A language needs so many documents (of those that pass the base rules) for a floor.
+#: With so many documents (of those that pass the base rules) a language's floor is its own; with
+#: fewer it is mixed, in proportion to their number, with a fixed one.
 FLOOR_DOCS = 200
+#: Fixed floors: usual median and spread by language and script under the public vocabulary. Other
+#: languages have the lower bound of their script's band instead.
+USUAL = {"de/Latin": (2.24, 0.037), "en/Latin": (2.21, 0.036), "es/Latin": (1.94, 0.035), "fr/Latin": (1.98, 0.037)}
 #: Bins of characters per token, a unit and at most, for medians over all documents.
 BINS_PER_UNIT, MOST_BINS = 200, 3200
 
@@ -118,15 +123,28 @@ def _judged(docs: DataFrame, text_col: str, lang_col: str | None, model: str | N
     code = F.when(lang.rlike("^[a-z]{2,3}$"), lang).otherwise("und")
     rows = written(with_text(docs, text_col, keep_text).select("_row", verdict("_text").alias("_verdict"))
                    .withColumn("_group", F.concat_ws("/", code, F.col("_verdict.script"))), "verdicts")
-    per_token, words = F.col("_verdict.chars_per_token"), F.col("_verdict.n_words")
-    floor = F.col("_median") - FLOOR_SPREADS * F.col("_spread") * F.sqrt(1 + SHORT_WORDS / words)
-    kept = ~F.col("_verdict.base_failed") & F.col("_verdict.in_band") & (F.coalesce(floor, F.lit(0.0)) <= per_token)
+    widened = FLOOR_SPREADS * F.sqrt(1 + SHORT_WORDS / F.greatest(F.col("_verdict.n_words"), F.lit(1)))
+    least = _lookup({k: v["min_chars_per_token"] for k, v in held.items()}, F.col("_verdict.script"))
+    usual = USUAL if model is None and bands is None else {}
+    middle, spread = (_lookup({k: v[i] for k, v in usual.items()}, F.col("_group")) for i in (0, 1))
+    fixed = F.coalesce(middle - spread * widened, least, F.lit(float(other.min_chars_per_token)))
+    share = F.coalesce("_share", F.lit(0.0))
+    floor = share * F.coalesce(F.col("_median") - F.col("_spread") * widened, F.lit(0.0)) + (1 - share) * fixed
+    kept = ~F.col("_verdict.base_failed") & F.col("_verdict.in_band") & (floor <= F.col("_verdict.chars_per_token"))
     # Two or three letters and a known script name a group, so there are at most 18,253 x 12 rows of 40 bytes.
     return rows.join(F.broadcast(_floors(rows)), "_group", "left").withColumn("_kept", kept)
 
 
+def _lookup(values: dict[str, float], key: Column) -> Column:
+    """The number of a key, null for others."""
+    pairs = F.lit(None).cast("double")
+    for name, value in values.items():
+        pairs = F.when(key == name, F.lit(float(value))).otherwise(pairs)
+    return pairs
+
+
 def _floors(rows: DataFrame) -> DataFrame:
-    """Median and robust spread of characters per token in each group, from counts over all its documents."""
+    """Median and robust spread of characters per token in each group, from counts over all its documents, and their share in its floor."""
     bins = F.least(F.round(F.col("_verdict.chars_per_token") * BINS_PER_UNIT), F.lit(MOST_BINS)).cast("int")
     counts = (rows.filter("NOT _verdict.base_failed").groupBy("_group", bins.alias("_bin"))
               .agg(F.count("*").alias("_n")))
@@ -137,13 +155,14 @@ def _floors(rows: DataFrame) -> DataFrame:
                 .withColumn("_all", F.sum("_n").over(group)).filter("2 * _sofar >= _all")
                 .groupBy("_group").agg(F.min(value).alias("_mid"), F.first("_all").alias("_docs")))
 
-    mid = median(counts, "_bin").filter(F.col("_docs") >= FLOOR_DOCS)
+    mid = median(counts, "_bin")
     away = (counts.join(mid, "_group").groupBy("_group", "_mid", F.abs(F.col("_bin") - F.col("_mid")).alias("_off"))
             .agg(F.sum("_n").alias("_n")))
     spread = median(away, "_off").select("_group", F.col("_mid").alias("_half"))
     return mid.join(spread, "_group").select(
         "_group", (F.col("_mid") / BINS_PER_UNIT).alias("_median"),
-        (1.4826 * F.greatest(F.col("_half"), F.lit(1)) / BINS_PER_UNIT).alias("_spread"))
+        (1.4826 * F.greatest(F.col("_half"), F.lit(1)) / BINS_PER_UNIT).alias("_spread"),
+        F.least(F.col("_docs") / FLOOR_DOCS, F.lit(1.0)).alias("_share"))
 
 
 _NAMES = [x.split()[0] for x in VERDICT.split(",")]

@@ -67,6 +67,18 @@ def test_rejects_junk_and_keeps_prose(spark):
     assert len(kept & set(range(300))) >= 297 and not kept & set(range(300, 310))
 
 
+def test_junk_is_rejected_in_small_tables_and_rare_languages(spark):
+    rnd = random.Random(6)
+    vocab = "the of and to people water because house morning every during school little number always place".split()
+    prose = lambda: " ".join(rnd.choice(vocab) for _ in range(400))
+    junk = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(400))
+    for lang, n in (("en", 5), ("en", 150), ("en", 300), ("fi", 150), ("fi", 300)):
+        docs = spark.createDataFrame([(i, prose(), lang) for i in range(n)] + [(n, junk, lang)], "doc_id long, text string, lang string")
+        got = {r.doc_id: r for r in quality_verdicts(docs).collect()}
+        assert not got[n].base_failed and got[n].chars_per_token > BANDS["Latin"].min_chars_per_token
+        assert not got[n].kept and sum(got[i].kept for i in range(n)) >= 0.99 * n, (lang, n)
+
+
 def test_floor_is_the_median_less_spreads(spark):
     rnd = random.Random(8)
     texts = [" ".join(rnd.choice(["alpha", "be", "gamma", "delta9", "e", "zeta", "etaeta"]) + str(rnd.randint(0, 30)) for _ in range(60))
