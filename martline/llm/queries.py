@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.llm.bpe import bpe_digests
 from martline.llm.common import held_out, known_labels, table, training_rows
 from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
+from martline.llm.merkle import folded_root, leaf_hash, merkle_proofs
 from martline.llm.packing import pack_digests
 from martline.llm.pii import find_pii
 from martline.llm.quality import document_statistics, score_quality, train_quality
@@ -101,6 +102,22 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+
+    def leaf(n_chars: Column) -> Column:
+        return leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    original = leaf(F.col("n_chars"))
+    rows = docs.select("doc_id", "lang", original.alias("leaf"),
+                       F.when(tampered, leaf(F.col("n_chars") + 1)).otherwise(original).alias("claimed"))
+    proofs = merkle_proofs(rows, "doc_id", "lang")
+    folded = folded_root(*map(F.col, ("claimed", "position", "leaves", "subtree", "subtrees", "proof")))
+    return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_curve_packing": op1_curve_packing,
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
@@ -112,6 +129,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quote_linking": op9_quote_linking,
     "op10_warc_index": op10_warc_index,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES = {
@@ -211,4 +229,52 @@ ORACLES = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> keep_id THEN keep_id END AS refers_to
         FROM k
     """,
+    "op11_merkle_manifest": """
+        WITH RECURSIVE doc AS (
+            SELECT *, coalesce(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                          lambda c: [1000 + ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))),
+                          lambda crc, x: CASE WHEN x > 0 THEN xor(crc, x - 1000)
+                                           ELSE xor(crc >> 1, CASE WHEN crc & 1 = 1 THEN 3988292384 ELSE 0 END) END), 0) AS crc,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM documents
+        ), leaf AS (
+            SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+                   sha256(head || coalesce(strlen(CAST(n AS VARCHAR)) || ':' || n, '-') || tail) AS claimed
+            FROM (SELECT *, n_chars + CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS n FROM doc)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, row_number() OVER () AS rid FROM leaf
+        ), low AS (
+            SELECT lang, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY lang) AS m FROM placed
+            UNION ALL
+            SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 1) // 2)
+            FROM low WHERE m > 1 GROUP BY lang, level, i // 2
+        ), subroots AS (
+            SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM low WHERE m = 1
+        ), high AS (
+            SELECT 0 AS level, g AS i, subroot AS h, count(*) OVER () AS m FROM subroots
+            UNION ALL
+            SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 1) // 2)
+            FROM high WHERE m > 1 GROUP BY level, i // 2
+        ), steps AS (
+            SELECT p.rid, 0 AS tree, own.level, own.i, beside.h
+            FROM placed p JOIN low own ON own.lang IS NOT DISTINCT FROM p.lang AND own.i = p.i >> own.level AND own.m > 1
+            LEFT JOIN low beside ON beside.lang IS NOT DISTINCT FROM p.lang AND beside.level = own.level AND beside.i = xor(own.i, 1)
+            UNION ALL
+            SELECT p.rid, 1, own.level, own.i, beside.h
+            FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN high own ON own.i = s.g >> own.level AND own.m > 1
+            LEFT JOIN high beside ON beside.level = own.level AND beside.i = xor(own.i, 1)
+        ), paths AS (
+            SELECT rid, string_agg(coalesce(h, ''), '' ORDER BY tree, level) AS proof,
+                   list(CASE WHEN h IS NULL THEN 'N' WHEN i % 2 = 0 THEN 'R' || h ELSE 'L' || h END ORDER BY tree, level) AS sides
+            FROM steps GROUP BY rid
+        ), folded AS (
+            SELECT p.*, s.subroot, r.h AS root, sha256(coalesce(t.proof, '')) AS proof_sha256,
+                   list_reduce(list_concat([p.claimed], coalesce(t.sides, [])), lambda h, x: sha256(
+                       CASE x[1] WHEN 'R' THEN h || x[2:] WHEN 'L' THEN x[2:] || h ELSE h END)) AS folded_root
+            FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+            CROSS JOIN (SELECT h FROM high WHERE m = 1) r LEFT JOIN paths t ON t.rid = p.rid
+        )
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+    """,
 }
