@@ -11,6 +11,7 @@ from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
 from martline.llm.merkle import folded_root, leaf_hash, merkle_proofs
 from martline.llm.packing import pack_digests
+from martline.llm.pieces import piece_digests
 from martline.llm.pii import find_pii
 from martline.llm.quality import document_statistics, score_quality, train_quality
 from martline.llm.quotes import link_quotes
@@ -118,6 +119,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES = {
     "op1_curve_packing": op1_curve_packing,
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_quote_linking": op9_quote_linking,
     "op10_warc_index": op10_warc_index,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_piece_round_trip": op13_piece_round_trip,
 }
 
 ORACLES = {
