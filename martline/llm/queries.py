@@ -11,6 +11,7 @@ from martline.llm.exact_dedup import exact_dedup
 from martline.llm.fertility import quality_verdicts
 from martline.llm.merkle import folded_root, leaf_hash, merkle_proofs
 from martline.llm.packing import pack_digests
+from martline.llm.phrases import collocations
 from martline.llm.pieces import piece_digests
 from martline.llm.pii import find_pii
 from martline.llm.quality import document_statistics, score_quality, train_quality
@@ -119,6 +120,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return piece_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -136,6 +141,7 @@ QUERIES = {
     "op9_quote_linking": op9_quote_linking,
     "op10_warc_index": op10_warc_index,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_collocations": op12_collocations,
     "op13_piece_round_trip": op13_piece_round_trip,
 }
 
@@ -284,4 +290,40 @@ ORACLES = {
         )
         SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), words AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+        ), starts AS (
+            SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM words, range(1, 6) AS sizes(k)
+        ), counts AS (
+            SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM starts GROUP BY ALL
+        ), total AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND f >= 100
+        ), cuts AS (
+            SELECT *, unnest(range(1, k)) AS cut FROM candidates
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, t.n,
+                   (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+            FROM cuts c JOIN total t ON t.lang = c.lang
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), inside AS (
+            SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM candidates, range(2, 5) AS sizes(m) WHERE m < k) GROUP BY ALL
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+               score::BIGINT AS score
+        FROM best LEFT JOIN inside USING (lang, phrase)
+        WHERE longer IS NULL OR 100 * longer < 100 * a
+        QUALIFY rank <= 2000
+    """,
 }
