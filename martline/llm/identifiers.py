@@ -5,7 +5,9 @@ Spans are ``(kind, start, end)`` in code points, end exclusive; kinds are number
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 KINDS = ("email", "ip", "card", "phone")
@@ -25,6 +27,10 @@ _LOOSE = re.compile(
     r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\]|\(DOT\)|\[DOT\])\x20?)[A-Za-z0-9-]++)*+)"
     r"|(?P<ip>(?<![0-9A-Za-z.:])(?:[0-9]{1,4}(?:\.[0-9]{1,4}){3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7})(?![0-9A-Za-z:]))"
     r"|(?P<number>(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}[0-9])++(?![0-9A-Za-z]))")
+#: Characters from which on a context word is kept as its digest, so that contexts stay small.
+LONG_WORD = 64
+
+_WORD = re.compile(r"\S+")
 _TRIM = ".,;:!?\"'()[]{}<>|*#$%&"
 
 
@@ -92,12 +98,48 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
 
 
 def _plain(word: str) -> str:
-    """A context word: trimmed, lower case, any digit as 0."""
-    return re.sub("[0-9]", "0", word.strip(_TRIM).lower())
+    """A context word: trimmed, lower case, any digit as 0; a long one by its digest."""
+    word = re.sub("[0-9]", "0", word.strip(_TRIM).lower())
+    return word if len(word) <= LONG_WORD else "#" + hashlib.sha1(word.encode("utf-8")).hexdigest()
+
+
+class _Words:
+    """A text's words between white space, and those around its spans."""
+
+    def __init__(self, text: str, spots: list[tuple[int, int]]) -> None:
+        self.text = text
+        borders = [m.span() for m in _WORD.finditer(text)]
+        self.starts, self.ends = [s for s, _ in borders], [e for _, e in borders]
+        self.words = [_plain(text[s:e]) for s, e in borders]
+        self.spot_starts, self.spot_ends = sorted(s for s, _ in spots), sorted(e for _, e in spots)
+
+    def around(self, start: int, end: int) -> tuple[list[str], str]:
+        """The two words before a span and the one behind it, however far they are.
+
+        What is glued to the span is a word too; it reaches to the next identifier at most.
+        """
+        n = bisect_left(self.starts, start)  # words that begin before the span
+        left = self.words[max(0, n - 2):n]
+        if n and self.ends[n - 1] > start:
+            left[-1] = _plain(self.text[max(self.starts[n - 1], _before(self.spot_ends, start)):start])
+        m = bisect_right(self.ends, end)  # the first word that ends behind it
+        if m == len(self.ends):
+            right = "$"
+        elif self.starts[m] >= end:
+            right = self.words[m]
+        else:
+            right = _plain(self.text[end:min(self.ends[m], _behind(self.spot_starts, end, self.ends[m]))])
+        return ["^"] * (2 - len(left)) + left, right
+
+
+def _before(ends: list[int], start: int) -> int:
+    n = bisect_right(ends, start)
+    return ends[n - 1] if n else 0
 
 
-#: Characters of text looked at on either side for context words.
-REACH = 96
+def _behind(starts: list[int], end: int, most: int) -> int:
+    n = bisect_left(starts, end)
+    return starts[n] if n < len(starts) else most
 
 
 def identifiers(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
@@ -113,14 +155,13 @@ def identifiers(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
     spots = [(1 << k, s, e, k) for k, s, e in base] + [(k, s, e, -1) for k, s, e in loose_spans(text, base)]
     if not spots:
         return [], []
-    words = [_plain(w) for w in text.split()]
+    around_of = _Words(text, [(s, e) for _, s, e, _ in spots])
+    words = around_of.words
     before = Counter(zip(words, words[1:]))
     around = Counter(zip(words, words[2:]))
     found = []
     for kinds, start, end, seed in spots:
-        left = [_plain(w) for w in text[max(0, start - REACH):start].split()][-2:]
-        right = [_plain(w) for w in text[end:end + REACH].split()[:1]]
-        left, right = ["^"] * (2 - len(left)) + left, (right or ["$"])[0]
+        left, right = around_of.around(start, end)
         for pattern, seen in ((f"{left[0]} {left[1]} _", before[left[0], left[1]]),
                               (f"{left[1]} _ {right}", around[left[1], right])):
             found.append({"start": start, "end": end, "kinds": kinds, "seed": seed,
