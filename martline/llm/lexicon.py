@@ -27,8 +27,10 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 #: Lengths of word beginnings that can be terms of their own.
 PREFIXES = range(3, 9)
-#: A longer run of letters is no word but words written together: it is scanned from each of its letters.
-LONGEST_WORD = 40
+#: Terms of so many letters also count inside a word, of whatever length, where words are written together.
+MIN_INSIDE = 5
+#: A token cut by signs into parts of so many letters at most is one word, and so are letters standing alone, from this many on.
+MOST_JOINED, MIN_SPELLED = 3, 4
 #: Lengths of terms in scripts written without spaces, in characters.
 GRAMS = range(1, 6)
 
@@ -40,7 +42,10 @@ _RUN = regex.compile(rf"(?V1)(?:{_UNSPACED}\p{{M}}*)+")
 _PIECE = regex.compile(rf"(?V1){_UNSPACED}\p{{M}}*|(?:(?!{_UNSPACED})\p{{L}}\p{{M}}*)+")
 _IS_GRAM = regex.compile(rf"(?V1){_UNSPACED}")
 #: A token that is a plain word between signs that stand for no letter there.
-_SIMPLE = re.compile(rf"[-.,;:?!\"'()_]*([a-zß-öø-ÿ]{{1,{LONGEST_WORD}}})[-.,;:?!\"'()_]*")
+_SIMPLE = re.compile(r"[-.,;:?\"'()_]*([a-z]+)[-.,;:?!\"'()_]*")
+_APOSTROPHE = re.compile("['’]")
+_SPELLED = re.compile(rf"(?<= )(?:[a-z] ){{{MIN_SPELLED},}}")
+_ACCENTS = regex.compile(r"(?<=\p{Latin}\p{Mn}*)\p{Mn}")
 #: Where two words of different scripts meet. Single look-alikes inside a word are a disguise, so a
 #: border needs three Latin letters on one side and a letter without a Latin twin on the other.
 _TWINLESS = rf"[\p{{L}}--\p{{Latin}}--[{''.join(HOMOGLYPHS)}]]"
@@ -49,18 +54,19 @@ _BORDER = regex.compile(rf"(?V1)(?=\p{{Latin}}{{3}})(?<={_TWINLESS}[[\p{{L}}\p{{
 
 
 def fold_word(word: str) -> str:
-    """A word without disguise: compatibility forms, look-alikes, hidden characters, digits for letters.
+    """A word without disguise: compatibility forms, look-alikes, accents, hidden characters, digits for letters.
 
     Signs at either end are dropped first, so that ``word!!`` stays the word;
     digits and signs inside a word with letters become the letters they stand
     for, a word without letters folds to nothing.
     """
     if not word.isascii():
-        word = unicodedata.normalize("NFC", _HIDDEN.sub("", unicodedata.normalize("NFKC", word))).lower().translate(_FOLD)
+        word = unicodedata.normalize("NFD", _HIDDEN.sub("", unicodedata.normalize("NFKC", word)).lower().translate(_FOLD))
+        word = unicodedata.normalize("NFC", _ACCENTS.sub("", word))
     if word.isalpha():
         return word
     if word[0] in SUBSTITUTES and not word[0].isdigit() and word[1:2].isalpha():
-        word = SUBSTITUTES[word[0]] + word[1:] if word[0] in "@$€" else word
+        word = SUBSTITUTES[word[0]] + word[1:] if word[0] in "@$€!" else word
     word = _ENDS.sub("", word)
     return word.translate(_SUBSTITUTE) if _LETTER.search(word) else ""
 
@@ -68,9 +74,10 @@ def fold_word(word: str) -> str:
 def split_token(token: str) -> list[str]:
     """The folded words of a token between white space.
 
-    It is cut where scripts meet and, once folded, at all that is no letter.
-    Scripts without spaces give their characters one by one; a run of more than
-    ``LONGEST_WORD`` letters gives what stands at each letter, as long as the longest beginning.
+    It is cut where scripts meet and, once folded, at all that is no letter;
+    if only parts of up to ``MOST_JOINED`` letters come of that, they are one
+    word (not so around an apostrophe).  Scripts without spaces give their
+    characters one by one.
     """
     simple = _SIMPLE.fullmatch(token)
     if simple:
@@ -83,11 +90,10 @@ def split_token(token: str) -> list[str]:
     words = []
     for part in parts:
         word = part if _IS_GRAM.match(part) else fold_word(part)
-        for piece in [word] if word.isalpha() and word.isascii() else _PIECE.findall(word):
-            if len(piece) <= LONGEST_WORD:
-                words.append(piece)
-            else:
-                words += [piece[i:i + PREFIXES[-1]] for i in range(len(piece) - PREFIXES[0] + 1)]
+        pieces = [word] if word.isalpha() and word.isascii() else _PIECE.findall(word)
+        if len(pieces) > 1 and not _IS_GRAM.match(part) and not _APOSTROPHE.search(part) and max(map(len, pieces)) <= MOST_JOINED:
+            pieces = ["".join(pieces)]
+        words += pieces
     return words
 
 
@@ -95,8 +101,12 @@ _FOLDED = ChunkCache(lambda w: split_token(w))
 
 
 def folded_words(text: str | None) -> list[str]:
-    """The folded words of a text; tokens that fold to nothing are left out."""
-    return list(chain.from_iterable(map(_FOLDED.__getitem__, text.lower().split()))) if text else []
+    """The folded words of a text; tokens that fold to nothing are left out, letters that stand alone in a row are one word."""
+    words = list(chain.from_iterable(map(_FOLDED.__getitem__, text.lower().split()))) if text else []
+    line = f" {' '.join(words)} "
+    if _SPELLED.search(line):
+        words = _SPELLED.sub(lambda m: m[0].replace(" ", "") + " ", line).split()
+    return words
 
 
 def terms_of(word: str) -> list[str]:
@@ -162,6 +172,10 @@ class Lexicon:
             whole = term.endswith("$")
             pattern = f" {term[:-1]} " if whole else f" {term}"
             self.automaton.add_word(pattern, (len(pattern), weight))
+            letters = term[:-1] if whole else term
+            if " " not in letters and len(letters) >= MIN_INSIDE and not _IS_GRAM.match(letters):
+                # Also within a longer word; at its beginning it meets the same place as the pattern above.
+                self.automaton.add_word(letters, (len(letters) + 1, max(weight, weights.get(letters, weight), weights.get(letters + "$", weight))))
         for phrase in exceptions:
             pattern = f" {' '.join(folded_words(phrase))} "
             if pattern.strip():
@@ -171,7 +185,7 @@ class Lexicon:
             self.automaton.make_automaton()
 
     def hits(self, words: list[str]) -> tuple[str, dict[int, float]]:
-        """The folded text, and each matched word's start in it with its largest weight."""
+        """The folded text, and the place before each match (a blank, or a letter inside a word) with its largest weight."""
         text = f" {' '.join(words)} "
         if self.empty or not words:
             return text, {}

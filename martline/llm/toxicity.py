@@ -24,8 +24,8 @@ from martline.llm.lexicon import Lexicon, TermCounter, folded_words
 MIN_DOCS = 3
 #: Least log ratio of rates, and its least z-value. All terms that reach them make the lexicon.
 MIN_WEIGHT, MIN_Z = 1.0, 4.0
-#: A phrase needs so many clean documents to be an exception; the largest number of exceptions.
-MIN_EXCEPTION_DOCS, MAX_EXCEPTIONS = 5, 10_000
+#: A phrase needs so many clean documents to be an exception.
+MIN_EXCEPTION_DOCS = 5
 #: Terms a worker counts before it passes them on.
 FLUSH_TERMS = 1 << 20
 
@@ -47,10 +47,13 @@ def train_toxicity(texts: DataFrame, exceptions: tuple[str, ...] = ()) -> dict:
     weights = _weights(written(_counts(texts), "toxicity-terms"), toxic, clean)
     matched = written(_matched(texts, weights, exceptions), "toxicity-matches")
     spared = _exceptions(matched, toxic, clean)
-    spare = F.array(*[F.lit(p) for p in spared]).cast("array<string>")
-    live = F.filter("hits", lambda h: ~(F.array_contains(spare, h["before"]) | F.array_contains(spare, h["after"])))
-    total = F.aggregate(live, F.lit(0.0), lambda s, h: s + h["weight"])
-    sample = matched.select("label", "words", total.alias("weight")).toPandas()
+    spare = frozenset(spared)
+
+    @F.pandas_udf("double")
+    def live(hits: pd.Series) -> pd.Series:
+        return pd.Series([sum(h["weight"] for h in row if h["before"] not in spare and h["after"] not in spare) for row in hits], dtype=float)
+
+    sample = matched.select("label", "words", live("hits").alias("weight")).toPandas()
     curve = fit_logistic(features(sample["weight"].to_numpy(float), sample["words"].to_numpy(float)),
                          sample["label"].to_numpy(float))
     return {"weights": weights, "exceptions": [*exceptions, *spared], "curve": curve.tolist()}
@@ -178,8 +181,10 @@ def _matched(texts: DataFrame, weights: dict[str, float], exceptions: tuple[str,
             found = []
             for start, weight in hits.items():
                 end = line.index(" ", start + 1)
+                first = line.rfind(" ", 0, start + 1)  # the blank before the word that holds the match
+                # Inside a word, the word itself may be the exception.
                 before = line[line.rfind(" ", 0, start) + 1:end] if start else ""
-                after = line[start + 1:_next(line, end)] if end + 1 < len(line) else ""
+                after = line[first + 1:_next(line, end)] if end + 1 < len(line) else ""
                 found.append({"weight": weight, "before": before, "after": after})
             rows.append((len(words), found))
         return pd.DataFrame(rows, columns=["words", "hits"])
@@ -192,10 +197,13 @@ def _next(line: str, end: int) -> int:
 
 
 def _exceptions(matched: DataFrame, toxic: int, clean: int) -> list[str]:
-    """Two-word phrases around a match that clean documents use more than toxic ones."""
+    """Two-word phrases around a match, and words around one inside them, that clean documents use more than toxic ones.
+
+    All that pass; the bounded training table bounds their number.
+    """
     phrase: Column = F.explode(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.array(h["before"], h["after"])))))
     counts = (matched.select("label", phrase.alias("phrase")).filter("phrase <> ''")
               .groupBy("phrase").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")))
     rows = (counts.filter((F.col("good") >= MIN_EXCEPTION_DOCS) & (F.col("good") / clean > 2 * F.col("bad") / toxic))
-            .orderBy(F.desc("good"), "phrase").limit(MAX_EXCEPTIONS).collect())
-    return [r["phrase"] for r in rows]
+            .select("phrase").collect())
+    return sorted(r["phrase"] for r in rows)

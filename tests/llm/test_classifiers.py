@@ -27,6 +27,32 @@ def test_words_are_found_inside_tokens():
     assert hits("天" * 5000 + "傻瓜") == [3.0] and hits("天傻瓜相机天") == []
 
 
+def test_one_rule_for_words_of_all_lengths():
+    lexicon = Lexicon({"idiot$": 2.0, "grumblerish$": 3.0, "ass$": 1.0}, ["patriidiotic"])
+    hits = lambda t: sorted(lexicon.hits(folded_words(t))[1].values())
+    for n in (0, 1, 3, 33, 34, 35, 36, 400):
+        assert hits("q" * n + "idiot") == [2.0] and hits("q" * n + "grumblerish" + "q" * n) == [3.0]
+    assert hits("youidiot youidiotyou") == [2.0, 2.0] and hits("class patriidiotic") == [] and hits("ass") == [1.0]
+
+
+def test_spelled_and_accented_words():
+    assert folded_words("b.l.o.r.g.h i d i o t! id-iot ídiot !diot Ìd.ï.ôt") == ["blorgh", "idiot", "idiot", "idiot", "idiot", "idiot"]
+    assert folded_words("l'eau d'or it's a b") == ["l", "eau", "d", "or", "it", "s", "a", "b"]
+    assert folded_words("un-able to-do so-so") == ["un", "able", "todo", "soso"]
+
+
+def test_a_clean_word_that_holds_a_term_is_an_exception(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(3, 8)))
+    rows = [(i, " ".join([word() for _ in range(30)] + (["zonker"] if i % 4 == 0 else ["amazonkeres"] if i % 4 == 1 else [])), int(i % 4 == 0))
+            for i in range(800)]
+    model = train_toxicity(spark.createDataFrame(rows, "id long, text string, label int"))
+    assert "amazonkeres" in model["exceptions"]
+    clean, toxic = "the amazonkeres are fine words here", "the youzonker is not one word"
+    got = {r.text: r.matches for r in score_toxicity(spark.createDataFrame([(clean,), (toxic,)], "text string"), model).collect()}
+    assert got == {clean: 0, toxic: 1}
+
+
 def test_terms_of_unspaced_scripts():
     counter = TermCounter()
     counter.add(folded_words("坏傻瓜 idiot 傻"))
