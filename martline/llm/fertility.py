@@ -1,28 +1,27 @@
 """Quality rules from tokeniser fertility.
 
-A public vocabulary with byte fallback cuts every word of a text.  Characters
-per token, the share of byte-fallback tokens and the entropy of the tokens say
-how well the text resembles the prose the vocabulary was made from; each
-script has its own bands, outside of which a document is rejected.  Each
-language of a script further has a floor for characters per token, below the
-median of all its documents by a multiple of their spread; with few documents
-it leans on a fixed one, so that every table has it.  Counts of words,
+Two public vocabularies cut every word of a text: one with byte fallback, made
+mostly from Latin and Cyrillic text, and a byte-level one for many languages.
+Characters per token under both, the share of byte-fallback tokens and the
+entropy of the tokens say how well the text resembles the prose that the
+vocabularies were made from; each script has its own fixed bands, outside of
+which a document is rejected, whatever other documents there are.  Counts of words,
 symbols, repeated lines and repeated windows stand beside them.
 """
 
 from __future__ import annotations
 
-import os
+import base64
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import unpacked, with_text, written
+from martline.llm.common import unpacked, with_text
 
 #: A text needs this many words.
 MIN_WORDS = 50
@@ -34,46 +33,43 @@ CACHE_WORDS, CACHE_BYTES = 1 << 19, 48
 CHUNK_WORDS = 1 << 18
 
 VERDICT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean,"
-           " n_tokens long, chars_per_token double, byte_share double, entropy double, script string, in_band boolean")
-#: A language's floor lies so many robust standard deviations below its median; SHORT_WORDS widens it
-#: for short texts, whose measure varies more: by the root of 1 + SHORT_WORDS / words.
-FLOOR_SPREADS, SHORT_WORDS = 4.0, 300
-#: With so many documents (of those that pass the base rules) a language's floor is its own; with
-#: fewer it is mixed, in proportion to their number, with a fixed one.
-FLOOR_DOCS = 200
-#: Fixed floors: usual median and spread by language and script under the public vocabulary. Other
-#: languages have the lower bound of their script's band instead.
-USUAL = {"de/Latin": (2.24, 0.037), "en/Latin": (2.21, 0.036), "es/Latin": (1.94, 0.035), "fr/Latin": (1.98, 0.037)}
-#: Bins of characters per token, a unit and at most, for medians over all documents.
-BINS_PER_UNIT, MOST_BINS = 200, 3200
+           " n_tokens long, chars_per_token double, byte_share double, entropy double, chars_per_piece double, script string,"
+           " in_band boolean")
 
 
 @dataclass(frozen=True)
 class Band:
-    """Bounds of a script; ``min_entropy`` is a share of the largest entropy that so many tokens can have."""
+    """Bounds of a script.
+
+    ``min_entropy`` is a share of the largest entropy that so many tokens can
+    have; ``min_chars_per_piece`` is of characters per token of the byte-level vocabulary.
+    """
 
     min_chars_per_token: float
     max_chars_per_token: float
     max_byte_share: float
     min_entropy: float
+    min_chars_per_piece: float = 0.0
 
 
 #: Scripts by the Unicode property of their letters; the first with most letters names the text.
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Han", "Hiragana", "Katakana", "Hangul", "Devanagari", "Thai")
-#: Bands of the public 32,000-piece vocabulary. It holds whole words of Latin script, pieces of
-#: Cyrillic and few characters of the rest, which therefore fall back to bytes more often.
+#: Bands of the two vocabularies. The last bound lies between what random letters of the script give
+#: and what prose does: Latin 1.4 and 2.3 or more, Cyrillic 1.2 and 3.0, Greek 1.1 and 1.8, Arabic
+#: 0.9 and 1.5, Hebrew 1.1 and 1.7, Han 0.4 and 0.9, kana 0.8 and 1.2, Hangul 0.4 and 1.3,
+#: Devanagari 0.5 and 0.8, Thai 0.6 and 1.1.
 BANDS = {
-    "Latin": Band(1.45, 12.0, 0.10, 0.35),
-    "Cyrillic": Band(1.2, 10.0, 0.15, 0.35),
-    "Greek": Band(0.8, 8.0, 0.30, 0.35),
-    "Arabic": Band(0.7, 8.0, 0.40, 0.35),
-    "Hebrew": Band(0.6, 8.0, 0.60, 0.35),
-    "Han": Band(0.3, 8.0, 0.85, 0.30),
-    "Hiragana": Band(0.3, 8.0, 0.85, 0.30),
-    "Katakana": Band(0.3, 8.0, 0.85, 0.30),
-    "Hangul": Band(0.3, 8.0, 0.95, 0.30),
-    "Devanagari": Band(0.3, 8.0, 0.95, 0.30),
-    "Thai": Band(0.3, 8.0, 0.95, 0.30),
+    "Latin": Band(1.45, 12.0, 0.10, 0.35, 1.75),
+    "Cyrillic": Band(1.2, 10.0, 0.15, 0.35, 1.6),
+    "Greek": Band(0.8, 8.0, 0.30, 0.35, 1.35),
+    "Arabic": Band(0.7, 8.0, 0.40, 0.35, 1.15),
+    "Hebrew": Band(0.6, 8.0, 0.60, 0.35, 1.3),
+    "Han": Band(0.3, 8.0, 0.85, 0.30, 0.6),
+    "Hiragana": Band(0.3, 8.0, 0.85, 0.30, 0.95),
+    "Katakana": Band(0.3, 8.0, 0.85, 0.30, 0.9),
+    "Hangul": Band(0.3, 8.0, 0.95, 0.30, 0.75),
+    "Devanagari": Band(0.3, 8.0, 0.95, 0.30, 0.64),
+    "Thai": Band(0.3, 8.0, 0.95, 0.30, 0.85),
 }
 #: For texts in other scripts or without letters.
 OTHER = Band(0.25, 16.0, 1.0, 0.20)
@@ -85,84 +81,47 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang",
-                     model: str | None = None, bands: dict[str, Band] | None = None, other: Band = OTHER) -> DataFrame:
+def default_pieces() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def quality_verdicts(docs: DataFrame, text_col: str = "text", model: str | None = None, pieces: str | None = None,
+                     bands: dict[str, Band] | None = None, other: Band = OTHER) -> DataFrame:
     """Input columns but the text, then the counts, measures and ``kept``.
 
     A null text has no words and fails the base rules like any text of fewer
-    than ``MIN_WORDS``; its measures are 0 and its script ``none``.  A null,
-    missing or odd language code counts as one language, ``und``.  Repeated
-    rows are judged alike; an empty table gives an empty result.  Input
-    columns with a result's name are replaced.
+    than ``MIN_WORDS``; its measures are 0 and its script ``none``.  A text is
+    judged by itself, so repeated rows are judged alike; an empty table gives
+    an empty result.  Input columns with a result's name are replaced.
     """
-    judged = _judged(docs, text_col, lang_col, model, bands, other, keep_text=False)
+    judged = _judged(docs, text_col, model, pieces, bands, other, keep_text=False)
     names = [n for n in _NAMES if n != "in_band"]
-    return unpacked(judged, {n: F.col("_verdict").getField(n) for n in names} | {"kept": F.col("_kept")})
+    return unpacked(judged, {n: F.col("_verdict").getField(n) for n in names} | {"kept": _kept()})
 
 
-def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", model: str | None = None,
+def keep_quality(docs: DataFrame, text_col: str = "text", model: str | None = None, pieces: str | None = None,
                  bands: dict[str, Band] | None = None, other: Band = OTHER) -> DataFrame:
-    """The rows whose text is kept, with the input columns only."""
-    return unpacked(_judged(docs, text_col, lang_col, model, bands, other, keep_text=True).filter("_kept"))
+    """The rows whose text is kept (see ``quality_verdicts``), with the input columns only."""
+    return unpacked(_judged(docs, text_col, model, pieces, bands, other, keep_text=True).filter(_kept()))
+
+
+def _kept() -> Column:
+    return ~F.col("_verdict.base_failed") & F.col("_verdict.in_band")
 
 
-def _judged(docs: DataFrame, text_col: str, lang_col: str | None, model: str | None, bands: dict[str, Band] | None,
+def _judged(docs: DataFrame, text_col: str, model: str | None, pieces: str | None, bands: dict[str, Band] | None,
             other: Band, keep_text: bool) -> DataFrame:
-    path = model or default_model()
-    if not os.path.exists(path):
-        raise FileNotFoundError(path)
+    paths = model or default_model(), pieces or default_pieces()
     held, rest = {k: asdict(v) for k, v in (bands or BANDS).items()}, asdict(other)
 
     @F.pandas_udf(VERDICT)
     def verdict(texts: pd.Series) -> pd.DataFrame:
-        cutter = Cutter.of(path)
+        cutter = Cutter.of(*paths)
         return pd.DataFrame([judge(t, cutter, held, rest) for t in texts], columns=_NAMES)
 
-    has_lang = lang_col and lang_col.lower() in (c.lower() for c in docs.columns)
-    lang = F.col("_row").getField(lang_col).cast("string") if has_lang else F.lit(None).cast("string")
-    code = F.when(lang.rlike("^[a-z]{2,3}$"), lang).otherwise("und")
-    rows = written(with_text(docs, text_col, keep_text).select("_row", verdict("_text").alias("_verdict"))
-                   .withColumn("_group", F.concat_ws("/", code, F.col("_verdict.script"))), "verdicts")
-    widened = FLOOR_SPREADS * F.sqrt(1 + SHORT_WORDS / F.greatest(F.col("_verdict.n_words"), F.lit(1)))
-    least = _lookup({k: v["min_chars_per_token"] for k, v in held.items()}, F.col("_verdict.script"))
-    usual = USUAL if model is None and bands is None else {}
-    middle, spread = (_lookup({k: v[i] for k, v in usual.items()}, F.col("_group")) for i in (0, 1))
-    fixed = F.coalesce(middle - spread * widened, least, F.lit(float(other.min_chars_per_token)))
-    share = F.coalesce("_share", F.lit(0.0))
-    floor = share * F.coalesce(F.col("_median") - F.col("_spread") * widened, F.lit(0.0)) + (1 - share) * fixed
-    kept = ~F.col("_verdict.base_failed") & F.col("_verdict.in_band") & (floor <= F.col("_verdict.chars_per_token"))
-    # Two or three letters and a known script name a group, so there are at most 18,253 x 12 rows of 40 bytes.
-    return rows.join(F.broadcast(_floors(rows)), "_group", "left").withColumn("_kept", kept)
-
-
-def _lookup(values: dict[str, float], key: Column) -> Column:
-    """The number of a key, null for others."""
-    pairs = F.lit(None).cast("double")
-    for name, value in values.items():
-        pairs = F.when(key == name, F.lit(float(value))).otherwise(pairs)
-    return pairs
-
-
-def _floors(rows: DataFrame) -> DataFrame:
-    """Median and robust spread of characters per token in each group, from counts over all its documents, and their share in its floor."""
-    bins = F.least(F.round(F.col("_verdict.chars_per_token") * BINS_PER_UNIT), F.lit(MOST_BINS)).cast("int")
-    counts = (rows.filter("NOT _verdict.base_failed").groupBy("_group", bins.alias("_bin"))
-              .agg(F.count("*").alias("_n")))
-
-    def median(of: DataFrame, value: str) -> DataFrame:
-        group = Window.partitionBy("_group")
-        return (of.withColumn("_sofar", F.sum("_n").over(group.orderBy(value)))
-                .withColumn("_all", F.sum("_n").over(group)).filter("2 * _sofar >= _all")
-                .groupBy("_group").agg(F.min(value).alias("_mid"), F.first("_all").alias("_docs")))
-
-    mid = median(counts, "_bin")
-    away = (counts.join(mid, "_group").groupBy("_group", "_mid", F.abs(F.col("_bin") - F.col("_mid")).alias("_off"))
-            .agg(F.sum("_n").alias("_n")))
-    spread = median(away, "_off").select("_group", F.col("_mid").alias("_half"))
-    return mid.join(spread, "_group").select(
-        "_group", (F.col("_mid") / BINS_PER_UNIT).alias("_median"),
-        (1.4826 * F.greatest(F.col("_half"), F.lit(1)) / BINS_PER_UNIT).alias("_spread"),
-        F.least(F.col("_docs") / FLOOR_DOCS, F.lit(1.0)).alias("_share"))
+    return with_text(docs, text_col, keep_text).select("_row", verdict("_text").alias("_verdict"))
 
 
 _NAMES = [x.split()[0] for x in VERDICT.split(",")]
@@ -171,44 +130,54 @@ _NOT_LATIN = regex.compile(r"[^\p{Script=Latin}\p{Common}\p{Inherited}]")
 
 
 class Cutter:
-    """Token ids of words under a sentencepiece model, with a bounded memory of common words."""
+    """Words under both vocabularies, with a bounded memory of common words."""
 
-    _open: dict[str, Cutter] = {}
+    _open: dict[tuple[str, str], Cutter] = {}
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, pieces: str) -> None:
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(pieces, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.pieces = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         size = self.model.get_piece_size()
         self.is_byte = np.fromiter((self.model.is_byte(i) for i in range(size)), dtype=bool, count=size)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, tuple[bytes, int]] = {}
 
     @classmethod
-    def of(cls, path: str) -> Cutter:
+    def of(cls, path: str, pieces: str) -> Cutter:
         """One per Python worker."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        if (path, pieces) not in cls._open:
+            cls._open[path, pieces] = cls(path, pieces)
+        return cls._open[path, pieces]
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Ids of all words, each cut on its own."""
-        parts = []
+    def cut(self, words: list[bytes]) -> tuple[np.ndarray, int]:
+        """Ids of all words, each cut on its own, and the number of byte-level pieces."""
+        parts, number = [], 0
         for at in range(0, len(words), CHUNK_WORDS):
             chunk = words[at:at + CHUNK_WORDS]
-            new = list(set(chunk).difference(self.known))
-            fresh = dict(zip(new, self._cut(new))) if new else {}
-            if len(self.known) + len(fresh) > CACHE_WORDS:
-                fresh, self.known = self.known | fresh, {}
-                parts.append(b"".join(map(fresh.__getitem__, chunk)))
-            else:
-                self.known |= {w: x for w, x in fresh.items() if len(w) <= CACHE_BYTES}
-                long = {w: x for w, x in fresh.items() if len(w) > CACHE_BYTES}
-                parts.append(b"".join(map((self.known | long if long else self.known).__getitem__, chunk)))
-        return np.frombuffer(b"".join(parts), dtype="<u2")
-
-    def _cut(self, words: list[bytes]) -> Iterable[bytes]:
-        for ids in self.model.encode([w.decode("utf-8", "replace") for w in words], out_type=int, num_threads=1):
-            yield np.array(ids, dtype="<u2").tobytes()
+            wanted = set(chunk)
+            new = list(wanted.difference(self.known))
+            if len(self.known) + len(new) > CACHE_WORDS:
+                self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
+            self.known.update(zip(new, self._cut(new)))
+            found = list(map(self.known.__getitem__, chunk))
+            parts += [x[0] for x in found]
+            number += sum([x[1] for x in found])
+            for word in new:
+                if len(word) > CACHE_BYTES:
+                    del self.known[word]
+        return np.frombuffer(b"".join(parts), dtype="<u2"), number
+
+    def _cut(self, words: list[bytes]) -> Iterable[tuple[bytes, int]]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        ids = self.model.encode(texts, out_type=int, num_threads=1)
+        # Words stand behind a blank in prose, and the byte-level vocabulary has the blank in its pieces.
+        for own, pieces in zip(ids, map(self.pieces.encode_ordinary, [f" {t}" for t in texts])):
+            yield np.array(own, dtype="<u2").tobytes(), len(pieces)
 
 
 def script_of(text: str) -> str:
@@ -255,8 +224,9 @@ def judge(text: str | None, cutter: Cutter, bands: dict[str, dict], other: dict)
     symbols = sum(map(raw.count, (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")))
     repeated = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
-    ids = cutter.ids(words)
+    ids, pieces = cutter.cut(words)
     tokens, per_token, share, entropy, script = len(ids), 0.0, 0.0, 0.0, script_of(text)
+    per_piece = chars / pieces if pieces else 0.0
     if tokens:
         counts = np.bincount(ids)
         share = float(counts[cutter.is_byte[:len(counts)]].sum()) / tokens
@@ -266,6 +236,7 @@ def judge(text: str | None, cutter: Cutter, bands: dict[str, dict], other: dict)
     band = bands.get(script, other)
     largest = np.log2(min(max(tokens, 2), len(cutter.is_byte)))
     within = (band["min_chars_per_token"] <= per_token <= band["max_chars_per_token"]
-              and share <= band["max_byte_share"] and entropy >= band["min_entropy"] * largest)
-    return (n, chars, symbols, duplicate_lines(raw), repeated, failed, tokens, per_token, share, entropy, script,
-            bool(within))
+              and share <= band["max_byte_share"] and entropy >= band["min_entropy"] * largest
+              and per_piece >= band["min_chars_per_piece"])
+    return (n, chars, symbols, duplicate_lines(raw), repeated, failed, tokens, per_token, share, entropy, per_piece,
+            script, bool(within))

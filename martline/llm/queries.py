@@ -59,10 +59,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_verdicts(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "n_tokens", "chars_per_token", "byte_share", "entropy", "script")
+        "n_tokens", "chars_per_token", "byte_share", "entropy", "chars_per_piece", "script")
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

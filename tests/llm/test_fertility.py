@@ -1,11 +1,13 @@
+import math
 import random
+import re
 from collections import Counter
 
-import numpy as np
+import pytest
 
 from cases import LONG, frame, plain, rows
 from martline.llm import fertility
-from martline.llm.fertility import BANDS, OTHER, Cutter, default_model, duplicate_lines, judge, keep_quality, quality_verdicts
+from martline.llm.fertility import BANDS, OTHER, Cutter, default_model, default_pieces, duplicate_lines, judge, keep_quality, quality_verdicts
 from martline.llm.fertility import repeated_words, script_of
 from dataclasses import asdict
 
@@ -32,7 +34,7 @@ def test_duplicate_lines():
 
 
 def test_counts_of_one_text():
-    cutter = Cutter.of(default_model())
+    cutter = Cutter.of(default_model(), default_pieces())
     text = "Ünder #a|b <x>\x1f  $$\nÜnder"
     got = dict(zip(fertility._NAMES, judge(text, cutter, {k: asdict(v) for k, v in BANDS.items()}, asdict(OTHER))))
     words = ["Ünder", "#a|b", "<x>\x1f ", "$$", "Ünder"]
@@ -41,15 +43,17 @@ def test_counts_of_one_text():
 
 
 def test_words_are_cut_alone_and_the_cache_is_bounded(monkeypatch):
-    cutter = Cutter(default_model())
+    cutter = Cutter(default_model(), default_pieces())
     words = [w.encode() for w in LONG.split()[:3000]]
-    whole = cutter.ids(words).tolist()
+    whole, pieces = cutter.cut(words)
     monkeypatch.setattr(fertility, "CACHE_WORDS", 50)
     monkeypatch.setattr(fertility, "CHUNK_WORDS", 70)
-    small = Cutter(default_model())
-    assert small.ids(words).tolist() == whole
-    assert len(small.known) <= 50
-    assert whole == [i for w in words for i in cutter.model.encode(w.decode())]
+    small = Cutter(default_model(), default_pieces())
+    ids, number = small.cut(words)
+    assert ids.tolist() == whole.tolist() and number == pieces
+    assert len(small.known) <= 70
+    assert whole.tolist() == [i for w in words for i in cutter.model.encode(w.decode())]
+    assert pieces == sum(len(cutter.pieces.encode_ordinary(" " + w.decode())) for w in words)
 
 
 def test_scripts():
@@ -79,19 +83,54 @@ def test_junk_is_rejected_in_small_tables_and_rare_languages(spark):
         assert not got[n].kept and sum(got[i].kept for i in range(n)) >= 0.99 * n, (lang, n)
 
 
-def test_floor_is_the_median_less_spreads(spark):
-    rnd = random.Random(8)
-    texts = [" ".join(rnd.choice(["alpha", "be", "gamma", "delta9", "e", "zeta", "etaeta"]) + str(rnd.randint(0, 30)) for _ in range(60))
-             for _ in range(400)]
-    got = quality_verdicts(plain(spark, texts)).collect()
-    ok = [r for r in got if not r.base_failed]
-    bins = np.sort(np.minimum(np.round(np.array([r.chars_per_token for r in ok]) * fertility.BINS_PER_UNIT), fertility.MOST_BINS))
-    middle = lambda x: np.sort(x)[(len(x) + 1) // 2 - 1]
-    mid = middle(bins)
-    spread = 1.4826 * max(1, middle(np.abs(bins - mid))) / fertility.BINS_PER_UNIT
-    for r in ok:
-        floor = mid / fertility.BINS_PER_UNIT - fertility.FLOOR_SPREADS * spread * np.sqrt(1 + fertility.SHORT_WORDS / r.n_words)
-        assert r.kept == (r.chars_per_token >= floor)
+#: First and last letter of a script, and prose in it.
+SCRIPTS = {
+    "Latin": ("a", "z", "The weather is very nice today, so I went for a walk in the park with my friends."),
+    "Cyrillic": ("а", "я", "Сегодня хорошая погода, и мы с друзьями пошли гулять в парк."),
+    "Greek": ("α", "ω", "Σήμερα ο καιρός είναι καλός και πήγα βόλτα στο πάρκο με τους φίλους μου."),
+    "Arabic": ("ء", "ي", "ذهبت مع أصدقائي إلى الحديقة اليوم لأن الطقس كان جميلا"),
+    "Hebrew": ("א", "ת", "היום מזג האוויר יפה מאוד והלכתי עם חברים שלי לפארק"),
+    "Han": ("一", "龥", "今天天气很好，我和朋友们一起去公园散步。我们应该努力学习新的知识。"),
+    "Hiragana": ("ぁ", "ん", "今日は天気がとても良いので、友達と一緒に公園を散歩しました。"),
+    "Hangul": ("가", "힣", "오늘은 날씨가 좋아서 친구들과 함께 공원에 갔다."),
+    "Devanagari": ("अ", "ह", "आज मौसम बहुत अच्छा है और मैं अपने दोस्तों के साथ पार्क में घूमने गया।"),
+    "Thai": ("ก", "ะ", "วันนี้อากาศดีมาก ฉันกับเพื่อนไปเดินเล่นที่สวนสาธารณะ")}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_random_letters_of_a_script_are_rejected_and_prose_is_in_band(script):
+    first, last, prose = SCRIPTS[script]
+    rnd, cutter = random.Random(5), Cutter.of(default_model(), default_pieces())
+    bands, other = {k: asdict(v) for k, v in BANDS.items()}, asdict(OTHER)
+    noise = " ".join("".join(chr(rnd.randint(ord(first), ord(last))) for _ in range(rnd.randint(2, 9))) for _ in range(300))
+    verdicts = [dict(zip(fertility._NAMES, judge(t, cutter, bands, other))) for t in (noise, prose)]
+    assert [v["script"] for v in verdicts] == [script, script]
+    assert [v["in_band"] for v in verdicts] == [False, True]
+
+
+def test_a_text_is_judged_by_itself(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    whole = {r.doc_id: r for r in quality_verdicts(docs).collect()}
+    some = docs.filter("doc_id % 40 = 3")
+    assert all(r == whole[r.doc_id] for r in quality_verdicts(some).collect())
+
+
+def test_verdicts_equal_the_rules(spark, sf_small):
+    """Every measure and the verdict from the libraries' own results on each word."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    cutter = Cutter(default_model(), default_pieces())
+    for r in quality_verdicts(spark.read.parquet(f"{sf_small}/documents.parquet")).collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", docs[r.doc_id])
+        ids = [i for w in words for i in cutter.model.encode(w)]
+        pieces = sum(len(cutter.pieces.encode_ordinary(" " + w)) for w in words)
+        chars, counts, n = sum(map(len, words)), Counter(ids), max(1, len(ids))
+        entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+        share = sum(map(cutter.model.is_byte, ids)) / n
+        band = BANDS.get(r.script, OTHER)
+        within = (band.min_chars_per_token <= chars / n <= band.max_chars_per_token and share <= band.max_byte_share
+                  and entropy >= band.min_entropy * math.log2(max(2, len(ids))) and chars / max(1, pieces) >= band.min_chars_per_piece)
+        assert (r.n_tokens, r.chars_per_token, r.byte_share, r.chars_per_piece) == (len(ids), chars / n, share, chars / max(1, pieces))
+        assert r.entropy == pytest.approx(entropy) and r.kept == (within and not r.base_failed)
 
 
 def test_odd_rows(spark):
@@ -101,4 +140,3 @@ def test_odd_rows(spark):
     assert sum(r.n_words == 0 and r.base_failed and not r.kept for r in got) == sum(not (r[1] or "").split() for r in rows())
     assert keep_quality(docs).schema == docs.schema
     assert quality_verdicts(frame(spark, [])).count() == 0
-    assert quality_verdicts(docs, lang_col=None).count() == len(rows())
