@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.llm.common import unpacked, with_text, written
+from martline.session import default_parallelism
 
 #: Random features, width of the kernel in standardised units a root dimension, and ridge penalty.
 FEATURES, WIDTH, RIDGE = 256, 1.0, 0.1
 #: Folds for calibration; width of a score's bin there.
 FOLDS, BIN = 4, 0.002
-#: Largest number of partial sums (each of FOLDS matrices) that are shuffled.
+#: Partial sums (each of FOLDS matrices) that are shuffled, on a small cluster.
 PARTIAL_SUMS = 64
 #: Statistics beyond so many standard deviations count as that many.
 CLIP = 5.0
@@ -145,7 +146,8 @@ def _normal_equations(rows: DataFrame, model: dict) -> tuple[np.ndarray, np.ndar
         yield _sums_batch(sums.items())
 
     schema = "at int, sums binary"
-    parts = rows.coalesce(PARTIAL_SUMS).mapInArrow(partial, schema)
+    # As many sums as tasks can run twice over: their number grows with the cluster, not with the rows.
+    parts = rows.coalesce(max(PARTIAL_SUMS, 2 * default_parallelism(rows.sparkSession))).mapInArrow(partial, schema)
     found = parts.repartition("at").mapInArrow(total, schema).collect()
     sums = np.zeros((FOLDS * width, width + 1))
     for r in found:
