@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
 
 import pyarrow as pa
@@ -31,6 +32,9 @@ TIERS = ((1 << 16, 2000), (1 << 22, 32), (1 << 62, 1))
 #: Capture time of pages without one: this epoch second plus their id, within ten years.
 FIRST_CAPTURE, CAPTURE_SPAN = 1_704_067_200, 315_360_000
 
+#: Captures that a task merges, about.
+RANGE_ROWS = 100_000
+
 _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURE = T.StructType([
@@ -50,15 +54,17 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     largest id is a response (each such row, if its id repeats) and the others are
     revisits that refer to it; smaller ones are all responses.  Null payloads
     are empty, a null URL is left out, a null id is smaller than any other and
-    read back as null.  Control characters in a URL are percent-encoded.
+    read back as null; a row without a time (null, or no time column) has one
+    that follows from its id.  Blanks and control characters in a URL are
+    percent-encoded.  Repeated rows are records of their own; an empty table
+    writes no archive; other columns are not archived.
     """
     row = F.col("_row")
+    given = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce(row.getField(id_col).cast("long"), F.lit(0)), F.lit(CAPTURE_SPAN)))
     rows = packed(pages).select(
         row.getField(id_col).cast("long").alias("_id"), row.getField(url_col).cast("string").alias("_url"),
         F.coalesce(row.getField(payload_col).cast("string"), F.lit("")).alias("_payload"),
-        _utc(row.getField(time_col) if time_col else F.timestamp_seconds(
-            F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce(row.getField(id_col).cast("long"), F.lit(0)), F.lit(CAPTURE_SPAN)))
-             ).alias("_date"))
+        _utc(F.coalesce(row.getField(time_col).cast("timestamp"), given) if time_col else given).alias("_date"))
     rows = rows.withColumns({"_bytes": F.octet_length("_payload").cast("long"), "_digest": F.sha1("_payload")})
     large = F.col("_bytes") >= MIN_REVISIT_BYTES
     groups = written(rows.filter(large).groupBy("_digest").agg(F.count("*").alias("_n"), F.max("_id").alias("_keep"))
@@ -96,7 +102,9 @@ def _record(revisit: Column, keep: Column) -> Column:
                     F.col("_bytes").cast("string"), F.lit(_END))
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("_payload")))
     page = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
-    safe = F.regexp_replace("_url", "[\\x00-\\x20\\x7f]", "%20")
+    safe = F.when(F.col("_url").rlike("[\\x00-\\x20\\x7f]"),
+                  reduce(lambda url, c: F.replace(url, F.lit(chr(c)), F.lit(f"%{c:02X}")), [*range(0x21), 0x7F], F.col("_url"))
+                  ).otherwise(F.col("_url"))
     return F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise("response")),
         line("WARC-Record-ID", page(F.col("_id"))), line("WARC-Date", F.col("_date")), line("WARC-Target-URI", safe),
@@ -110,7 +118,8 @@ def _record(revisit: Column, keep: Column) -> Column:
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """One row per record (columns ``CAPTURE``), sorted inside each archive by URL key, time and id.
 
-    Digests and sizes of responses are computed from the payload that was
+    A record without a URL has a null one and an empty key, one without an id
+    a null one; a folder without archives gives no rows.  Digests and sizes of responses are computed from the payload that was
     read; a response whose header disagrees raises.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
@@ -160,10 +169,14 @@ def _page(urn: str | None) -> int | None:
 def merged_index(captures: DataFrame) -> DataFrame:
     """All captures in global order of URL key, time and id, numbered by ``position`` from 0.
 
-    Splitters come from Spark's range partitioning on that order, so a task
-    holds index entries of its range only, however many captures one URL has.
+    Splitters come from Spark's range partitioning on that order, with a
+    range for every ``RANGE_ROWS`` captures, so a task holds the segments of
+    one range of bounded size, however many captures there are or one URL
+    has.  Equal captures are ordered by archive and place.  ``captures`` is
+    read three times: pass a written table.  No captures give an empty index.
     """
-    cut = captures.repartitionByRange("url_key", "captured", "page_id", "archive", "record_offset")
+    ranges = max(shuffle_partitions(captures.sparkSession), -(-captures.count() // RANGE_ROWS))
+    cut = captures.repartitionByRange(ranges, "url_key", "captured", "page_id", "archive", "record_offset")
     runs = cut.sortWithinPartitions("archive", "url_key", "captured", "page_id", "record_offset")
     schema = T.StructType([*CAPTURE, T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType())])
     merged = written(runs.mapInArrow(_merge, schema), "warc-index")
@@ -194,8 +207,10 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                   time_col: str | None = None, path: str | None = None) -> DataFrame:
     """Writes archives (below the shared checkpoint folder unless ``path`` is given), reads them back and merges their index.
 
-    An empty table gives an empty index.  Repeated rows are archived again.
+    An empty table gives an empty index.  Repeated rows are archived again.  The
+    index has the columns ``CAPTURE`` and ``position``; other input columns are not kept.
     """
     path = path or scratch_path(pages.sparkSession, "warc")
     write_archives(pages, path, id_col, url_col, payload_col, time_col)
-    return merged_index(read_captures(pages.sparkSession, path))
+    # Written once, so that archives are not parsed again for the sampled splitters.
+    return merged_index(written(read_captures(pages.sparkSession, path), "warc-captures"))

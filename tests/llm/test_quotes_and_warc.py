@@ -4,7 +4,9 @@ import random
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
+from martline.llm import warc
 from martline.llm.archives import LoserTree, payload_of, records, url_key
 from martline.llm.quotes import link_quotes, transcripts
 from martline.llm.warc import MIN_REVISIT_BYTES, archive_pages, merged_index, read_captures, write_archives
@@ -134,6 +136,25 @@ def test_many_copies_and_empty_tables(spark):
     assert archive_pages(pages(spark, [])).count() == 0
 
 
+def test_null_times_and_control_characters(spark):
+    rows = [(1, "http://a.example/x\ty\x01z\x7f w", "a", "2024-03-01 10:00:00"), (2, "http://b.example/\r\nWARC-Type: x", "b", None), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    got = {r.page_id: r for r in archive_pages(docs, time_col="at").collect()}
+    assert got[1].captured == "2024-03-01T10:00:00Z" and got[1].url == "http://a.example/x%09y%01z%7F%20w"
+    assert got[2].captured == "2024-01-01T00:00:02Z" and got[2].url == "http://b.example/%0D%0AWARC-Type:%20x"
+    assert got[None].captured == "2024-01-01T00:00:00Z" and got[None].url is None
+
+
+def test_ranges_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_ROWS", 50)
+    rows = [(i, f"http://h.example/{i % 7}", f"page {i}") for i in range(2000)]
+    got = archive_pages(pages(spark, rows))
+    kept = got.orderBy("position").collect()
+    assert [r.position for r in kept] == list(range(2000)) and len({r.page_id for r in kept}) == 2000
+    order = [(r.url_key, r.captured, r.page_id) for r in kept]
+    assert order == sorted(order)
+
+
 def test_broken_archives_raise():
     with pytest.raises(ValueError):
         list(records(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n"))
