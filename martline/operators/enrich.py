@@ -89,9 +89,10 @@ def _memo_by_digest(memo: DataFrame) -> DataFrame:
         F.min("source_text").alias("_m_text"), F.min("translated").alias("_m_tr"))
 
 
-def _translated(df: DataFrame, text: str, by_digest: DataFrame, out: str) -> DataFrame:
+def _translated(df: DataFrame, text: str, by_digest: DataFrame, out: str, only: Column | None = None) -> DataFrame:
     # Rows that need no translation get a key that meets nothing and spreads evenly.
-    key = F.when(_needs_translation(text), F.sha2(text, 256)).otherwise(
+    needs = _needs_translation(text) if only is None else only & _needs_translation(text)
+    key = F.when(needs, F.sha2(text, 256)).otherwise(
         F.concat(F.lit("-"), F.xxhash64(text).cast("string")))
     joined = df.withColumn("_t_key", key).join(by_digest, F.col("_t_key") == F.col("_m_key"), "left")
     value = F.when(F.col("_m_text") == F.col(text), F.coalesce("_m_tr", text)).otherwise(F.col(text))
@@ -102,7 +103,7 @@ def _translated(df: DataFrame, text: str, by_digest: DataFrame, out: str) -> Dat
 
 
 def translate_memo(df: DataFrame, text: str, memo: DataFrame, out: str | None = None,
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   max_broadcast_rows: int = 1_000_000, only: Column | None = None) -> DataFrame:
     """Replace ``text`` by its memo translation when it is not in the target language.
 
     ``memo`` has ``source_text, translated``; several rows for one text
@@ -110,9 +111,10 @@ def translate_memo(df: DataFrame, text: str, memo: DataFrame, out: str | None =
     without a memo entry, in the target language or of unknown language keep
     their value.  The join is on the text's SHA-256 (then checked on the
     text); the memo is broadcast after a check of its rows and bytes, else
-    joined by a shuffle (AQE splits a hot text).
+    joined by a shuffle (AQE splits a hot text).  ``only`` limits it to rows
+    for which it is true (it must not be NULL).
     """
-    return _translated(df, text, checked_broadcast(_memo_by_digest(memo), max_broadcast_rows), out or text)
+    return _translated(df, text, checked_broadcast(_memo_by_digest(memo), max_broadcast_rows), out or text, only)
 
 
 def translate_unseen(df: DataFrame, text: str, memo: DataFrame) -> DataFrame:
@@ -172,7 +174,7 @@ CELL_POINTS, MOST_LEVELS = 32, 6
 
 def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: str = "latitude",
                      lon: str = "longitude", out: str = "postcode",
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                     max_broadcast_rows: int = 1_000_000, only: Column | None = None) -> DataFrame:
     """Postcode of the nearest reference point within ``radius_km``, else NULL.
 
     ``points`` has ``postcode, lat, lon``.  Distinct coordinates are looked up,
@@ -183,11 +185,15 @@ def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: st
     coordinates take no part and get NULL.  Candidates are joined as rows on
     their cell and reduced by a minimum, so no cell becomes an array; the
     points are broadcast within ``max_broadcast_rows`` and a bound of bytes.
+    Rows for which ``only`` (never NULL) is false are not looked up and get
+    NULL.  ``df`` is read once for its coordinates and once for its rows.
     """
     spark = df.sparkSession
     places = points.where("lat IS NOT NULL AND lon IS NOT NULL").groupBy(
         F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.min("postcode").alias("_pc"))
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    if only is not None:
+        known = known & only
     left = df.where(known).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
     found = None
     for radius in reversed(_grid_radii(places, float(radius_km))):
@@ -199,10 +205,18 @@ def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: st
         left = level.where("_pc IS NULL").select("_lat", "_lon")
         if left.isEmpty():
             break
-    joined = df.where(known).join(found, (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon")), "left")
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    return joined.select(*columns, F.col("_pc").alias(out)).unionByName(
-        df.where(~known).select(*columns, F.lit(None).cast("string").alias(out)))
+    # Rows that are not looked up have a key that meets nothing and spreads evenly; a hot coordinate is
+    # one row on the other side, so it is broadcast or its rows are split by AQE.
+    found = checked_broadcast(found.select(_place("_lat", "_lon").alias("_f_key"), "_lat", "_lon", "_pc"), max_broadcast_rows)
+    key = F.when(known, _place(lat, lon)).otherwise(F.xxhash64(*[f"`{c}`" for c in df.columns]))
+    joined = df.select("*", key.alias("_key"), known.alias("_known")).join(
+        found, (F.col("_key") == F.col("_f_key")) & F.col("_known") & (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon")), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_pc").alias(out))
+
+
+def _place(lat: str, lon: str) -> Column:
+    """A coordinate's hash; adding zero makes -0.0 and 0.0 alike, as grouping does."""
+    return F.xxhash64(F.col(lat) + F.lit(0.0), F.col(lon) + F.lit(0.0))
 
 
 def _grid_radii(places: DataFrame, radius: float) -> list[float]:

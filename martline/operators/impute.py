@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,23 +24,38 @@ def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.select(*out)
 
 
-def mode_row(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row, one column per input column: its most frequent non-null value.
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, value, n``: how often each non-null value occurs, for all columns in one shuffle.
 
-    One shuffle for all columns: the columns are unpivoted to (column, value),
-    counted per pair (partial counts map-side, so a hot value costs nothing
-    extra), and the top value per column is taken with ``min_by`` over
-    (-count, value): ties go to the smallest value.  An all-NULL column
-    gives NULL.
+    The columns are unpivoted to (column, value) and counted per pair (partial
+    counts map-side, so a hot value costs nothing extra).  Counts of several
+    tables add up (``merged_counts``), so modes can be kept without old rows.
     """
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
     long = df.select(F.expr(f"stack({len(columns)}, {pairs}) AS (column, value)"))
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").count()
+    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(parts: list[DataFrame]) -> DataFrame:
+    """The counts of all parts together."""
+    return reduce(DataFrame.unionByName, parts).groupBy("column", "value").agg(F.sum("n").alias("n"))
+
+
+def modes_of(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, one column per counted column: its most frequent value, ties to the smallest; NULL without values."""
     modes = counts.groupBy("column").agg(
-        F.min_by("value", F.struct((-F.col("count")).alias("n"), F.col("value").alias("v"))).alias("mode"))
+        F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value").alias("v"))).alias("mode"))
     return modes.groupBy().pivot("column", columns).agg(F.first("mode"))
 
 
+def mode_row(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, one column per input column: its most frequent non-null value.
+
+    Ties go to the smallest value.  An all-NULL column gives NULL.
+    """
+    return modes_of(value_counts(df, columns), columns)
+
+
 def mode_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (``column``, ``mode``), one per input column."""
     row = mode_row(df, columns)

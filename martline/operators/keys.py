@@ -84,7 +84,7 @@ def with_numbers(tagged: DataFrame, offsets: DataFrame, by: list[str], name: str
 def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str = "seq",
                     max_broadcast_rows: int = 1_000_000, tiebreak: list[str] | None = None,
                     path: str | None = None, partition_by: list[str] | None = None,
-                    seen: Observation | None = None) -> DataFrame:
+                    seen: Observation | None = None, offsets_path: str | None = None) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)``, without one task per group.
 
     A window partitioned by source puts a whole source in one task; a source
@@ -101,7 +101,7 @@ def sequence_number(df: DataFrame, by: list[str], order: list[str], name: str =
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     tagged = tag_rows(df, by, order, path or scratch_path(spark, "sequence"), tiebreak, partition_by, seen)
-    offsets = write_offsets(tagged, by, f"{path}_offsets" if path else scratch_path(spark, "offsets"))
+    offsets = write_offsets(tagged, by, offsets_path or scratch_path(spark, "offsets"))
     return with_numbers(tagged, offsets, by, name, max_broadcast_rows).select(
         *[F.col(f"`{c}`") for c in df.columns], name)
 
@@ -119,18 +119,19 @@ def _checked_prefixes(prefixes: DataFrame) -> int:
 
 def add_surrogate_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
                       codes: dict[str, str] = ID_CODES, path: str | None = None,
-                      seen: Observation | None = None) -> DataFrame:
+                      seen: Observation | None = None, offsets_path: str | None = None) -> DataFrame:
     """Seven ids per row: ``<source prefix><code><n>``, n = 1, 2, ... per source.
 
     n follows the natural key (then a digest of the texts and the remaining
     columns for rows sharing a key), so the ids are the same on every run and
     every partitioning.  ``sources`` maps ``src`` to its ``prefix``; prefixes
     must be unique (checked on the small table).  ``path`` makes the written
-    copy behind the numbers a zone of its own, partitioned by source.
+    copy behind the numbers a zone of its own, partitioned by source;
+    ``offsets_path`` that of its small table of numbers.
     """
     rest = [c for c in df.columns if c not in (SOURCE_COL, key)]
     numbered = sequence_number(df, [SOURCE_COL], [key], name="_seq", tiebreak=rest, path=path,
-                               partition_by=[SOURCE_COL] if path else None, seen=seen)
+                               partition_by=[SOURCE_COL] if path else None, seen=seen, offsets_path=offsets_path)
     return ids_from_numbers(numbered, sources, "_seq", codes)
 
 
@@ -162,14 +163,15 @@ def row_digest(df: DataFrame, columns: list[str]) -> Column:
 
 
 def add_hash_ids(df: DataFrame, sources: DataFrame, key: str = NATURAL_KEY,
-                 codes: dict[str, str] = ID_CODES) -> DataFrame:
+                 codes: dict[str, str] = ID_CODES, carried: tuple[str, ...] = ()) -> DataFrame:
     """Seven ids per row: ``<prefix><code><sha256 of the row>``; no shuffle at all.
 
     The digest covers every column (source and key first), so rows without a
     key, or sharing one, get different ids as long as the rows are distinct,
     which they are after deduplication.  A changed row gets new ids.
+    Columns in ``carried`` take no part in the digest.
     """
-    rest = [c for c in df.columns if c not in (SOURCE_COL, key)]
+    rest = [c for c in df.columns if c not in (SOURCE_COL, key, *carried)]
     digest = row_digest(df, [SOURCE_COL, key, *rest])
     joined = _with_prefix(df, sources)
     known = F.coalesce("_prefix", unregistered(F.col(SOURCE_COL)))

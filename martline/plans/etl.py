@@ -1,9 +1,10 @@
-"""The whole ETL: raw listings -> cleaned wide frame -> eight written tables -> SQL views.
+"""The whole ETL: raw listings -> cleaned wide frame -> eight published tables -> SQL views.
 
 Each source is scanned once.  The cleaned wide frame is written once (Parquet,
 partitioned by source, in the output folder) and the eight tables are cut
 from that copy: every table reads only its own columns, and a lost executor
-recomputes from the written copy rather than from the raw files.
+recomputes from the written copy rather than from the raw files.  The tables
+become visible together, as a new version (``sources.versions``).
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType
 
-from ..config import NATURAL_KEY, SOURCE_COL
-from ..operators.keys import (add_hash_ids, add_surrogate_ids, ids_from_numbers, row_digest, tag_rows, with_numbers,
-                              write_offsets)
-from ..sources import files
+from ..config import SOURCE_COL
+from ..operators.keys import add_hash_ids, add_surrogate_ids
+from ..sources import files, versions
 from . import star
+from .increments import run_increment  # noqa: F401 - the incremental form of ``run``
 
 log = logging.getLogger(__name__)
 
@@ -29,8 +29,8 @@ def run(spark: SparkSession, raw: DataFrame, sources: DataFrame, out_dir: str,
         host_grain: str = "host", fact_partitions: int | None = None,
         unset: str = "null", register: bool = True,
         counts: dict[str, int] | None = None,
-        enrichment: star.Enrichment | None = None) -> dict[str, DataFrame]:
-    """Build and write the star schema; return the written tables.
+        enrichment: star.Enrichment | None = None, keep_versions: int = 2) -> dict[str, DataFrame]:
+    """Build the star schema and publish it as a new version; return the written tables.
 
     ``raw`` holds the raw header columns plus ``src``; ``sources`` the
     per-source constants and id prefixes, and the flags ``translate`` and
@@ -40,86 +40,51 @@ def run(spark: SparkSession, raw: DataFrame, sources: DataFrame, out_dir: str,
     wide zone, and ids are added on read from its small offset table.
     Row counts before and after cleaning are observed during the jobs that
     run anyway (no extra count jobs); they are logged and, when ``counts`` is
-    given, stored in it.
+    given, stored in it.  A run that fails before the end leaves the version
+    published before as it is (``versions.read_tables``); of older ones
+    ``keep_versions`` are kept in all.
     """
-    base = out_dir.rstrip("/")
-    wide_path = f"{base}/_wide"
+    base, tag = out_dir.rstrip("/"), versions.new_tag("run")
+    before = versions.read_manifest(spark, base)
+    if before.batches:
+        raise ValueError("the folder holds increments; add to them by run_increment or take another folder")
+    part = f"{versions.PART}={tag}"
     seen_raw, seen_clean = Observation("raw_rows"), Observation("clean_rows")
     raw = raw.observe(seen_raw, F.count(F.lit(1)).alias("rows"))
     cleaned = star.cleaned_rows(raw, sources, unset, enrichment)
     if ids == "sequence":
-        written = add_surrogate_ids(cleaned, sources, path=wide_path, seen=seen_clean)
+        wide = add_surrogate_ids(cleaned, sources, path=f"{base}/_wide/{part}", seen=seen_clean, offsets_path=f"{base}/_offsets/{part}")
     elif ids == "hash":
         wide = add_hash_ids(cleaned, sources)
-        files.write_table(wide.observe(seen_clean, F.count(F.lit(1)).alias("rows")), wide_path, partition_by=[SOURCE_COL])
-        written = files.read_written(spark, wide_path, schema=wide.schema)
+        path = f"{base}/_wide/{part}"
+        files.write_table(wide.observe(seen_clean, F.count(F.lit(1)).alias("rows")), path, partition_by=[SOURCE_COL])
+        wide = files.read_written(spark, path, schema=wide.schema)
     else:
         raise ValueError("ids must be 'sequence' or 'hash'")
     observed = {"raw_rows": seen_raw.get["rows"], "clean_rows": seen_clean.get["rows"]}
     log.info("rows before cleaning %(raw_rows)d, after %(clean_rows)d", observed)
     if counts is not None:
         counts.update(observed)
-    return _write_tables(spark, written, base, fmt, compression, host_grain, fact_partitions, register)
-
-
-def _write_tables(spark: SparkSession, wide: DataFrame, base: str, fmt: str, compression: str | None,
-                  host_grain: str, fact_partitions: int | None, register: bool) -> dict[str, DataFrame]:
-    tables = star.star_tables(wide, host_grain=host_grain, fact_partitions=fact_partitions)
-    out: dict[str, DataFrame] = {}
-    for name, df in tables.items():
-        path = f"{base}/{name}"
+    tables = {"_wide": versions.Table([tag], wide.schema.json())}
+    for name, df in star.star_tables(wide, host_grain=host_grain, fact_partitions=fact_partitions).items():
         # The fact is partitioned by source for pruning; it is not repartitioned by
         # source first, so a source holding a third of the rows is not one writer task.
-        parts = [SOURCE_COL] if name == "booking" else None
-        files.write_table(df, path, fmt=fmt, compression=compression, partition_by=parts)
-        out[name] = files.read_written(spark, path, fmt=fmt, schema=df.schema)
+        tables[name] = versions.write_part(df, base, name, tag, fmt, compression, [SOURCE_COL] if name == "booking" else None)
+    if ids == "sequence":
+        tables["_offsets"] = versions.Table([tag], "{}")
+    versions.publish(spark, base, versions.Manifest(before.version + 1, tables))
+    versions.expire(spark, base, keep_versions)
+    out = versions.read_tables(spark, base)
     if register:
         files.register_views(spark, out)
     return out
 
 
-def run_increment(spark: SparkSession, raw: DataFrame, sources: DataFrame, out_dir: str, batch: int,
-                  unset: str = "null", host_grain: str = "host") -> dict[str, DataFrame]:
-    """One drop of raw rows added to the star schema; ids given earlier never change.
+def run_from_files(spark: SparkSession, registry: Mapping[str, str], sources: DataFrame,
+                   out_dir: str, multi_line: bool | Mapping[str, bool] = True, **options) -> dict[str, DataFrame]:
+    """Same, reading one CSV folder per source: ``{source name: path}``.
 
-    Rows that an earlier batch holds are left out (by a digest of the cleaned
-    row, kept with the wide rows); the others are numbered on from each
-    source's largest number and written as ``_wide/batch=<n>``.  Running a
-    batch again replaces it, so a retry neither loses nor repeats rows.  The
-    tables are cut from all batches, since modes and hosts depend on every row.
-    Batch numbers must rise.
+    ``multi_line=False``, for all sources or by name, lets Spark split large
+    files whose values hold no line breaks.
     """
-    base = out_dir.rstrip("/")
-    wide, offsets = f"{base}/_wide", f"{base}/_offsets"
-    cleaned = star.cleaned_rows(raw, sources, unset)
-    cleaned = cleaned.withColumn("_digest", row_digest(cleaned, cleaned.columns))
-    start = None
-    earlier = _numbered(spark, wide, offsets, cleaned, range(batch))
-    if earlier is not None:
-        cleaned = cleaned.join(earlier.select("_digest"), "_digest", "left_anti")
-        start = earlier.groupBy(SOURCE_COL).agg(F.max("_seq").alias("_start"))
-    cleaned = cleaned.select(*star.TARGETS, "_digest")
-    rest = [c for c in star.TARGETS if c not in (SOURCE_COL, NATURAL_KEY)]
-    tagged = tag_rows(cleaned, [SOURCE_COL], [NATURAL_KEY], f"{wide}/batch={batch}", rest)
-    write_offsets(tagged, [SOURCE_COL], f"{offsets}/batch={batch}", start)
-    rows = _numbered(spark, wide, offsets, cleaned, range(batch + 1))
-    return _write_tables(spark, ids_from_numbers(rows.drop("_digest"), sources, "_seq"), base, "parquet", None, host_grain, None, False)
-
-
-def _numbered(spark: SparkSession, wide: str, offsets: str, like: DataFrame, batches: range) -> DataFrame | None:
-    """The wide rows of the batches that exist, with their numbers."""
-    out = None
-    for n in batches:
-        if not files.exists(spark, f"{offsets}/batch={n}/_SUCCESS"):
-            continue
-        schema = like.select(*star.TARGETS, "_digest").schema.add("_pid", IntegerType()).add("_mid", LongType())
-        tagged = spark.read.schema(schema).parquet(f"{wide}/batch={n}")
-        part = with_numbers(tagged, spark.read.parquet(f"{offsets}/batch={n}"), [SOURCE_COL], "_seq")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def run_from_files(spark: SparkSession, registry: Mapping[str, str], sources: DataFrame,
-                   out_dir: str, **options) -> dict[str, DataFrame]:
-    """Same, reading one CSV folder per source: ``{source name: path}``."""
-    return run(spark, files.read_sources(spark, registry), sources, out_dir, **options)
+    return run(spark, files.read_sources(spark, registry, multi_line), sources, out_dir, **options)

@@ -24,7 +24,7 @@ from ..operators.quality import (dedupe_rows, drop_common_missing, plain_text_ga
                                  strip_symbols_all)
 from ..operators.schema import apply_mapping, ensure_columns, source_constants
 from ..session import read_table, scratch_path
-from ..sources import files
+from ..sources import files, versions
 from ..streaming.incremental import ingest_new_files
 from . import etl, star
 
@@ -339,8 +339,8 @@ def q_etl_counts(spark: SparkSession, sf: str) -> DataFrame:
 def q_catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     """The tables of a run, attached to the catalog and counted there by SQL."""
     out = scratch_path(spark, "catalog")
-    tables = etl.run(spark, fx.raw_listings(spark, sf), fx.source_registry(spark, sf), out, register=False)
-    names = files.attach_tables(spark, out, list(tables), "martline_star", {"booking": SOURCE_COL})
+    etl.run(spark, fx.raw_listings(spark, sf), fx.source_registry(spark, sf), out, register=False)
+    names = versions.attach_tables(spark, out, "martline_star")
     return spark.sql(" UNION ALL ".join(f"SELECT '{n.split('.')[1]}' AS table_name, count(*) AS rows FROM {n}" for n in names))
 
 

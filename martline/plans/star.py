@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ..operators.impute import fill_defaults, mode_impute
 from ..operators.keys import add_hash_ids, add_surrogate_ids
 from ..operators.quality import dedupe_rows, drop_common_missing, strip_symbols_all
 from ..operators.schema import apply_mapping, ensure_columns, source_constants, source_count
-from ..session import checked_broadcast
+from ..session import checked_broadcast, scratch_path
 
 # Columns of the cleaned wide rows before ids are given.
 TARGETS = [SOURCE_COL, *TARGET_TYPES]
@@ -47,33 +48,42 @@ class Enrichment:
 def enrich_listings(df: DataFrame, sources: DataFrame, enrichment: Enrichment) -> DataFrame:
     """Texts translated through the memo, and missing postcodes taken from the nearest point, per source.
 
-    Only rows of the sources concerned go through the joins; a postcode that
-    a listing has is kept.
+    Rows of sources without a flag pass through the same joins under keys that
+    meet nothing, so ``df`` is not split; a postcode that a listing has is
+    kept.  The coordinates to look up are read before the rows: pass a written
+    frame where ``df`` is costly.
     """
     flags = sources.select(F.col(SOURCE_COL).alias("_f_src"), F.coalesce("translate", F.lit(False)).alias("_translate"),
                            F.coalesce("geocode", F.lit(False)).alias("_geocode"))
     n = source_count(flags, "_f_src")
     df = df.join(checked_broadcast(flags, known_rows=n), F.col(SOURCE_COL) == F.col("_f_src"), "left")
-    columns = [c for c in df.columns if not c.startswith("_")]
+    columns = [c for c in df.columns if c not in ("_f_src", "_translate", "_geocode")]
     if enrichment.memo is not None:
-        on = df.where("_translate")
         for c in enrichment.text_columns:
-            on = translate_memo(on, c, enrichment.memo)
-        df = on.unionByName(df.where("NOT coalesce(_translate, false)"))
+            df = translate_memo(df, c, enrichment.memo, only=F.coalesce("_translate", F.lit(False)))
     if enrichment.points is not None:
-        wanted = F.coalesce(F.col("_geocode"), F.lit(False)) & F.col("zipcode").isNull()
-        on = nearest_postcode(df.where(wanted), enrichment.points, enrichment.radius_km, out="_postcode")
-        on = on.withColumn("zipcode", F.col("_postcode")).drop("_postcode")
-        df = on.unionByName(df.where(~wanted))
+        wanted = F.coalesce("_geocode", F.lit(False)) & F.col("zipcode").isNull()
+        df = nearest_postcode(df, enrichment.points, enrichment.radius_km, out="_postcode", only=wanted)
+        df = df.withColumn("zipcode", F.coalesce("zipcode", "_postcode"))
     return df.select(*columns)
 
 
+def distinct_listings(raw: DataFrame) -> DataFrame:
+    """map and cast -> absent columns -> drop empty rows -> drop exact copies -> strip symbols from text."""
+    return strip_symbols_all(dedupe_rows(drop_common_missing(mapped_listings(raw))))
+
+
 def cleaned_rows(raw: DataFrame, sources: DataFrame, unset: str = "null", enrichment: Enrichment | None = None) -> DataFrame:
-    """map and cast -> absent columns -> drop empty rows -> drop exact copies ->
-    strip symbols from text -> enrichment -> source constants."""
-    df = strip_symbols_all(dedupe_rows(drop_common_missing(mapped_listings(raw))))
+    """``distinct_listings`` -> enrichment -> source constants.
+
+    For enrichment the rows are written once (below the checkpoint folder),
+    so that its lookups and its joins read them and not the raw rows again.
+    """
+    df = distinct_listings(raw)
     if enrichment is not None:
-        df = enrich_listings(df, sources, enrichment)
+        path = scratch_path(df.sparkSession, "distinct")
+        df.write.parquet(path)
+        df = enrich_listings(df.sparkSession.read.schema(df.schema).parquet(path), sources, enrichment)
     return source_constants(df, sources, unset=unset)
 
 
@@ -144,13 +154,15 @@ def split_checkin(df: DataFrame) -> DataFrame:
     return df.select(*rest, start.alias("checkinStartTime"), end.alias("checkinEndTime"))
 
 
-def fill_checkin(df: DataFrame) -> DataFrame:
+def fill_checkin(df: DataFrame, modes: dict[str, str | None] | None = None) -> DataFrame:
     """Modes for the three time texts, then 24-hour ``HH:mm``; minimum stay 1.
 
     The fill happens before parsing, so text that is not a 12-hour time
-    stays NULL after it.
+    stays NULL after it.  ``modes`` gives modes that are known already.
     """
-    filled = fill_defaults(mode_impute(df, MODE_COLUMNS), FILL_DEFAULTS["checkin"])
+    filled = mode_impute(df, MODE_COLUMNS) if modes is None else fill_defaults(
+        df, {c: m for c, m in modes.items() if m is not None})
+    filled = fill_defaults(filled, FILL_DEFAULTS["checkin"])
     return filled.select(*[clock_24h(c).alias(c) if c in MODE_COLUMNS else F.col(c)
                            for c in filled.columns])
 
@@ -174,13 +186,27 @@ def host_dimension(df: DataFrame, grain: str = "host") -> DataFrame:
         return fill_host(df.select(*TABLE_COLUMNS["host"]))
     if grain != "host":
         raise ValueError("grain must be 'host' or 'listing'")
+    return hosts_of(host_state(df))
+
+
+def host_state(df: DataFrame) -> DataFrame:
+    """``hostId, hostListingCount, any_t`` per host: what the host dimension needs, mergeable (``merged_hosts``)."""
     key = {"hostId": FILL_DEFAULTS["host"]["hostId"]}
-    grouped = fill_defaults(df, key).groupBy("hostId").agg(
+    return fill_defaults(df, key).groupBy("hostId").agg(
         F.max("hostListingCount").alias("hostListingCount"),
-        F.max(F.col("superhost") == F.lit("t")).alias("_any_t"))
+        F.coalesce(F.max(F.col("superhost") == F.lit("t")), F.lit(False)).alias("any_t"))
+
+
+def merged_hosts(parts: list[DataFrame]) -> DataFrame:
+    """The states of all parts together."""
+    return reduce(DataFrame.unionByName, parts).groupBy("hostId").agg(
+        F.max("hostListingCount").alias("hostListingCount"), F.max("any_t").alias("any_t"))
+
+
+def hosts_of(state: DataFrame) -> DataFrame:
+    """The host dimension of a state."""
     defaults = {c: v for c, v in FILL_DEFAULTS["host"].items() if c != "superhost"}
-    return fill_defaults(grouped, defaults).select(
-        "hostId", "hostListingCount", F.coalesce(F.col("_any_t"), F.lit(False)).alias("superhost"))
+    return fill_defaults(state, defaults).select("hostId", "hostListingCount", F.col("any_t").alias("superhost"))
 
 
 def amenities_array(df: DataFrame) -> DataFrame:
@@ -217,6 +243,10 @@ def star_tables(wide: DataFrame, host_grain: str = "host",
     return tables
 
 
+#: Tables whose rows depend on one listing only, so that new listings add rows and change none.
+ROW_TABLES = ["listing", "location", "amenities", "review", "pricing", "booking"]
+
+
 # ---------------------------------------------------------------------------
 # Queries over the star tables.
 # ---------------------------------------------------------------------------

@@ -55,9 +55,16 @@ def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def read_sources(spark: SparkSession, registry: Mapping[str, str]) -> DataFrame:
-    """``{source name: path}`` -> one frame with a ``src`` column."""
-    return union_sources({name: read_csv_source(spark, path) for name, path in registry.items()})
+def read_sources(spark: SparkSession, registry: Mapping[str, str], multi_line: bool | Mapping[str, bool] = True) -> DataFrame:
+    """``{source name: path}`` -> one frame with a ``src`` column.
+
+    ``multi_line`` says, for all sources or by name (others: true), whether
+    values may hold line breaks; if not, Spark splits large files.
+    """
+    def breaks(name: str) -> bool:
+        return multi_line if isinstance(multi_line, bool) else multi_line.get(name, True)
+
+    return union_sources({name: read_csv_source(spark, path, multi_line=breaks(name)) for name, path in registry.items()})
 
 
 def land_by_source(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
@@ -131,27 +138,3 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on any file system that Spark reads."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
-def attach_tables(spark: SparkSession, base: str, names: list[str], database: str,
-                  partitioned: Mapping[str, str] | None = None, fmt: str = "parquet") -> list[str]:
-    """Catalog tables ``database.name`` over folders written below ``base``; returns their names.
-
-    With a persistent catalog (Hive support) they outlive the session, and any
-    SQL client of that catalog can read them; the data stays where it is.
-    Attaching again replaces the definition.  ``partitioned`` names the
-    partition column of a table; its folders are registered.
-    """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base.rstrip('/')}'")
-    out = []
-    for name in names:
-        full, column = f"`{database}`.`{name}`", (partitioned or {}).get(name)
-        schema = spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}").schema
-        columns = ", ".join(f"`{f.name}` {'string' if f.name == column else f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        spark.sql(f"CREATE TABLE {full} ({columns}) USING {fmt} " + (f"PARTITIONED BY (`{column}`) " if column else "")
-                  + f"LOCATION '{base.rstrip('/')}/{name}'")
-        if column:
-            spark.sql(f"MSCK REPAIR TABLE {full}")
-        out.append(f"{database}.{name}")
-    return out
