@@ -93,7 +93,7 @@ def test_collocations_equal_brute_force(spark, seed, least, top, percent, bits):
 
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     docs = random_docs(4)
-    monkeypatch.setattr(phrases, "_filter_bits", lambda frequent, bits: np.full(bits // 8, 255, dtype=np.uint8))
+    monkeypatch.setattr(phrases, "_filter_bits", lambda buckets, bits: np.full(bits // 8, 255, dtype=np.uint8))
     got = collocations(spark.createDataFrame(docs, "lang string, text string"), least=4)
     assert sorted(tuple(r) for r in got.collect()) == brute(docs, 4, 2000)
 
@@ -117,3 +117,21 @@ def test_odd_rows(spark):
     assert collocations(frame(spark, []), least=2).count() == 0
     frequent = frequent_phrases(phrase_dictionary(frame(spark)), least=1)
     assert frequent.filter((F.col("words") == 1) & (F.col("phrase") == "école")).first().f == 2
+
+
+def test_sums_by_bucket_and_hashes_of_long_words():
+    from martline.llm.phrases import LONG_WORD, _Sums, _Words
+    rng = np.random.default_rng(4)
+    for most in (5, 1 << 40):
+        sums, want = _Sums(1 << 26), Counter()
+        for _ in range(5):
+            buckets, times = rng.integers(0, 50, 300), rng.integers(1, most, 300)
+            sums.add(buckets, times)
+            for b, t in zip(buckets.tolist(), times.tolist()):
+                want[b] += t
+        assert dict(zip(*map(np.ndarray.tolist, sums.total()))) == want
+    long = [b"x" * LONG_WORD + bytes([c]) for c in b"abc"] + [b"x" * (LONG_WORD + n) for n in range(3)]
+    words = _Words(b" ".join(long + [b"a", b"a", b"b"] + long))
+    for which in (0, 1):
+        hashes = words.hashes(which).tolist()
+        assert hashes[:6] == hashes[9:] and len(set(hashes)) == 8 and hashes[6] == hashes[7] == _Words(b"a").hashes(which)[0]
