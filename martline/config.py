@@ -229,15 +229,6 @@ SYMBOL_RANGES: list[tuple[int, int]] = [
 # Fixed value: a column is "plain text" when every non-null value matches this.
 PLAIN_TEXT_PATTERN = r"""^[a-zA-Z0-9\s\.,!?'"-]+$"""
 
-# Stop words per language for the dictionary language detector (our own
-# choice: frequent words, no word shared by two languages).
-STOP_WORDS: dict[str, list[str]] = {
-    "en": ["the", "of", "and", "to", "with", "near", "your", "house"],
-    "de": ["der", "die", "und", "den", "mit", "eine", "nahe", "haus"],
-    "es": ["el", "los", "del", "las", "con", "una", "cerca", "casa"],
-    "fr": ["le", "les", "et", "du", "avec", "dans", "belle", "maison"],
-}
-
 # Scripts that tell a language by themselves: Unicode script -> language.  Letters of the
 # Japanese syllabaries decide over Han characters, which both languages use.
 SCRIPT_LANGUAGES: dict[str, str] = {

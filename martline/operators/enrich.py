@@ -1,14 +1,13 @@
 """Enrichment: language, translation memo, nearest postcode, external-call hook.
 
 The reference called web services row by row.  Here the services are
-re-aimed as data: scripts and stop words for language, a memo table of
+re-aimed as data: scripts and letter profiles for language, a memo table of
 earlier translations joined by the text's digest, a postcode point table joined by grid
 cell, and one Arrow-batched hook for whatever must still call out.
 """
 
 from __future__ import annotations
 
-import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -16,8 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SCRIPT_LANGUAGES, STOP_WORDS, TARGET_LANGUAGE
+from ..config import SCRIPT_LANGUAGES, TARGET_LANGUAGE
 from ..functions.geo import Grid, haversine_km
+from ..functions.language import Profiles, default_profiles, latin_language
 from ..functions.text import is_plain_text
 from ..session import checked_broadcast, default_parallelism, scratch_path
 from .quality import plain_text_gate
@@ -27,24 +27,18 @@ from .quality import plain_text_gate
 # Language
 # ---------------------------------------------------------------------------
 
-def language_of(text: Column | str, stop_words: dict[str, list[str]] = STOP_WORDS) -> Column:
-    """Language of the whole text: by script, else by stop words.
+def language_of(text: Column | str, profiles: Profiles) -> Column:
+    """Language of the whole text: by script, else by its groups of letters.
 
     If letters of one of ``SCRIPT_LANGUAGES`` outnumber the Latin ones, the
     script with most letters names the language (ties: the smallest code;
     any Japanese syllable makes Han text Japanese).  Otherwise it is the
-    language whose stop words occur most often; a token is a maximal run of
-    letters of the lower-cased text, ties go to the smallest language code, and
-    no hit gives NULL.  Row by row inside the JVM, so a 20,000-word text is one
-    row, not 20,000 shuffled ones; scripts are counted only in texts that
-    have letters beyond Latin.
+    language whose profile (``functions.language``) fits best, if it leads the
+    next one by a margin; a text without letters, or in doubt, gives NULL.
+    Row by row inside the JVM, so a 20,000-word text is one row, not 20,000
+    shuffled ones; scripts are counted only in texts that have letters beyond Latin.
     """
     col = F.col(text) if isinstance(text, str) else text
-    low = F.lower(col)
-
-    def hits(words: list[str]) -> Column:
-        pattern = r"(?<!\p{L})(?:" + "|".join(re.escape(w) for w in words) + r")(?!\p{L})"
-        return F.regexp_count(low, F.lit(pattern))
 
     def letters(scripts: list[str]) -> Column:
         return F.regexp_count(col, F.lit("[" + "".join(rf"\p{{Is{s}}}" for s in scripts) + "]"))
@@ -53,7 +47,6 @@ def language_of(text: Column | str, stop_words: dict[str, list[str]] = STOP_WORD
         found = F.array(*[F.struct((-n).alias("n"), F.lit(lang).alias("lang")) for n, lang in scored])
         return F.array_min(F.filter(found, lambda s: s["n"] < 0))
 
-    by_word = best([(hits(stop_words[lang]), lang) for lang in sorted(stop_words)])["lang"]
     scripts: dict[str, list[str]] = {}
     for script, lang in SCRIPT_LANGUAGES.items():
         scripts.setdefault(lang, []).append(script)
@@ -64,23 +57,24 @@ def language_of(text: Column | str, stop_words: dict[str, list[str]] = STOP_WORD
     top = best(counts)
     by_script = F.when(-top["n"] > letters(["Latin"]), top["lang"])
     foreign = col.rlike("[" + "".join(rf"\p{{Is{s}}}" for s in SCRIPT_LANGUAGES) + "]")
-    return F.coalesce(F.when(foreign, by_script), by_word)
+    return F.coalesce(F.when(foreign, by_script), latin_language(col, profiles))
 
 
-def detect_language(df: DataFrame, text: str, out: str = "lang_detected") -> DataFrame:
-    return df.withColumn(out, language_of(text))
+def detect_language(df: DataFrame, text: str, out: str = "lang_detected", profiles: Profiles | None = None) -> DataFrame:
+    """``df`` with the language of ``text``; profiles of one's own come from ``functions.language.learn_profiles``."""
+    return df.withColumn(out, language_of(text, profiles or default_profiles(df.sparkSession)))
 
 
 # ---------------------------------------------------------------------------
 # Translation through a memo of earlier answers
 # ---------------------------------------------------------------------------
 
-def _needs_translation(text: str) -> Column:
+def _needs_translation(df: DataFrame, text: str) -> Column:
     """A text is translated only when its language is known and not the target.
 
     The language occurs once in the expression, so it is computed once.
     """
-    return F.coalesce(language_of(text) != F.lit(TARGET_LANGUAGE), F.lit(False))
+    return F.coalesce(language_of(text, default_profiles(df.sparkSession)) != F.lit(TARGET_LANGUAGE), F.lit(False))
 
 
 def _memo_by_digest(memo: DataFrame) -> DataFrame:
@@ -91,7 +85,7 @@ def _memo_by_digest(memo: DataFrame) -> DataFrame:
 
 def _translated(df: DataFrame, text: str, by_digest: DataFrame, out: str, only: Column | None = None) -> DataFrame:
     # Rows that need no translation get a key that meets nothing and spreads evenly.
-    needs = _needs_translation(text) if only is None else only & _needs_translation(text)
+    needs = _needs_translation(df, text) if only is None else only & _needs_translation(df, text)
     key = F.when(needs, F.sha2(text, 256)).otherwise(
         F.concat(F.lit("-"), F.xxhash64(text).cast("string")))
     joined = df.withColumn("_t_key", key).join(by_digest, F.col("_t_key") == F.col("_m_key"), "left")
@@ -120,7 +114,7 @@ def translate_memo(df: DataFrame, text: str, memo: DataFrame, out: str | None =
 def translate_unseen(df: DataFrame, text: str, memo: DataFrame) -> DataFrame:
     """Distinct texts that need translation and are not in the memo: the only
     work left for an external service.  Copies are counted map-side first."""
-    need = df.where(_needs_translation(text)).groupBy(F.col(text).alias("text")) \
+    need = df.where(_needs_translation(df, text)).groupBy(F.col(text).alias("text")) \
              .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("_key", F.sha2("text", 256))
     known = memo.select(F.sha2("source_text", 256).alias("_key")).distinct()
     return need.join(known, "_key", "left_anti").drop("_key")

@@ -14,6 +14,7 @@ from __future__ import annotations
 from ..config import COLUMN_MAPPING, TABLE_COLUMNS, TARGET_TYPES
 from ..fixtures import (DIRTY_LISTINGS_SQL, DOCUMENTS_SQL, GEOCODER_PAYLOADS_SQL, POSTCODE_POINTS_SQL,
                         RAW_HEADERS, SOURCES_SQL, TALK_SQL, TITLE_MEMO_SQL, TRANSLATION_MEMO_SQL, duckdb_sql)
+from ..functions.language import SAMPLES
 
 # Fixed values, stated on their own.
 ID_CODES = {"listingId": "LIS", "amenitiesId": "AMT", "reviewId": "REV", "checkInOutId": "CHK", "locationId": "LOC",
@@ -45,12 +46,8 @@ SYMBOL_CLASS = ("[\U0001F600-\U0001F64F\U0001F300-\U0001F5FF\U0001F680-\U0001F6F
                 "\u2600-\u26FF\u2B00-\u2BFF\U0001F100-\U0001F1FF\U0001F200-\U0001F2FF\U0001F900-\U0001F9FF\u25A0-\u25FF]")
 PLAIN_TEXT_PATTERN = "^[a-zA-Z0-9\\s\\.,!?'\"-]+$"
 NUMBER_PATTERN = "^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$"
-STOP_WORDS = {
-    "en": ["the", "of", "and", "to", "with", "near", "your", "house"],
-    "de": ["der", "die", "und", "den", "mit", "eine", "nahe", "haus"],
-    "es": ["el", "los", "del", "las", "con", "una", "cerca", "casa"],
-    "fr": ["le", "les", "et", "du", "avec", "dans", "belle", "maison"],
-}
+# Letter groups of a language's profile: buckets and the lead that a language needs.
+BUCKETS, LEAD = 8192, 50
 # Language -> classes of its letters; Han is Japanese beside a syllable, else Chinese.
 SCRIPTS = {"ar": "\\p{Arabic}", "el": "\\p{Greek}", "he": "\\p{Hebrew}", "hi": "\\p{Devanagari}", "ja": "\\p{Hiragana}\\p{Katakana}",
            "ko": "\\p{Hangul}", "ru": "\\p{Cyrillic}", "th": "\\p{Thai}", "zh": "\\p{Han}"}
@@ -271,7 +268,17 @@ def _fill_oracle(table: str) -> str:
 # Language detection (tokens joined to the stop words, top-1 per text)
 # ---------------------------------------------------------------------------
 
-STOP_VALUES = ", ".join(f"({q(w)}, {q(lang)})" for lang, words in STOP_WORDS.items() for w in words)
+SAMPLE_VALUES = ", ".join(f"({q(lang)}, {q(text)})" for lang, text in SAMPLES.items())
+
+
+def groups_sql(text: str) -> str:
+    """List of the buckets of all groups of two to four letters; empty without letters."""
+    words = f"trim(regexp_replace(lower({text}), '(?:[^\\p{{L}}]|[\\x{{10000}}-\\x{{10FFFF}}])+', ' ', 'g'))"
+    codes = f"list_transform(string_split(' ' || {words} || '  ', ''), lambda c: unicode(c))"
+    return (f"CASE WHEN {words} = '' THEN [] ELSE list_transform([{codes}], lambda c: list_concat(list_concat("
+            f"list_transform(range(1, len(c)), lambda i: (c[i] * 31 + c[i + 1]) % {BUCKETS}), "
+            f"list_transform(range(1, len(c) - 1), lambda i: (c[i] * 961 + c[i + 1] * 31 + c[i + 2] + 7) % {BUCKETS})), "
+            f"list_transform(range(1, len(c) - 2), lambda i: (c[i] * 29791 + c[i + 1] * 961 + c[i + 2] * 31 + c[i + 3] + 13) % {BUCKETS})))[1] END")
 
 
 def letters_sql(text: str, classes: str) -> str:
@@ -279,7 +286,7 @@ def letters_sql(text: str, classes: str) -> str:
 
 
 def language_ctes(table: str, key: list[str], text: str = "text", name: str = "") -> list[tuple[str, str]]:
-    """``best<name>``: the language of each text, by script or by stop words."""
+    """``best<name>``: the language of each text, by script or by letter groups."""
     k = ", ".join(key)
     kana, han = letters_sql(text, SCRIPTS["ja"]), letters_sql(text, SCRIPTS["ja"] + SCRIPTS["zh"])
     counts = {lang: letters_sql(text, classes) for lang, classes in SCRIPTS.items()}
@@ -289,10 +296,18 @@ def language_ctes(table: str, key: list[str], text: str = "text", name: str = ""
                                  for lang, n in counts.items())
     top = "row_number() OVER (PARTITION BY {} ORDER BY n DESC, lang) AS rn".format(k)
     return [
-        (f"stop{name}", f"SELECT * FROM (VALUES {STOP_VALUES}) AS s(word, lang)"),
-        (f"tok{name}", f"SELECT {k}, unnest(string_split_regex(lower({text}), '[^\\p{{L}}]+')) AS w FROM {table}"),
-        (f"hits{name}", f"SELECT {k}, lang, count(*) AS n FROM tok{name} t JOIN stop{name} s ON t.w = s.word GROUP BY {k}, lang"),
-        (f"word{name}", f"SELECT {k}, lang FROM (SELECT *, {top} FROM hits{name}) WHERE rn = 1"),
+        (f"sample{name}", f"SELECT lang, unnest({groups_sql('text')}) AS bucket FROM (VALUES {SAMPLE_VALUES}) AS s(lang, text)"),
+        (f"seen{name}", f"SELECT lang, bucket, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total FROM sample{name} GROUP BY lang, bucket"),
+        (f"profile{name}", f"SELECT lang, bucket, round(100 * ln((n + 0.5) / (total + {BUCKETS / 2})))::BIGINT "
+                           f"- round(100 * ln(0.5 / (total + {BUCKETS / 2})))::BIGINT AS gain FROM seen{name}"),
+        (f"rare{name}", f"SELECT DISTINCT lang, round(100 * ln(0.5 / (total + {BUCKETS / 2})))::BIGINT AS rare FROM seen{name}"),
+        (f"own{name}", f"SELECT {k}, list_distinct({groups_sql(text)}) AS g FROM {table}"),
+        (f"hits{name}", f"SELECT {k}, lang, sum(gain) AS gain FROM (SELECT {k}, unnest(g) AS bucket FROM own{name}) "
+                        f"JOIN profile{name} USING (bucket) GROUP BY {k}, lang"),
+        (f"scores{name}", f"SELECT {k}, r.lang, len(o.g) * r.rare + coalesce(h.gain, 0) AS n FROM own{name} o CROSS JOIN rare{name} r "
+                          f"LEFT JOIN hits{name} h USING ({k}, lang) WHERE len(o.g) > 0"),
+        (f"word{name}", f"SELECT {k}, lang FROM (SELECT *, {top}, lead(n) OVER (PARTITION BY {k} ORDER BY n DESC, lang) AS next FROM scores{name}) "
+                        f"WHERE rn = 1 AND n - next >= {LEAD}"),
         (f"script{name}", f"SELECT {k}, lang FROM (SELECT *, {top} FROM ({scripts})) WHERE rn = 1 AND n > latin AND n > 0"),
         (f"best{name}", f"SELECT {k}, coalesce(s.lang, w.lang) AS lang FROM script{name} s FULL JOIN word{name} w USING ({k})"),
     ]
