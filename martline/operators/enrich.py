@@ -12,14 +12,16 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SCRIPT_LANGUAGES, TARGET_LANGUAGE
 from ..functions.geo import Grid, haversine_km
 from ..functions.language import Profiles, default_profiles, latin_language
+from ..functions.json import postal_code
 from ..functions.text import is_plain_text
 from ..session import checked_broadcast, default_parallelism, scratch_path
+from ..sources.files import exists
 from .quality import plain_text_gate
 
 
@@ -145,7 +147,7 @@ def learn_translations(spark_df: DataFrame, text: str, memo_path: str, fn: Calla
     the service again; only calls that succeeded enter the memo.  Returns the memo.
     """
     spark = spark_df.sparkSession
-    memo = spark.read.schema(MEMO_SCHEMA).parquet(memo_path)
+    memo = _memo(spark, memo_path, MEMO_SCHEMA)
     unseen = translate_unseen(spark_df, text, memo)
     answers = scratch_path(spark, "translations")
     enrich_hook(unseen, "text", fn, max_calls_per_second).write.parquet(answers)
@@ -164,6 +166,8 @@ def plain_text(df: DataFrame, text: str, out: str = "plain") -> DataFrame:
 
 # Points in a grid cell that are compared without a finer grid, and the finest grid: radius / 4**MOST_LEVELS.
 CELL_POINTS, MOST_LEVELS = 32, 6
+# Decimals of a degree by which coordinates share an answer of the geocoder (about 100 m).
+CELL_DECIMALS = 3
 
 
 def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: str = "latitude",
@@ -208,6 +212,47 @@ def nearest_postcode(df: DataFrame, points: DataFrame, radius_km: float, lat: st
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_pc").alias(out))
 
 
+def grid_cell(lat: str, lon: str, decimals: int = CELL_DECIMALS) -> Column:
+    """A coordinate rounded to a cell, as text ``lat,lon``; NULL without both."""
+    def rounded(c: str) -> Column:
+        return F.round(F.col(c), decimals).try_cast(f"decimal({decimals + 6},{decimals})").cast("string")
+
+    return F.concat(rounded(lat), F.lit(","), rounded(lon))
+
+
+def learn_postcodes(df: DataFrame, memo_path: str, fn: Callable[[pd.Series], pd.Series], lat: str = "latitude",
+                    lon: str = "longitude", max_calls_per_second: float | None = None) -> DataFrame:
+    """The memo ``cell, postcode`` after one round of the geocoder: cells unseen so far are asked once and appended.
+
+    ``fn`` gets cells (``lat,lon``) and answers with the service's JSON, whose
+    postal code is kept; an answer without one is kept as NULL and not asked
+    again, a failed call is.  The memo's folder may be empty or absent.
+    """
+    spark = df.sparkSession
+    memo = _memo(spark, memo_path, POSTCODE_SCHEMA)
+    cells = df.select(grid_cell(lat, lon).alias("cell")).where("cell IS NOT NULL").distinct().join(memo, "cell", "left_anti")
+    answers = scratch_path(spark, "postcodes")
+    enrich_hook(cells, "cell", fn, max_calls_per_second).write.parquet(answers)
+    done = spark.read.schema(HOOK_SCHEMA).parquet(answers).where("status = 'ok'")
+    done.select(F.col("value").alias("cell"), postal_code("result").alias("postcode")).write.mode("append").parquet(memo_path)
+    return spark.read.schema(POSTCODE_SCHEMA).parquet(memo_path)
+
+
+def memo_postcode(df: DataFrame, memo: DataFrame, only: Column, out: str, lat: str = "latitude", lon: str = "longitude",
+                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``df`` with the memo's postcode of each row's cell where ``only`` (never NULL) is true, else NULL."""
+    known = checked_broadcast(memo.groupBy(F.col("cell").alias("_m_cell")).agg(F.min("postcode").alias("_m_code")), max_broadcast_rows)
+    # Rows that are not looked up have a key that meets nothing and spreads evenly.
+    key = F.coalesce(F.when(only, grid_cell(lat, lon)), F.concat(F.lit("-"), F.xxhash64(*[f"`{c}`" for c in df.columns]).cast("string")))
+    joined = df.withColumn("_cell", key).join(known, F.col("_cell") == F.col("_m_cell"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_m_code").alias(out))
+
+
+def _memo(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The memo in a folder, empty if there is none yet."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def _place(lat: str, lon: str) -> Column:
     """A coordinate's hash; adding zero makes -0.0 and 0.0 alike, as grouping does."""
     return F.xxhash64(F.col(lat) + F.lit(0.0), F.col(lon) + F.lit(0.0))
@@ -250,6 +295,7 @@ def _nearest_in_cells(left: DataFrame, places: DataFrame, radius: float, max_bro
 
 HOOK_SCHEMA = "value string, result string, status string"
 MEMO_SCHEMA = "source_text string, translated string"
+POSTCODE_SCHEMA = "cell string, postcode string"
 
 # Values handed to the service at a time: this much of a task's budget, in seconds.
 SLICE_SECONDS = 0.2

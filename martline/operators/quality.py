@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..config import COMMON_MISSING, PLAIN_TEXT_PATTERN
+from ..config import COMMON_MISSING, PLAIN_TEXT_PATTERN, SOURCE_COL
 from ..functions.text import strip_symbols
 
 
@@ -66,3 +68,48 @@ def row_profile(df: DataFrame, expected: list[str]) -> DataFrame:
         rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(c in present).alias("present"),
                              F.col("__rows").alias("n_rows"), n_null.alias("n_null")))
     return counts.select(F.inline(F.array(*rows)))
+
+
+#: Kinds of text values, from narrow to wide; a value is of the first one that it fits.
+VALUE_KINDS = {
+    "int": r"^\s*[+-]?[0-9]+\s*$",
+    "decimal": r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$",
+    "date": r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$",
+    "flag": r"^[tf]$",
+}
+
+
+def schema_report(df: DataFrame, by: str = SOURCE_COL) -> DataFrame:
+    """Type of every text column, per source: ``<by>, column_name, n_rows, n_filled, n_int, n_decimal, n_date, n_flag, type``.
+
+    ``type`` is the narrowest that all filled values fit: ``empty`` (none, or
+    blanks only), ``int``, ``decimal`` (whole numbers too), ``date``, ``flag``
+    or ``text``.  The counts of two tables add up to those of both, so reports
+    can be kept and merged (``merged_report``).  One aggregation for all
+    columns; values are unpivoted map-side and only counts are shuffled.
+    """
+    columns = [c for c in text_columns(df) if c != by]
+    pairs = ", ".join("'{}', `{}`".format(c.replace("\\", "\\\\").replace("'", "\\'"), c.replace("`", "``")) for c in columns)
+    long = df.select(by, F.expr(f"stack({len(columns)}, {pairs}) AS (column_name, value)"))
+    kind = F.when(F.trim("value") != "", F.lit("text"))
+    for name, pattern in reversed(VALUE_KINDS.items()):
+        kind = F.when(F.col("value").rlike(pattern), F.lit(name)).otherwise(kind)
+    counted = long.select(by, "column_name", kind.alias("kind")).groupBy(by, "column_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("kind").alias("n_filled"),
+        *[F.count_if(F.coalesce(F.col("kind") == name, F.lit(False))).alias(f"n_{name}") for name in VALUE_KINDS])
+    return counted.withColumn("type", _type_of())
+
+
+def _type_of() -> Column:
+    """The type that a column's counts tell."""
+    filled = F.col("n_filled")
+    return (F.when(filled == 0, "empty").when(F.col("n_int") == filled, "int")
+            .when(F.col("n_int") + F.col("n_decimal") == filled, "decimal").when(F.col("n_date") == filled, "date")
+            .when(F.col("n_flag") == filled, "flag").otherwise("text"))
+
+
+def merged_report(reports: list[DataFrame], by: str | None = SOURCE_COL) -> DataFrame:
+    """One report of several; with ``by=None`` one of all sources together."""
+    counts = ["n_rows", "n_filled", *[f"n_{name}" for name in VALUE_KINDS]]
+    keys = [by, "column_name"] if by else ["column_name"]
+    return reduce(DataFrame.unionByName, reports).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts]).withColumn("type", _type_of())

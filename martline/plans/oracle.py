@@ -465,6 +465,20 @@ def _incremental_etl() -> str:
                        "_prefix || 'BOK' || CAST(_rn AS VARCHAR) AS bookingId FROM numbered")
 
 
+def _schema_report() -> str:
+    """Each column's kinds of values by source, from one SELECT a column."""
+    kinds = [("int", "^\\s*[+-]?[0-9]+\\s*$"), ("decimal", NUMBER_PATTERN),
+             ("date", "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"), ("flag", "^[tf]$")]
+    cells = " UNION ALL ".join(f"SELECT src, {q(h)} AS column_name, {c} AS value FROM dirty" for c, h in RAW_HEADERS.items())
+    kind = " ".join(f"WHEN regexp_matches(value, {q(p)}) THEN {q(k)}" for k, p in kinds)
+    counts = ", ".join(f"count(*) FILTER (kind = {q(k)}) AS n_{k}" for k, _ in kinds)
+    return with_([("dirty", duckdb_sql(DIRTY_LISTINGS_SQL)), ("cells", cells),
+                  ("told", f"SELECT src, column_name, CASE {kind} WHEN trim(value) <> '' THEN 'text' END AS kind FROM cells"),
+                  ("counted", f"SELECT src, column_name, count(*) AS n_rows, count(kind) AS n_filled, {counts} FROM told GROUP BY src, column_name")],
+                 "SELECT *, CASE WHEN n_filled = 0 THEN 'empty' WHEN n_int = n_filled THEN 'int' WHEN n_int + n_decimal = n_filled THEN 'decimal' "
+                 "WHEN n_date = n_filled THEN 'date' WHEN n_flag = n_filled THEN 'flag' ELSE 'text' END AS type FROM counted")
+
+
 def _row_profile() -> str:
     present = {t for raw, t, _ in COLUMN_MAPPING if raw in HEADER_TO_DIRTY}
     parts = []
@@ -564,6 +578,7 @@ def oracles() -> dict[str, str]:
             "AS postcode FROM payloads"),
         "etl_enriched": _etl_enriched(),
         "incremental_etl": _incremental_etl(),
+        "schema_report": _schema_report(),
         "etl_counts": with_(CLEANED, "SELECT 'raw_rows' AS step, count(*) AS rows FROM dirty UNION ALL "
                                      "SELECT 'clean_rows', count(*) FROM cleaned"),
         "catalog_tables": with_(TABLES, " UNION ALL ".join(

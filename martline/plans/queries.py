@@ -21,7 +21,7 @@ from ..operators import enrich
 from ..operators.impute import mode_values
 from ..operators.keys import add_monotonic_ids
 from ..operators.quality import (dedupe_rows, drop_common_missing, plain_text_gate, row_profile,
-                                 strip_symbols_all)
+                                 schema_report, strip_symbols_all)
 from ..operators.schema import apply_mapping, ensure_columns, source_constants
 from ..session import read_table, scratch_path
 from ..sources import files, versions
@@ -344,6 +344,10 @@ def q_catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(" UNION ALL ".join(f"SELECT '{n.split('.')[1]}' AS table_name, count(*) AS rows FROM {n}" for n in names))
 
 
+def q_schema_report(spark: SparkSession, sf: str) -> DataFrame:
+    return schema_report(fx.raw_listings(spark, sf))
+
+
 def q_unparsed_times(spark: SparkSession, sf: str) -> DataFrame:
     return star.unparsed_times(star.split_checkin(_mapped(spark, sf).select(*ROW_KEY, "checkinTime", "checkoutTime")))
 
@@ -422,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "incremental_etl": q_incremental_etl,
     "etl_counts": q_etl_counts,
     "catalog_tables": q_catalog_tables,
+    "schema_report": q_schema_report,
     "unparsed_times": q_unparsed_times,
     "monotonic_ids": q_monotonic_ids,
     "fact_repartition": q_fact_repartition,

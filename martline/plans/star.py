@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..config import (FILL_DEFAULTS, FLAG_COLUMNS, MODE_COLUMNS, SOURCE_COL, TAB
 from ..functions.clock import checkin_window, clock_24h
 from ..functions.flags import flag
 from ..functions.text import amenity_list, strip_quotes
-from ..operators.enrich import nearest_postcode, translate_memo
+from ..operators.enrich import learn_postcodes, learn_translations, memo_postcode, nearest_postcode, translate_memo
 from ..operators.impute import fill_defaults, mode_impute
 from ..operators.keys import add_hash_ids, add_surrogate_ids
 from ..operators.quality import dedupe_rows, drop_common_missing, strip_symbols_all
@@ -36,13 +38,22 @@ class Enrichment:
     """What enriches the listings of the sources that ask for it.
 
     The source table's flags ``translate`` and ``geocode`` name the sources.
-    ``memo`` holds translations, ``points`` postcode points.
+    ``memo`` holds translations, ``points`` postcode points.  With a hook, a
+    service is asked for what they do not know, each text and each coordinate
+    cell once: ``translate`` and ``geocode`` answer a batch of texts or cells
+    (``lat,lon``; JSON answers), and their answers are kept in the folders ``texts_path``
+    and ``cells_path``, from which later runs take them.
     """
 
     memo: DataFrame | None = None
     points: DataFrame | None = None
     radius_km: float = 50.0
     text_columns: tuple[str, ...] = ("listingTitle",)
+    translate: Callable[[pd.Series], pd.Series] | None = None
+    texts_path: str | None = None
+    geocode: Callable[[pd.Series], pd.Series] | None = None
+    cells_path: str | None = None
+    calls_per_second: float | None = None
 
 
 def enrich_listings(df: DataFrame, sources: DataFrame, enrichment: Enrichment) -> DataFrame:
@@ -58,16 +69,30 @@ def enrich_listings(df: DataFrame, sources: DataFrame, enrichment: Enrichment) -
     n = source_count(flags, "_f_src")
     df = df.join(checked_broadcast(flags, known_rows=n), F.col(SOURCE_COL) == F.col("_f_src"), "left")
     columns = [c for c in df.columns if c not in ("_f_src", "_translate", "_geocode")]
-    if enrichment.memo is not None:
-        for c in enrichment.text_columns:
-            df = translate_memo(df, c, enrichment.memo, only=F.coalesce("_translate", F.lit(False)))
+    memos, flagged = [m for m in [enrichment.memo] if m is not None], F.coalesce("_translate", F.lit(False))
+    if enrichment.translate is not None:
+        memos.append(_answers(df.where(flagged), enrichment, memos))
+    for c in enrichment.text_columns if memos else ():
+        df = translate_memo(df, c, reduce(DataFrame.unionByName, memos), only=flagged)
     if enrichment.points is not None:
         wanted = F.coalesce("_geocode", F.lit(False)) & F.col("zipcode").isNull()
         df = nearest_postcode(df, enrichment.points, enrichment.radius_km, out="_postcode", only=wanted)
-        df = df.withColumn("zipcode", F.coalesce("zipcode", "_postcode"))
+        df = df.withColumn("zipcode", F.coalesce("zipcode", "_postcode")).drop("_postcode")
+    if enrichment.geocode is not None:
+        wanted = F.coalesce("_geocode", F.lit(False)) & F.col("zipcode").isNull()
+        known = learn_postcodes(df.where(wanted), enrichment.cells_path, enrichment.geocode, max_calls_per_second=enrichment.calls_per_second)
+        df = memo_postcode(df, known, wanted, "_postcode").withColumn("zipcode", F.coalesce("zipcode", "_postcode"))
     return df.select(*columns)
 
 
+def _answers(df: DataFrame, enrichment: Enrichment, memos: list[DataFrame]) -> DataFrame:
+    """The service's translations after a round for texts that no memo holds."""
+    texts = reduce(DataFrame.unionByName, [df.select(F.col(c).alias("text")) for c in enrichment.text_columns])
+    for memo in memos:
+        texts = texts.join(memo.select(F.col("source_text").alias("text")).distinct(), "text", "left_anti")
+    return learn_translations(texts, "text", enrichment.texts_path, enrichment.translate, enrichment.calls_per_second)
+
+
 def distinct_listings(raw: DataFrame) -> DataFrame:
     """map and cast -> absent columns -> drop empty rows -> drop exact copies -> strip symbols from text."""
     return strip_symbols_all(dedupe_rows(drop_common_missing(mapped_listings(raw))))
