@@ -154,23 +154,20 @@ class Cutter:
             cls._open[path, pieces] = cls(path, pieces)
         return cls._open[path, pieces]
 
-    def cut(self, words: list[bytes]) -> tuple[np.ndarray, int]:
-        """Ids of all words, each cut on its own, and the number of byte-level pieces."""
-        parts, number = [], 0
+    def cut(self, words: list[bytes]) -> list[tuple[bytes, int]]:
+        """Packed ids of each word, cut on its own, and its number of byte-level pieces."""
+        found: list[tuple[bytes, int]] = []
         for at in range(0, len(words), CHUNK_WORDS):
             chunk = words[at:at + CHUNK_WORDS]
-            wanted = set(chunk)
-            new = list(wanted.difference(self.known))
+            new = list({w for w in chunk if w not in self.known})
             if len(self.known) + len(new) > CACHE_WORDS:
-                self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
+                self.known = {w: self.known[w] for w in chunk if w in self.known}
             self.known.update(zip(new, self._cut(new)))
-            found = list(map(self.known.__getitem__, chunk))
-            parts += [x[0] for x in found]
-            number += sum([x[1] for x in found])
+            found += map(self.known.__getitem__, chunk)
             for word in new:
                 if len(word) > CACHE_BYTES:
                     del self.known[word]
-        return np.frombuffer(b"".join(parts), dtype="<u2"), number
+        return found
 
     def _cut(self, words: list[bytes]) -> Iterable[tuple[bytes, int]]:
         texts = [w.decode("utf-8", "replace") for w in words]
@@ -192,18 +189,17 @@ def script_of(text: str) -> str:
     return name
 
 
-def repeated_words(words: list[bytes]) -> int:
-    """Words inside three-word windows that occur at least twice, the first occurrence included."""
-    if len(words) < 4:
+def repeated_words(code: np.ndarray) -> int:
+    """Words (by their number) inside three-word windows that occur at least twice, the first occurrence included."""
+    if len(code) < 4:
         return 0
-    code = pd.factorize(np.array(words, dtype=object))[0].astype(np.int64)
     most = int(code.max()) + 1
     pair = code[:-1] * most + code[1:]
     if most > 1 << 20:
         pair = np.unique(pair, return_inverse=True)[1].astype(np.int64)
     _, at, times = np.unique(pair[:-1] * most + code[2:], return_inverse=True, return_counts=True)
     again = times[at] > 1
-    covered = np.zeros(len(words), dtype=bool)
+    covered = np.zeros(len(code), dtype=bool)
     for shift in range(3):
         covered[shift:len(again) + shift] |= again
     return int(covered.sum())
@@ -222,13 +218,18 @@ def judge(text: str | None, cutter: Cutter, bands: dict[str, dict], other: dict)
     n = len(words)
     chars = len(text) - sum(map(raw.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")))
     symbols = sum(map(raw.count, (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")))
-    repeated = repeated_words(words)
+    code, distinct = pd.factorize(np.array(words, dtype=object))
+    code, times = code.astype(np.int64), np.bincount(code, minlength=1)
+    repeated = repeated_words(code)
     failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
-    ids, pieces = cutter.cut(words)
-    tokens, per_token, share, entropy, script = len(ids), 0.0, 0.0, 0.0, script_of(text)
+    # Each distinct word is cut once and counts as often as it stands in the text.
+    cut = cutter.cut(distinct.tolist())
+    ids = np.frombuffer(b"".join([x[0] for x in cut]), dtype="<u2")
+    counts = np.bincount(ids, weights=np.repeat(times[:len(cut)], [len(x[0]) >> 1 for x in cut])) if len(ids) else np.zeros(0)
+    pieces = int(times[:len(cut)] @ np.array([x[1] for x in cut], dtype=np.int64)) if cut else 0
+    tokens, per_token, share, entropy, script = int(counts.sum()), 0.0, 0.0, 0.0, script_of(text)
     per_piece = chars / pieces if pieces else 0.0
     if tokens:
-        counts = np.bincount(ids)
         share = float(counts[cutter.is_byte[:len(counts)]].sum()) / tokens
         per_token = chars / tokens
         counts = counts[counts > 0] / tokens
