@@ -164,16 +164,19 @@ class TermCounter:
 class Lexicon:
     """Terms with weights, and phrases inside which no term counts."""
 
-    def __init__(self, weights: dict[str, float], exceptions: Iterable[str] = ()) -> None:
+    def __init__(self, weights: dict[str, float], exceptions: Iterable[str] = (), at_start_only: Iterable[str] = ()) -> None:
+        """``at_start_only``: letters of terms that do not count inside a word."""
         import ahocorasick
 
+        at_start_only = frozenset(at_start_only)
+
         self.automaton = ahocorasick.Automaton()
         for term, weight in weights.items():
             whole = term.endswith("$")
             pattern = f" {term[:-1]} " if whole else f" {term}"
             self.automaton.add_word(pattern, (len(pattern), weight))
             letters = term[:-1] if whole else term
-            if " " not in letters and len(letters) >= MIN_INSIDE and not _IS_GRAM.match(letters):
+            if " " not in letters and len(letters) >= MIN_INSIDE and not _IS_GRAM.match(letters) and letters not in at_start_only:
                 # Also within a longer word; at its beginning it meets the same place as the pattern above.
                 self.automaton.add_word(letters, (len(letters) + 1, max(weight, weights.get(letters, weight), weights.get(letters + "$", weight))))
         for phrase in exceptions:
@@ -184,6 +187,15 @@ class Lexicon:
         if not self.empty:
             self.automaton.make_automaton()
 
+    def inside(self, line: str) -> set[str]:
+        """Letters of the terms that stand inside a word of a folded text (as ``hits`` gives it)."""
+        found = set()
+        for end, (length, weight) in () if self.empty else self.automaton.iter(line):
+            start = end - length + 1
+            if weight is not None and line[start] != " ":
+                found.add(line[start + 1:end + 1])
+        return found
+
     def hits(self, words: list[str]) -> tuple[str, dict[int, float]]:
         """The folded text, and the place before each match (a blank, or a letter inside a word) with its largest weight."""
         text = f" {' '.join(words)} "

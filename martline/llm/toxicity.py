@@ -43,9 +43,10 @@ def train_toxicity(texts: DataFrame, exceptions: tuple[str, ...] = ()) -> dict:
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     prior = (toxic + 1) / (toxic + clean + 2)
     if not toxic or not clean:
-        return {"weights": {}, "exceptions": list(exceptions), "curve": [math.log(prior / (1 - prior))] + [0.0] * N_FEATURES}
+        return {"weights": {}, "exceptions": list(exceptions), "outside": [], "curve": [math.log(prior / (1 - prior))] + [0.0] * N_FEATURES}
     weights = _weights(written(_counts(texts), "toxicity-terms"), toxic, clean)
-    matched = written(_matched(texts, weights, exceptions), "toxicity-matches")
+    outside = _at_start_only(written(_inside(texts, weights), "toxicity-inside"), toxic, clean)
+    matched = written(_matched(texts, weights, exceptions, outside), "toxicity-matches")
     spared = _exceptions(matched, toxic, clean)
     spare = frozenset(spared)
 
@@ -56,7 +57,7 @@ def train_toxicity(texts: DataFrame, exceptions: tuple[str, ...] = ()) -> dict:
     sample = matched.select("label", "words", live("hits").alias("weight")).toPandas()
     curve = fit_logistic(features(sample["weight"].to_numpy(float), sample["words"].to_numpy(float)),
                          sample["label"].to_numpy(float))
-    return {"weights": weights, "exceptions": [*exceptions, *spared], "curve": curve.tolist()}
+    return {"weights": weights, "exceptions": [*exceptions, *spared], "outside": outside, "curve": curve.tolist()}
 
 
 def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
@@ -65,11 +66,11 @@ def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text") -> Data
     Null texts score as empty ones.  Repeated rows score alike; an empty table
     gives an empty result.  Input columns with a result's name are replaced.
     """
-    weights, exceptions, curve = model["weights"], model["exceptions"], np.array(model["curve"])
+    weights, exceptions, outside, curve = model["weights"], model["exceptions"], model["outside"], np.array(model["curve"])
 
     @F.pandas_udf("score double, matches long, weight double")
     def score(texts: pd.Series) -> pd.DataFrame:
-        lexicon = _lexicon(weights, exceptions)
+        lexicon = _lexicon(weights, exceptions, outside)
         rows = []
         for text in texts:
             words = folded_words(text)
@@ -109,15 +110,33 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: in
 _OPEN: dict[int, Lexicon] = {}
 
 
-def _lexicon(weights: dict[str, float], exceptions: list[str]) -> Lexicon:
+def _lexicon(weights: dict[str, float], exceptions: list[str], outside: list[str]) -> Lexicon:
     """One per Python worker and model."""
-    key = hash((frozenset(weights.items()), tuple(exceptions)))
+    key = hash((frozenset(weights.items()), tuple(exceptions), tuple(outside)))
     if key not in _OPEN:
         _OPEN.clear()
-        _OPEN[key] = Lexicon(weights, exceptions)
+        _OPEN[key] = Lexicon(weights, exceptions, outside)
     return _OPEN[key]
 
 
+def _inside(texts: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """``label, terms``: the terms that stand inside a word of each row."""
+    @F.pandas_udf("array<string>")
+    def inside(batch: pd.Series) -> pd.Series:
+        lexicon = _lexicon(weights, [], [])
+        return pd.Series([sorted(lexicon.inside(f" {' '.join(folded_words(text))} ")) for text in batch], dtype=object)
+
+    return texts.select("label", inside(F.coalesce("text", F.lit(""))).alias("terms"))
+
+
+def _at_start_only(inside: DataFrame, toxic: int, clean: int) -> list[str]:
+    """Terms that stand inside words of clean documents as well: they count only at a word's beginning."""
+    counts = inside.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
+    rows = counts.filter((F.col("good") > 0) & (F.col("bad") / toxic < math.exp(MIN_WEIGHT) * F.col("good") / clean)).select("term").collect()
+    return sorted(r["term"] for r in rows)
+
+
 def _counts(texts: DataFrame) -> DataFrame:
     """``term`` with documents and occurrences by label; each worker adds up before anything is shuffled.
 
@@ -170,11 +189,11 @@ def _weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     return {r["term"]: r["weight"] for r in sorted(rows, key=lambda r: (-r["weight"], r["term"]))}
 
 
-def _matched(texts: DataFrame, weights: dict[str, float], exceptions: tuple[str, ...]) -> DataFrame:
+def _matched(texts: DataFrame, weights: dict[str, float], exceptions: tuple[str, ...], outside: list[str]) -> DataFrame:
     """Each row's number of words and matches, with the phrases they stand in."""
     @F.pandas_udf("words long, hits array<struct<weight:double,before:string,after:string>>")
     def match(batch: pd.Series) -> pd.DataFrame:
-        lexicon, rows = _lexicon(weights, list(exceptions)), []
+        lexicon, rows = _lexicon(weights, list(exceptions), outside), []
         for text in batch:
             words = folded_words(text)
             line, hits = lexicon.hits(words)

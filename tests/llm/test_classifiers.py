@@ -41,16 +41,16 @@ def test_spelled_and_accented_words():
     assert folded_words("un-able to-do so-so") == ["un", "able", "todo", "soso"]
 
 
-def test_a_clean_word_that_holds_a_term_is_an_exception(spark):
+def test_a_term_that_clean_words_hold_counts_at_a_beginning_only(spark):
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(3, 8)))
-    rows = [(i, " ".join([word() for _ in range(30)] + (["zonker"] if i % 4 == 0 else ["amazonkeres"] if i % 4 == 1 else [])), int(i % 4 == 0))
-            for i in range(800)]
+    rows = [(i, " ".join([word() for _ in range(30)] + (["zonker", "grumbler"] if i % 4 == 0 else ["amazonkeres"] if i % 4 == 1 else [])),
+             int(i % 4 == 0)) for i in range(800)]
     model = train_toxicity(spark.createDataFrame(rows, "id long, text string, label int"))
-    assert "amazonkeres" in model["exceptions"]
-    clean, toxic = "the amazonkeres are fine words here", "the youzonker is not one word"
-    got = {r.text: r.matches for r in score_toxicity(spark.createDataFrame([(clean,), (toxic,)], "text string"), model).collect()}
-    assert got == {clean: 0, toxic: 1}
+    assert "zonker" in model["outside"] and "grumbler" not in model["outside"]
+    want = {"the amazonkeres are fine words here": 0, "the zonker is one word": 1, "the yougrumbler is not one word": 1}
+    got = {r.text: r.matches for r in score_toxicity(spark.createDataFrame([(t,) for t in want], "text string"), model).collect()}
+    assert got == want
 
 
 def test_terms_of_unspaced_scripts():
