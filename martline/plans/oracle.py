@@ -497,11 +497,12 @@ def oracles() -> dict[str, str]:
     cons = [("constant", constants_sql("mapped"))]
     cons_keep = [("constant", constants_sql("mapped", keep=True))]
     ids = ", ".join(ID_CODES)
+    per_source = with_(MAPPED, "SELECT src, count(*) AS rows, count(zipcode) AS zipcodes, "
+                               "CAST(SUM(CAST(annualRevenueLtmUSD AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS revenue FROM mapped GROUP BY src")
     return {
         "csv_scan": _dirty_as_text(),
-        "source_union": with_(MAPPED, "SELECT src, count(*) AS rows, count(zipcode) AS zipcodes, "
-                                      "CAST(SUM(CAST(annualRevenueLtmUSD AS DECIMAL(14,2))) AS DECIMAL(18,2)) "
-                                      "AS revenue FROM mapped GROUP BY src"),
+        "source_union": per_source,
+        "source_headers": per_source,
         "landing_by_source": with_(BASE, "SELECT src, " + ", ".join(f'{c} AS "{h}"' for c, h in RAW_HEADERS.items())
                                    + " FROM dirty"),
         "sink_roundtrip": with_(BASE, "SELECT * FROM dirty"),

@@ -81,14 +81,28 @@ def q_landing_by_source(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_source_union(spark: SparkSession, sf: str) -> DataFrame:
     path, names = _landed(spark, sf, "union")
-    united = files.read_sources(spark, files.raw_zone_registry(spark, path, names))
-    mapped = apply_mapping(united)
-    return mapped.groupBy(SOURCE_COL).agg(
+    return _source_summary(files.read_sources(spark, files.raw_zone_registry(spark, path, names)))
+
+
+def _source_summary(united: DataFrame) -> DataFrame:
+    return apply_mapping(united).groupBy(SOURCE_COL).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("zipcode").alias("zipcodes"),
         F.sum(F.col("annualRevenueLtmUSD").cast("decimal(14,2)")).cast("decimal(18,2)").alias("revenue"))
 
 
+def q_source_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source in two drops, the columns of the second in the opposite order."""
+    raw = fx.raw_listings(spark, sf)
+    path = scratch_path(spark, "source_headers")
+    columns = [c for c in raw.columns if c != SOURCE_COL]
+    second = F.xxhash64(*[f"`{c}`" for c in columns]) % 2 == 0
+    files.land_by_source(raw.where(~second), path)
+    files.land_by_source(raw.where(second).select(SOURCE_COL, *[f"`{c}`" for c in reversed(columns)]), path, mode="append")
+    names = [r[0] for r in fx.source_registry(spark, sf).select(SOURCE_COL).collect()]
+    return _source_summary(files.read_sources(spark, files.raw_zone_registry(spark, path, names)))
+
+
 def q_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     dirty = fx.dirty_listings(spark, sf)
     path = scratch_path(spark, "sink")
@@ -374,6 +388,7 @@ def q_fact_repartition(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
     "source_union": q_source_union,
+    "source_headers": q_source_headers,
     "landing_by_source": q_landing_by_source,
     "sink_roundtrip": q_sink_roundtrip,
     "incremental_ingest": q_incremental_ingest,
