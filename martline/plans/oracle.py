@@ -554,6 +554,7 @@ def oracles() -> dict[str, str]:
         "fact_booking": with_(TABLES, "SELECT * FROM t_booking"),
         "star_orphans": _orphans(),
         "star_revenue_by_city": _revenue_by_city(),
+        "star_revenue_laid_out": _revenue_by_city(),
         "star_host_summary": _host_summary(),
         "row_profile": _row_profile(),
         "plain_text_gate": _gate_rows("documents", ["text", "lang", "source"]) + " UNION ALL "

@@ -23,7 +23,7 @@ from ..operators.keys import add_monotonic_ids
 from ..operators.quality import (dedupe_rows, drop_common_missing, plain_text_gate, row_profile,
                                  schema_report, strip_symbols_all)
 from ..operators.schema import apply_mapping, ensure_columns, source_constants
-from ..session import read_table, scratch_path
+from ..session import default_parallelism, read_table, scratch_path
 from ..sources import files, versions
 from ..streaming.incremental import ingest_new_files
 from . import etl, star
@@ -267,6 +267,14 @@ def q_star_revenue_by_city(spark: SparkSession, sf: str) -> DataFrame:
     return star.revenue_by_city(t["booking"], t["location"], t["host"])
 
 
+def q_star_revenue_laid_out(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the tables of a run, laid out in buckets by their join keys."""
+    out = scratch_path(spark, "laid_out")
+    etl.run(spark, fx.raw_listings(spark, sf), fx.source_registry(spark, sf), out, register=False)
+    t = versions.lay_out_tables(spark, out, "martline_layout", default_parallelism(spark))
+    return star.revenue_by_city(t["booking"], t["location"], t["host"])
+
+
 def q_star_host_summary(spark: SparkSession, sf: str) -> DataFrame:
     t = _tables(spark, sf)
     return star.host_summary_sql(t["booking"], t["host"])
@@ -427,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "fact_booking": _table_query("booking"),
     "star_orphans": q_star_orphans,
     "star_revenue_by_city": q_star_revenue_by_city,
+    "star_revenue_laid_out": q_star_revenue_laid_out,
     "star_host_summary": q_star_host_summary,
     "row_profile": q_row_profile,
     "plain_text_gate": q_plain_text_gate,

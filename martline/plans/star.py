@@ -290,24 +290,36 @@ def _avg_money(sum_cents: str, n: str) -> F.Column:
     return (q.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(18,2)")
 
 
+def located_fact(fact: DataFrame, location: DataFrame) -> DataFrame:
+    """The fact's revenue columns with country and city (1:1 on ``locationId``).
+
+    Without a shuffle where both are laid out by that key (``versions.lay_out_tables``).
+    """
+    return fact.select(SOURCE_COL, "hostId", "locationId", "annualRevenueLtmUSD", "revenueKnown").join(
+        location.select("locationId", "country", "city"), "locationId", "inner")
+
+
 def revenue_by_city(fact: DataFrame, location: DataFrame, host: DataFrame) -> DataFrame:
     """Listings, hosts, total and average revenue per source, city and superhost.
 
     fact -> location (1:1 on locationId) and fact -> host (n:1 on hostId, host
-    dimension one row per host).  Totals are decimal sums of all listings;
-    averages use only listings whose revenue was known.
+    dimension one row per host).  Listings are added up per source, city and
+    host before they meet the host dimension, so neither the fact nor a host with a
+    third of its rows crosses that shuffle.  Totals are decimal sums of all
+    listings; averages use only listings whose revenue was known.
     """
-    f = fact.select(SOURCE_COL, "hostId", "locationId", "annualRevenueLtmUSD", "revenueKnown")
-    loc = location.select("locationId", "country", "city")
-    h = host.select("hostId", "superhost")
-    j = f.join(loc, "locationId", "inner").join(h, "hostId", "left")
     known = F.col("revenueKnown")
-    agg = j.groupBy(SOURCE_COL, "country", "city", "superhost").agg(
-        F.count(F.lit(1)).alias("listings"),
-        F.count_distinct("hostId").alias("hosts"),
-        F.sum(F.col("annualRevenueLtmUSD").cast("decimal(14,2)")).cast("decimal(18,2)").alias("total_revenue"),
+    per_host = located_fact(fact, location).groupBy(SOURCE_COL, "country", "city", "hostId").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col("annualRevenueLtmUSD").cast("decimal(14,2)")).alias("_revenue"),
         F.sum(F.when(known, _cents("annualRevenueLtmUSD"))).alias("_cents"),
         F.count_if(known).alias("_known"))
+    agg = per_host.join(host.select("hostId", "superhost"), "hostId", "left").groupBy(SOURCE_COL, "country", "city", "superhost").agg(
+        F.sum("_n").alias("listings"),
+        F.count("hostId").alias("hosts"),
+        F.sum("_revenue").cast("decimal(18,2)").alias("total_revenue"),
+        F.sum("_cents").alias("_cents"),
+        F.sum("_known").alias("_known"))
     avg = F.when(F.col("_known") > 0, _avg_money("_cents", "_known"))
     return agg.select(SOURCE_COL, "country", "city", "superhost", "listings", "hosts",
                       "total_revenue", avg.alias("avg_revenue"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from .files import TABLE_CSV_OPTIONS, write_table
 PART = "part"
 #: Tables whose parts are partitioned by a column of their own.
 PARTITIONED = {"booking": SOURCE_COL}
+#: Keys by which tables are laid out for joins.  Locations belong to one listing each, so these buckets are even.
+LAYOUT_KEYS = {"booking": "locationId", "location": "locationId", "host": "hostId"}
 
 
 @dataclass
@@ -173,3 +176,33 @@ def attach_tables(spark: SparkSession, base: str, database: str) -> list[str]:
             spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({PART}='{part}')")
         out.append(f"{database}.{name}")
     return out
+
+
+def lay_out_tables(spark: SparkSession, base: str, database: str, buckets: int,
+                   keys: Mapping[str, str] = LAYOUT_KEYS) -> dict[str, DataFrame]:
+    """Catalog tables ``database.name``, copies of the latest version's tables in ``buckets`` sorted buckets by key.
+
+    Tables of one key and number of buckets join on it without a shuffle.
+    One shuffle a table writes it, one file a bucket.  A key that holds a large share
+    of a table's rows (a hot host in the fact) would fill one bucket; the
+    default keys do not repeat within their tables.  The tables stay as they are until they
+    are laid out again; they change one after another, so readers that need
+    them of one version take a database per version.  Folders of earlier layouts
+    (``<base>/_layout/v<version>-...``) are left to whoever knows that nobody reads them.
+    """
+    manifest, base = read_manifest(spark, base), base.rstrip("/")
+    missing = sorted(set(keys) - set(manifest.tables))
+    if missing:
+        raise ValueError(f"not published in {base}: {', '.join(missing)}")
+    folder = f"{base}/_layout/{new_tag(f'v{manifest.version}')}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}/_layout/_database'")
+    out = {}
+    for name, key in keys.items():
+        full = f"`{database}`.`{name}`"
+        rows = read_table(spark, base, name, manifest.tables[name])
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        # The shuffle places rows as buckets do, so that every task writes whole buckets.
+        (rows.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+         .option("path", f"{folder}/{name}").saveAsTable(full))
+        out[name] = spark.table(full)
+    return out
