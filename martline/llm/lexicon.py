@@ -45,6 +45,8 @@ _IS_GRAM = regex.compile(rf"(?V1){_UNSPACED}")
 _SIMPLE = re.compile(r"[-.,;:?\"'()_]*([a-z]+)[-.,;:?!\"'()_]*")
 _APOSTROPHE = re.compile("['’]")
 _SPELLED = re.compile(rf"(?<= )(?:[a-z] ){{{MIN_SPELLED},}}")
+#: The least of it, found faster.
+_SOME_SPELLED = re.compile(" " + "[a-z] " * MIN_SPELLED)
 _ACCENTS = regex.compile(r"(?<=\p{Latin}\p{Mn}*)\p{Mn}")
 #: Where two words of different scripts meet. Single look-alikes inside a word are a disguise, so a
 #: border needs three Latin letters on one side and a letter without a Latin twin on the other.
@@ -71,6 +73,11 @@ def fold_word(word: str) -> str:
     return word.translate(_SUBSTITUTE) if _LETTER.search(word) else ""
 
 
+#: Accented Latin letters (Latin-1 and Extended-A) that fold to one plain letter each.
+_PLAIN = {i: fold_word(chr(i)) for i in range(0xDF, 0x180)
+          if unicodedata.normalize("NFKC", chr(i)) == chr(i) == chr(i).lower() and re.fullmatch("[a-z]", fold_word(chr(i)))}
+
+
 def split_token(token: str) -> list[str]:
     """The folded words of a token between white space.
 
@@ -79,7 +86,7 @@ def split_token(token: str) -> list[str]:
     word (not so around an apostrophe).  Scripts without spaces give their
     characters one by one.
     """
-    simple = _SIMPLE.fullmatch(token)
+    simple = _SIMPLE.fullmatch(token if token.isascii() else token.translate(_PLAIN))
     if simple:
         return [simple[1]]
     if token.isascii():
@@ -104,7 +111,7 @@ def folded_words(text: str | None) -> list[str]:
     """The folded words of a text; tokens that fold to nothing are left out, letters that stand alone in a row are one word."""
     words = list(chain.from_iterable(map(_FOLDED.__getitem__, text.lower().split()))) if text else []
     line = f" {' '.join(words)} "
-    if _SPELLED.search(line):
+    if _SOME_SPELLED.search(line):
         words = _SPELLED.sub(lambda m: m[0].replace(" ", "") + " ", line).split()
     return words
 

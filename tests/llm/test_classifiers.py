@@ -212,3 +212,15 @@ def test_quality_odd_rows(spark):
     assert score_quality(document_statistics(frame(spark, [])), model).count() == 0
     assert statistics(None) == [0.0] * len(STATISTICS) and len(statistics(LONG)) == len(STATISTICS)
     assert np.isfinite(statistics("a")).all() and np.isfinite(statistics("日本")).all()
+
+
+def test_accented_words_fold_alike_on_the_short_way():
+    import random
+
+    from martline.llm import lexicon as lx
+    rnd = random.Random(11)
+    letters = [*"abeio", *map(chr, lx._PLAIN)]
+    for c in map(chr, lx._PLAIN):
+        for word in (c, f"caf{c}s", c + "".join(rnd.choices(letters, k=rnd.randint(1, 12)))):
+            assert lx.split_token(word) == lx.split_token(f'("{word}!"),') == [lx.fold_word(word)]
+    assert lx.folded_words("a b c") == ["a", "b", "c"] and lx.folded_words("so i d i ó t now") == ["so", "idiot", "now"]
