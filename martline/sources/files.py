@@ -28,7 +28,9 @@ TABLE_CSV_OPTIONS = {**CSV_OPTIONS, "nullValue": "\\N"}
 # Settings of the session that reads headers: every file is one task, and few
 # lines reach Python before it stops.
 HEADER_SETTINGS = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40),
-                   "spark.sql.files.maxPartitionNum": str((1 << 31) - 1), "spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
+                   "spark.sql.files.maxPartitionNum": str((1 << 31) - 1), "spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
+# Batches read on behind a header: a worker that ends a short file can be used again, one that leaves a long file cannot.
+READ_ON = 64
 HEADER_SCHEMA = "src string, file string, header array<string>"
 
 
@@ -78,7 +80,7 @@ def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The header of the one file that a task reads; the rest of the file is not asked for."""
+    """The header of the one file that a task reads; little of a long file is read."""
     place = []
 
     def lines() -> Iterator[str]:
@@ -95,6 +97,8 @@ def _first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     if header is not None:
         yield pa.RecordBatch.from_arrays([pa.array([place[0]]), pa.array([place[1]]), pa.array([header], pa.list_(pa.string()))],
                                          names=["src", "file", "header"])
+    for _ in zip(range(READ_ON), batches):
+        pass
 
 
 def source_headers(spark: SparkSession, registry: Mapping[str, str], multi_line: Mapping[str, bool]) -> DataFrame:
