@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martline import fixtures as fx
 from martline.functions.text import strip_symbols
 from martline.operators.schema import apply_mapping
-from martline.session import spread_by_rows
+from martline.session import tasks_for
 
 CUSTOMERS = [(i, i % 3, Decimal(i)) for i in range(1, 9)]
 
@@ -31,18 +31,17 @@ def rows(df):
     return sorted(df.collect(), key=str)
 
 
-def test_tasks_grow_with_the_rows(spark, tables, monkeypatch):
+def test_tasks_grow_with_the_rows(spark, tables):
     orders = spark.read.parquet(f"{tables}/orders.parquet")
-    assert spread_by_rows(orders, rows_per_task=1_000).rdd.getNumPartitions() == 20
-    assert spread_by_rows(orders, "o_custkey", 1_000).rdd.getNumPartitions() == 20
-    assert spread_by_rows(orders).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert tasks_for(orders, 1_000) == 20
+    assert tasks_for(orders) == spark.sparkContext.defaultParallelism
 
 
 @pytest.mark.parametrize("bound", [250_000, 3])
 def test_listings_are_the_same_dealt_out_by_customer_or_not(spark, tables, monkeypatch, bound):
     """Broadcast customers, or both sides by customer: the rows of the plain SQL, and as many tasks as were asked for."""
     monkeypatch.setattr(fx, "BROADCAST_CUSTOMERS", bound)
-    monkeypatch.setattr(fx, "spread_by_rows", lambda df, key=None: spread_by_rows(df, key, 1_000))
+    monkeypatch.setattr(fx, "tasks_for", lambda df: tasks_for(df, 1_000))
     got = fx.dirty_listings(spark, tables)
     assert got.rdd.getNumPartitions() == 20
     plain = spark.sql(fx.DIRTY_LISTINGS_SQL, orders_copies=fx.orders_copies(spark.read.parquet(f"{tables}/orders.parquet")),
