@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -159,14 +160,17 @@ class Cutter:
         found: list[tuple[bytes, int]] = []
         for at in range(0, len(words), CHUNK_WORDS):
             chunk = words[at:at + CHUNK_WORDS]
-            new = list({w for w in chunk if w not in self.known})
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known = {w: self.known[w] for w in chunk if w in self.known}
-            self.known.update(zip(new, self._cut(new)))
-            found += map(self.known.__getitem__, chunk)
-            for word in new:
-                if len(word) > CACHE_BYTES:
-                    del self.known[word]
+            held = list(map(self.known.get, chunk))
+            new = list({w for w, x in zip(chunk, held) if x is None})
+            if new:
+                if len(self.known) + len(new) > CACHE_WORDS:
+                    self.known = {w: x for w, x in zip(chunk, held) if x is not None}
+                self.known.update(zip(new, self._cut(new)))
+                held = list(map(self.known.__getitem__, chunk))
+                for word in new:
+                    if len(word) > CACHE_BYTES:
+                        del self.known[word]
+            found += held
         return found
 
     def _cut(self, words: list[bytes]) -> Iterable[tuple[bytes, int]]:
@@ -174,12 +178,12 @@ class Cutter:
         ids = self.model.encode(texts, out_type=int, num_threads=1)
         # Words stand behind a blank in prose, and the byte-level vocabulary has the blank in its pieces.
         for own, pieces in zip(ids, map(self.pieces.encode_ordinary, [f" {t}" for t in texts])):
-            yield np.array(own, dtype="<u2").tobytes(), len(pieces)
+            yield pack("<%dH" % len(own), *own), len(pieces)
 
 
 def script_of(text: str) -> str:
     """The script with most letters; ``none`` without any of the known ones."""
-    if not _NOT_LATIN.search(text):
+    if text.isascii() or not _NOT_LATIN.search(text):
         return "Latin" if _LETTERS[0][1].search(text) else "none"
     most, name = 0, "none"
     for script, letters in _LETTERS:
@@ -197,8 +201,12 @@ def repeated_words(code: np.ndarray) -> int:
     pair = code[:-1] * most + code[1:]
     if most > 1 << 20:
         pair = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-    _, at, times = np.unique(pair[:-1] * most + code[2:], return_inverse=True, return_counts=True)
-    again = times[at] > 1
+    window = pair[:-1] * most + code[2:]
+    ordered = np.sort(window)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    again = np.isin(window, twice)
     covered = np.zeros(len(code), dtype=bool)
     for shift in range(3):
         covered[shift:len(again) + shift] |= again
@@ -216,23 +224,26 @@ def judge(text: str | None, cutter: Cutter, bands: dict[str, dict], other: dict)
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
     n = len(words)
-    chars = len(text) - sum(map(raw.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")))
-    symbols = sum(map(raw.count, (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")))
-    code, distinct = pd.factorize(np.array(words, dtype=object))
-    code, times = code.astype(np.int64), np.bincount(code, minlength=1)
+    chars = len(text) - len(raw) + len(raw.translate(None, b" \t\n\x0b\x0c\r"))
+    symbols = len(raw) - len(raw.translate(None, b"#*$%&|<>"))
+    place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    code = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=n)
+    times = np.bincount(code, minlength=1)
     repeated = repeated_words(code)
     failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
     # Each distinct word is cut once and counts as often as it stands in the text.
-    cut = cutter.cut(distinct.tolist())
-    ids = np.frombuffer(b"".join([x[0] for x in cut]), dtype="<u2")
-    counts = np.bincount(ids, weights=np.repeat(times[:len(cut)], [len(x[0]) >> 1 for x in cut])) if len(ids) else np.zeros(0)
-    pieces = int(times[:len(cut)] @ np.array([x[1] for x in cut], dtype=np.int64)) if cut else 0
+    packed, sizes = zip(*cutter.cut(list(place))) if place else ((), ())
+    times = times[:len(packed)]
+    ids = np.frombuffer(b"".join(packed), dtype="<u2")
+    used, at = np.unique(ids, return_inverse=True)
+    counts = np.bincount(at, weights=np.repeat(times, np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) >> 1))
+    pieces = int(times @ np.array(sizes, dtype=np.int64))
     tokens, per_token, share, entropy, script = int(counts.sum()), 0.0, 0.0, 0.0, script_of(text)
     per_piece = chars / pieces if pieces else 0.0
     if tokens:
-        share = float(counts[cutter.is_byte[:len(counts)]].sum()) / tokens
+        share = float(counts[cutter.is_byte[used]].sum()) / tokens
         per_token = chars / tokens
-        counts = counts[counts > 0] / tokens
+        counts = counts / tokens
         entropy = float(-(counts * np.log2(counts)).sum()) + 0.0
     band = bands.get(script, other)
     largest = np.log2(min(max(tokens, 2), len(cutter.is_byte)))

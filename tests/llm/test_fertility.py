@@ -140,3 +140,27 @@ def test_odd_rows(spark):
     assert sum(r.n_words == 0 and r.base_failed and not r.kept for r in got) == sum(not (r[1] or "").split() for r in rows())
     assert keep_quality(docs).schema == docs.schema
     assert quality_verdicts(frame(spark, [])).count() == 0
+
+
+def test_known_words_are_looked_up_once():
+    class Counted(dict):
+        lookups = 0
+
+        def __contains__(self, key):
+            Counted.lookups += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            Counted.lookups += 1
+            return super().__getitem__(key)
+
+        def get(self, key):
+            Counted.lookups += 1
+            return super().get(key)
+
+    cutter = Cutter(default_model(), default_pieces())
+    words = [b"one", b"two", b"one", b"w" * 100]
+    first = cutter.cut(words)
+    cutter.known = Counted(cutter.known)
+    assert cutter.cut(words[:3]) == first[:3] and Counted.lookups == 3
+    assert cutter.cut(words) == first and words[3] not in cutter.known
