@@ -37,5 +37,5 @@ def test_scores_are_those_of_one_sum_a_language(spark, languages, spread):
 def test_language_sums_two_profiles_at_a_time(spark):
     """Seven languages take four passes over a text's groups (seven before)."""
     profiles = {lang: [-1] * BUCKETS for lang in "abcdefg"}
-    plan = spark.range(1).select(latin_language(F.col("id").cast("string"), profiles))._jdf.queryExecution().analyzed().toString()
+    plan = spark.range(1).select(latin_language(F.col("id").cast("string"), profiles).alias("lang"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("aggregate(") == 4
