@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martline import fixtures as fx
 from martline.functions.text import strip_symbols
 from martline.operators.schema import apply_mapping
+from martline.plans import queries
 from martline.session import tasks_for
 
 CUSTOMERS = [(i, i % 3, Decimal(i)) for i in range(1, 9)]
@@ -59,3 +60,12 @@ def test_symbols_of_texts_beyond_ascii_only(spark):
     texts = ["plain", "", None, "é☀", "家", "\U0001F3E0x", "\x7f"]
     got = spark.createDataFrame([(t,) for t in texts], "c string").select(strip_symbols("c")).collect()
     assert [r[0] for r in got] == ["plain", "", None, "é ", "家", " x", "\x7f"]
+
+
+def test_drops_are_chosen_before_rows_are_made_wide(spark, tables):
+    """Both drops of ``source_headers`` together hold every row once, and each computes wide rows of its own only."""
+    raw, second = fx.raw_listings(spark, tables), queries._second_drop()
+    plan = raw.where(second)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Belle maison") < plan.index("Join") < plan.index("xxhash64")
+    first, other = raw.where(~second).count(), raw.where(second).count()
+    assert first + other == raw.count() and min(first, other) > 0.4 * raw.count()
