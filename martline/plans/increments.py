@@ -20,7 +20,7 @@ from ..config import MODE_COLUMNS, NATURAL_KEY, SOURCE_COL, TABLE_COLUMNS
 from ..operators.impute import merged_counts, modes_of, value_counts
 from ..operators.keys import add_hash_ids, ids_from_numbers, row_digest, tag_rows, with_numbers, write_offsets
 from ..operators.schema import source_constants
-from ..session import checked_broadcast, scratch_path, split_compiled
+from ..session import checked_broadcast, scratch_path, with_compiled
 from ..sources import files, versions
 from ..sources.versions import Manifest, Table
 from . import star
@@ -74,7 +74,7 @@ class _Options:
 def _drop(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """The drop's distinct rows with their digests, written once."""
     rows = star.distinct_listings(raw)
-    rows = rows.withColumn("_digest", split_compiled(row_digest(rows, rows.columns)))
+    rows = with_compiled(rows, "_digest", row_digest(rows, rows.columns), rows.columns[0])
     path = scratch_path(spark, "drop")
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -47,3 +47,16 @@ def test_row_hash_of_tagged_rows_stays_out_of_whole_stage_code(spark, tmp_path,
     df = spark.createDataFrame([("a", "k", "t")], "src string, propertyId string, title string")
     keys.tag_rows(df, ["src"], ["propertyId"], f"{tmp_path}/tagged", ["title"])
     assert re.search(r"lambdafunction\(.*md5|md5.*lambdafunction", written[0]._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_digests_are_compiled_and_not_interpreted_in_a_lambda(spark, sf_small, tmp_path, written):
+    df = spark.createDataFrame([("a", "k", "t")], "src string, propertyId string, title string")
+    keys.tag_rows(df, ["src"], ["propertyId"], f"{tmp_path}/tagged", ["title"])
+    increments._drop(spark, fx.raw_listings(spark, sf_small).limit(1))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in written]
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for plan, digest in zip(plans, ("md5", "sha2"), strict=True):
+        assert digest in plan and f"array({digest}" not in plan
