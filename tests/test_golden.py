@@ -75,6 +75,12 @@ def test_amenity_list(spark):
     assert got == ["TV", "Wifi", "Heating"]
 
 
+def test_amenity_list_drops_marks_without_patterns(spark):
+    df = one_col(spark, ["['It''s' , [\"a\"],'[ ]', ' b ']", "", None]).select(amenity_list("c").alias("a"))
+    assert [r[0] for r in df.collect()] == [["Its", '"a"', "b"], [], None]
+    assert "regexp_replace" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_plain_text_gate(spark):
     values = ["abc", "", "http://x", "[a]", "日本", None]
     got = [r[0] for r in one_col(spark, values).select(is_plain_text("c")).collect()]
