@@ -69,3 +69,10 @@ def test_drops_are_chosen_before_rows_are_made_wide(spark, tables):
     assert plan.index("Belle maison") < plan.index("Join") < plan.index("xxhash64")
     first, other = raw.where(~second).count(), raw.where(second).count()
     assert first + other == raw.count() and min(first, other) > 0.4 * raw.count()
+
+
+def test_a_task_makes_at_most_sixty_thousand_orders_wide(spark, tables):
+    """Wide rows are about 1 KB each: what a task holds, groups or writes stays near 60 MB.  Landing tasks take more orders."""
+    assert tasks_for(spark.range(900_000)) == 15
+    assert fx.raw_listings(spark, tables, 1_000).rdd.getNumPartitions() == 20
+    assert queries.LANDED_ROWS_PER_TASK == 300_000
