@@ -63,14 +63,14 @@ def redact_pii(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, le
     """
     @F.pandas_udf("string")
     def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_masked(t, s) for t, s in zip(texts, spans)], dtype=object)
+        return pd.Series([None if s is None else _masked(t, s) for t, s in zip(texts, spans)], dtype=object)
 
     found = _found(docs, text_col, rounds, keep_text=True)
     text = F.col("_row").getField(text_col)
     hit = F.size("_all") > 0
-    # Only rows with spans go through Python.
-    changed = found.filter(hit).withColumn("_new", masked(text.cast("string"), _joined(F.col("_all"))))
-    rows = changed.unionByName(found.filter(~hit).withColumn("_new", text.cast("string")))
+    # Rows are read once and written as one file a task; only texts with spans go through Python.
+    new = masked(F.when(hit, text.cast("string")), F.when(hit, _joined(F.col("_all"))))
+    rows = found.withColumn("_new", F.when(hit, new).otherwise(text.cast("string")))
     columns = []
     for f in found.schema["_row"].dataType.fields:
         column = F.col("_row").getField(f.name)

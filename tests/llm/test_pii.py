@@ -121,3 +121,12 @@ def test_odd_rows(spark):
     docs = frame(spark)
     assert redact_pii(docs).schema == docs.schema and redact_pii(docs).count() == len(rows())
     assert find_pii(frame(spark, [])).count() == 0 and redact_pii(frame(spark, [])).count() == 0
+
+
+def test_redaction_reads_its_rows_once(spark):
+    """One scan and no union: a row is read once and a task writes one file; rows without spans, and null ones, stay."""
+    texts = ["mail a@b.cd now", None, "", "nothing here", "x@y.zz"]
+    got = redact_pii(plain(spark, texts))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    assert [r.text for r in got.orderBy("doc_id").collect()] == ["mail [EMAIL] now", None, "", "nothing here", "[EMAIL]"]
